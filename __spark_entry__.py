@@ -233,13 +233,13 @@ def top_departments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spend_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distribution.histogram(
-        _analysis(spark, sf_dir).spend, F.col("total_spend"), 30, HISTOGRAM_TOP["total_spend"]
+        _analysis(spark, sf_dir).spend, "total_spend", 30, HISTOGRAM_TOP["total_spend"]
     )
 
 
 def basket_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distribution.histogram(
-        _analysis(spark, sf_dir).spend, F.col("n_baskets"), 30, HISTOGRAM_TOP["n_baskets"]
+        _analysis(spark, sf_dir).spend, "n_baskets", 30, HISTOGRAM_TOP["n_baskets"]
     )
 
 
@@ -250,18 +250,18 @@ def _stored_basket(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def basket_size_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distribution.histogram(
-        _stored_basket(spark, sf_dir), F.col("spend"), 30, HISTOGRAM_TOP["spend"]
+        _stored_basket(spark, sf_dir), "spend", 30, HISTOGRAM_TOP["spend"]
     )
 
 
 def spend_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     spend = _analysis(spark, sf_dir).spend
     found = distribution.medians({
-        "total_spend": (spend, F.col("total_spend")),
-        "n_baskets": (spend, F.col("n_baskets")),
-        "basket_spend": (_stored_basket(spark, sf_dir), F.col("spend")),
+        "total_spend": (spend, "total_spend"),
+        "n_baskets": (spend, "n_baskets"),
+        "basket_spend": (_stored_basket(spark, sf_dir), "spend"),
     })
-    clip = distribution.upper_clip(spend, F.col("total_spend"), 0.99)
+    clip = distribution.upper_clip(spend, "total_spend", 0.99)
     frame = spark.createDataFrame(
         [*found, ("total_spend_p99", clip)], "measure string, value double"
     )

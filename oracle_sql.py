@@ -332,7 +332,11 @@ _SEG_NAMES = [
     ("'Champions'", "champions"), ("'Loyal'", "loyal"), ("'At Risk'", "at_risk"),
     ("'Lost'", "lost"),
 ]
-_HASH = "(((household_key % 2147483648) * 2654435761 + {}) % 4294967296)"
+
+
+def _hash(seed: int) -> str:
+    multiplier = (2654435761 + seed * 97003657) % 4294967296 | 1
+    return f"((household_key % 2147483648) * {multiplier} % 4294967291)"
 
 
 def _detail(name: str) -> str:
@@ -376,13 +380,13 @@ FROM (SELECT row_number() OVER (ORDER BY y2_spend DESC, household_key) AS a,
              row_number() OVER (ORDER BY y1_spend DESC, household_key) AS p,
              greatest(1, CAST(floor(count(*) OVER () * 0.2::DOUBLE) AS BIGINT)) AS k
       FROM spend) GROUP BY k""",
-    "model_splits": f"""SELECT household_key, CAST({_HASH.format(0)} % 5 AS INTEGER) AS fold,
-CAST({_HASH.format(43)} % 100 < 15 AS INTEGER) AS early,
-CAST({_HASH.format(44)} % 100 < 20 AS INTEGER) AS in_test_set FROM spend""",
+    "model_splits": f"""SELECT household_key, CAST({_hash(0)} % 5 AS INTEGER) AS fold,
+CAST({_hash(43)} % 100 < 15 AS INTEGER) AS early,
+CAST({_hash(44)} % 100 < 20 AS INTEGER) AS in_test_set FROM spend""",
     "churn_split": f"""SELECT household_key, is_churned, CAST(r <= greatest(1,
   CAST(n * 0.2::DOUBLE AS BIGINT)) AS INTEGER) AS in_test
 FROM (SELECT household_key, is_churned, count(*) OVER (PARTITION BY is_churned) AS n,
-  row_number() OVER (PARTITION BY is_churned ORDER BY {_HASH.format(42)}, household_key) AS r
+  row_number() OVER (PARTITION BY is_churned ORDER BY {_hash(42)}, household_key) AS r
   FROM spend)""",
     "rfm_segments": """SELECT household_key, rfm_segment, rfm_score, r_score, f_score, m_score,
 recency_days, n_baskets, CAST(total_spend AS DOUBLE) AS total_spend, avg_basket, tenure_days,
@@ -525,7 +529,7 @@ WHERE brand IS NOT NULL GROUP BY brand""",
     ),
     "household_sample": f"""SELECT household_key, CAST(y1_spend AS DOUBLE) AS y1_spend,
 CAST(y2_spend AS DOUBLE) AS y2_spend FROM spend
-ORDER BY {_HASH.format(42)}, household_key LIMIT 500""",
+ORDER BY {_hash(42)}, household_key LIMIT 500""",
     "financial_scenarios": "SELECT * EXCLUDE (gained, cost) FROM scen",
     "uplift_retained": """SELECT
 CASE WHEN b.gained > 0 THEN t.gained / b.gained ELSE 0 END * 100 AS rev_retained_pct,

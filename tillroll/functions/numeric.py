@@ -28,7 +28,15 @@ def cents(x: Column) -> Column:
     return x.cast("decimal(18,2)")
 
 
-def hash_mod(key: Column, modulus: int, seed: int = 0) -> Column:
-    """Reproducible pseudo-random integer in [0, modulus) from key arithmetic."""
-    mixed = (F.pmod(key, F.lit(2**31)) * F.lit(2654435761) + F.lit(seed)) % F.lit(4294967296)
-    return mixed % F.lit(modulus)
+def hash_mod_sql(key: str, modulus: int, seed: int = 0) -> str:
+    """SQL for a reproducible pseudo-random integer in [0, modulus) from key arithmetic.
+
+    A seed changes the multiplier, so draws with different seeds are unrelated; the prime keeps all
+    bits of the product in play, and the reduced key keeps the product within a BIGINT.
+    """
+    multiplier = (2654435761 + seed * 97003657) % 4294967296 | 1
+    return f"(pmod({key}, 2147483648L) * {multiplier}L % 4294967291L % {modulus}L)"
+
+
+def hash_mod(key: str, modulus: int, seed: int = 0) -> Column:
+    return F.expr(hash_mod_sql(key, modulus, seed))

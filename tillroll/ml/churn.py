@@ -10,7 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.numeric import hash_mod, ratio_or
+from ..functions.numeric import hash_mod_sql, ratio_or
 from ..operators.ranking import Point, beyond, rank_cuts
 
 # Behavioural features; recency is left out because it decides the label.
@@ -51,21 +51,19 @@ def _assemble(customers: DataFrame, centre: dict, scale: dict) -> DataFrame:
 
 def split(customers: DataFrame, seed: int = 42, share: float = 0.2) -> DataFrame:
     """Add ``in_test``: exactly the rounded share of each class, chosen by key hash."""
-    order = hash_mod(F.col("household_key"), 4294967296, seed)
+    order = hash_mod_sql("household_key", 4294967296, seed)
 
     def size(n: int) -> int:
         return max(1, round(n * share))
 
-    label = F.col("is_churned")
     sizes, cuts = rank_cuts(
-        customers, {"h": order}, "household_key", [Point(share, size)], label
+        customers, {"h": order}, "household_key", [Point(share, size)], "is_churned"
     )
-    in_test = F.lit(False)
-    for g, n in sizes.items():
-        in_test = in_test | (
-            (label == int(g)) & ~beyond(order, F.col("household_key"), cuts[g, size(n)])
-        )
-    return customers.withColumn("in_test", in_test)
+    in_test = " OR ".join(
+        f"(is_churned = {g} AND NOT {beyond(order, 'household_key', 'bigint', cuts[g, size(n)])})"
+        for g, n in sizes.items()
+    )
+    return customers.selectExpr("*", f"{in_test or 'false'} AS in_test")
 
 
 def fit(split_customers: DataFrame, max_iter: int = 1000) -> ChurnModel:

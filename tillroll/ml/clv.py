@@ -47,7 +47,7 @@ class ClvParams:
 
 def model_table(features: DataFrame, params: ClvParams) -> DataFrame:
     """Features with fold number, early-stopping flag and hold-out flag."""
-    key = F.col("household_key")
+    key = "household_key"
     return features.withColumns({
         "fold": hash_mod(key, params.folds).cast("int"),
         "early": hash_mod(key, 100, params.seed + 1) < params.early_percent,
@@ -99,7 +99,7 @@ def search(table: DataFrame, params: ClvParams) -> list[tuple[dict, float]]:
         parallelism=params.parallelism, seed=params.seed,
     )
     fitted = crossval.fit(assemble(table))
-    return list(zip(settings, fitted.avgMetrics))
+    return list(zip(settings, map(float, fitted.avgMetrics)))
 
 
 def search_table(table: DataFrame, results: list[tuple[dict, float]]) -> DataFrame:
@@ -167,7 +167,7 @@ def predict(model: GBTRegressionModel, table: DataFrame) -> DataFrame:
 
 def attach_predictions(customers: DataFrame, predictions: DataFrame) -> DataFrame:
     """Customers with their prediction, the median prediction where there is none."""
-    middle = quantiles(predictions, F.col("predicted_clv"), [0.5])[""][0]
+    middle = quantiles(predictions, "predicted_clv", [0.5])[""][0]
     return customers.join(predictions, "household_key", "left").withColumn(
         "predicted_clv", F.coalesce("predicted_clv", F.lit(middle).cast("double"))
     )
@@ -191,9 +191,9 @@ def fold_metrics(oof: DataFrame) -> dict[str, dict[str, float]]:
         F.sum(error * error).alias("sse"),
         F.var_pop("actual_y2_spend").alias("variance"),
     ).collect()
-    middles = quantiles(oof, F.col("abs_error"), [0.5], F.col("fold"))
+    middles = quantiles(oof, "abs_error", [0.5], "fold")
     overlap = top_overlap(
-        oof, "actual_y2_spend", "predicted_clv", "household_key", group=F.col("fold")
+        oof, "actual_y2_spend", "predicted_clv", "household_key", group="fold"
     )
     result = {}
     for row in sums:
@@ -219,12 +219,12 @@ def fold_table(oof: DataFrame) -> DataFrame:
 
 def naive_baseline(table: DataFrame) -> DataFrame:
     """Errors of predicting the first year's spend again, and of one constant, the median."""
-    middle = quantiles(table, F.col("y2_spend"), [0.5])[""][0]
+    middle = quantiles(table, "y2_spend", [0.5])[""][0]
     errors = table.select(
         F.abs(F.col("y1_total_spend") - F.col("y2_spend")).alias("naive"),
         F.abs(F.lit(middle) - F.col("y2_spend")).alias("constant"),
     )
-    naive_middle = quantiles(errors, F.col("naive"), [0.5])[""][0]
+    naive_middle = quantiles(errors, "naive", [0.5])[""][0]
     return errors.agg(
         F.count(F.lit(1)).alias("n"),
         F.avg("naive").alias("naive_mae"),
@@ -256,7 +256,7 @@ def clv_metrics(
         round(avg("median_ae"), 2), round(avg("mae"), 2), round(spread("mae"), 2),
         round(sqrt(sum(m["sse"] for m in folds) / n), 2),
         round(avg("r2"), 4), round(spread("r2"), 4), round(both / top_n, 4), params.folds,
-        round(quantiles(final, F.col("predicted_clv"), [0.5])[""][0], 2), round(mean_clv, 2),
+        round(quantiles(final, "predicted_clv", [0.5])[""][0], 2), round(mean_clv, 2),
         n, n, round(baseline["naive_mae"], 2), round(baseline["naive_median_ae"], 2),
         round(better, 1), round(baseline["constant_mae"], 2),
     )

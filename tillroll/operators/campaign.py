@@ -197,7 +197,7 @@ def campaign_active_weeks(weekly: DataFrame, ranges: DataFrame) -> DataFrame:
 def uplift_box(uplift: DataFrame) -> DataFrame:
     """Five-number summary of weekly uplift per campaign type, exact at any size."""
     found = quantiles(
-        uplift, F.col("uplift_weekly"), [0.0, 0.25, 0.5, 0.75, 1.0], F.col("campaign_type")
+        uplift, "uplift_weekly", [0.0, 0.25, 0.5, 0.75, 1.0], "campaign_type"
     )
     return uplift.sparkSession.createDataFrame(
         [(g, *row) for g, row in sorted(found.items())],

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import hash_mod
 from .ranking import quantiles
 
 
-def histogram(frame: DataFrame, value: Column, bins: int, upper: float | None = None) -> DataFrame:
+def histogram(frame: DataFrame, value: str, bins: int, upper: float | None = None) -> DataFrame:
     """Equal-width bins between the smallest and largest value, the last one closed.
 
     ``upper`` clips large values first. Empty bins are kept with count 0.
     """
-    v = value.cast("double")
+    v = F.col(value).cast("double")
     if upper is not None:
         v = F.least(v, F.lit(float(upper)))
     values = frame.select(v.alias("v")).filter(F.col("v").isNotNull())
@@ -42,12 +42,12 @@ def histogram(frame: DataFrame, value: Column, bins: int, upper: float | None =
     )
 
 
-def medians(frames: dict[str, tuple[DataFrame, Column]]) -> list[tuple[str, float | None]]:
+def medians(frames: dict[str, tuple[DataFrame, str]]) -> list[tuple[str, float | None]]:
     """Exact median per named measure."""
     return [(name, quantiles(f, c, [0.5])[""][0]) for name, (f, c) in frames.items()]
 
 
-def upper_clip(frame: DataFrame, value: Column, probability: float = 0.99) -> float | None:
+def upper_clip(frame: DataFrame, value: str, probability: float = 0.99) -> float | None:
     """The quantile above which a chart clips its values (P25)."""
     return quantiles(frame, value, [probability])[""][0]
 
@@ -60,7 +60,7 @@ def describe(frame: DataFrame, columns: list[str]) -> DataFrame:
         F.count("value").alias("n"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("sd"), F.min("value").alias("low"), F.max("value").alias("high"),
     )
-    found = quantiles(long, F.col("value"), [0.25, 0.5, 0.75], F.col("measure"))
+    found = quantiles(long, "value", [0.25, 0.5, 0.75], "measure")
     quartiles = frame.sparkSession.createDataFrame(
         [(m, *row) for m, row in found.items()],
         "measure string, q1 double, median double, q3 double",
@@ -72,6 +72,6 @@ def sample_rows(frame: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """Exactly min(n, rows) rows, the same ones on every run (S19): each task keeps its n smallest
     hashes and the results are merged."""
     return (
-        frame.withColumn("_h", hash_mod(F.col(key), 4294967296, seed))
+        frame.withColumn("_h", hash_mod(key, 4294967296, seed))
         .orderBy("_h", key).limit(n).drop("_h")
     )

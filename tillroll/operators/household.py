@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.numeric import ratio_or
 from ..params import Params
 from ..schema import AGE_MIDPOINT, INCOME_MIDPOINT, MONEY, RetailTables
 
@@ -14,39 +13,40 @@ def household_spend(basket: DataFrame, params: Params) -> DataFrame:
 
     Money stays decimal so that totals do not depend on the order rows arrive in (A7, A8, A14-A16).
     """
-    day = F.col("day")
-    in_y1 = day <= params.cal_end_day
+    y1 = f"day <= {params.cal_end_day}"
+    money = MONEY.simpleString()
 
-    def spend_where(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("spend"))), F.lit(0)).cast(MONEY)
+    def total(column: str, condition: str = "true") -> Column:
+        return F.expr(
+            f"CAST(coalesce(sum(CASE WHEN {condition} THEN {column} END), 0) AS {money})"
+        )
 
+    recent = f"day >= {params.cal_end_day - params.last_window} AND {y1}"
     totals = basket.groupBy("household_key").agg(
-        F.sum("spend").cast(MONEY).alias("total_spend"),
-        F.count(F.lit(1)).alias("n_baskets"),
-        F.min("day").alias("first_day"),
-        F.max("day").alias("last_day"),
-        spend_where(in_y1).alias("y1_spend"),
-        spend_where(day > params.cal_end_day).alias("y2_spend"),
-        F.count_if(in_y1).alias("y1_n_baskets"),
-        F.stddev_samp(F.when(in_y1, F.col("spend").cast("double"))).alias("y1_std_basket"),
-        F.min(F.when(in_y1, day)).alias("y1_first_day"),
-        F.max(F.when(in_y1, day)).alias("y1_last_day"),
-        spend_where(day <= params.half).alias("y1_spend_h1"),
-        spend_where((day > params.half) & in_y1).alias("y1_spend_h2"),
-        spend_where((day >= params.cal_end_day - params.last_window) & in_y1)
-        .alias("y1_last4wk_spend"),
-        F.abs(F.coalesce(F.sum(F.when(in_y1, F.col("retail_disc"))), F.lit(0)))
-        .cast(MONEY).alias("y1_total_disc"),
-        F.coalesce(F.sum(F.when(in_y1, F.col("retail_disc_abs"))), F.lit(0))
-        .cast(MONEY).alias("y1_disc_abs"),
+        total("spend").alias("total_spend"),
+        F.expr("count(*) AS n_baskets"),
+        F.expr("min(day) AS first_day"),
+        F.expr("max(day) AS last_day"),
+        total("spend", y1).alias("y1_spend"),
+        total("spend", f"day > {params.cal_end_day}").alias("y2_spend"),
+        F.expr(f"count_if({y1}) AS y1_n_baskets"),
+        F.expr(f"stddev_samp(CASE WHEN {y1} THEN CAST(spend AS DOUBLE) END) AS y1_std_basket"),
+        F.expr(f"min(CASE WHEN {y1} THEN day END) AS y1_first_day"),
+        F.expr(f"max(CASE WHEN {y1} THEN day END) AS y1_last_day"),
+        total("spend", f"day <= {params.half}").alias("y1_spend_h1"),
+        total("spend", f"day > {params.half} AND {y1}").alias("y1_spend_h2"),
+        total("spend", recent).alias("y1_last4wk_spend"),
+        F.abs(total("retail_disc", y1)).alias("y1_total_disc"),
+        total("retail_disc_abs", y1).alias("y1_disc_abs"),
+    )
+    return totals.selectExpr(
+        "*",
+        "CAST(total_spend AS DOUBLE) / n_baskets AS avg_basket",
+        "last_day - first_day AS tenure_days",
+        f"{params.max_day} - last_day AS recency_days",
+        f"n_baskets / (CAST({params.max_day} AS DOUBLE) / 7) AS weekly_freq",
+        f"CAST(last_day < {params.churn_cutoff} AS INT) AS is_churned",
     )
-    return totals.withColumns({
-        "avg_basket": F.col("total_spend").cast("double") / F.col("n_baskets"),
-        "tenure_days": F.col("last_day") - F.col("first_day"),
-        "recency_days": F.lit(params.max_day) - F.col("last_day"),
-        "weekly_freq": F.col("n_baskets") / F.lit(params.max_day / 7),
-        "is_churned": (F.col("last_day") < params.churn_cutoff).cast("int"),
-    })
 
 
 def count_per_household(rows: DataFrame, name: str) -> DataFrame:
@@ -61,12 +61,10 @@ def department_counts(by_department: DataFrame) -> DataFrame:
     )
 
 
-def midpoint(label: Column, table: dict[str, float]) -> Column:
-    """Bracket label to midpoint; unknown labels give NULL."""
-    value = F.lit(None).cast("double")
-    for name, middle in reversed(table.items()):
-        value = F.when(label == name, F.lit(middle)).otherwise(value)
-    return value
+def midpoint(label: str, table: dict[str, float]) -> str:
+    """SQL for bracket label to midpoint; unknown labels give NULL."""
+    cases = " ".join(f"WHEN '{name}' THEN {middle}D" for name, middle in table.items())
+    return f"CASE {label} {cases} END"
 
 
 def customer_base(
@@ -82,10 +80,10 @@ def customer_base(
         F.count(F.lit(1)).alias("n_redemptions"),
         F.count_if(F.col("day") <= params.cal_end_day).alias("y1_redemptions"),
     )
-    demographics = tables.households.select(
+    demographics = tables.households.selectExpr(
         "household_key",
-        midpoint(F.col("income_desc"), INCOME_MIDPOINT).alias("income_val"),
-        midpoint(F.col("age_desc"), AGE_MIDPOINT).alias("age_val"),
+        f"{midpoint('income_desc', INCOME_MIDPOINT)} AS income_val",
+        f"{midpoint('age_desc', AGE_MIDPOINT)} AS age_val",
     )
     joined = (
         spend.join(campaigns, "household_key", "left")
@@ -126,35 +124,25 @@ CLV_FEATURES = [
 def clv_features(customers: DataFrame, params: Params) -> DataFrame:
     """First-year features and second-year target; all features of a household without any
     first-year basket are 0 (M1)."""
-    has_y1 = F.col("y1_n_baskets") > 0
-    y1_avg = F.when(
-        has_y1, F.col("y1_spend").cast("double") / F.col("y1_n_baskets")
-    )
-    y1_std = F.when(has_y1, F.coalesce(F.col("y1_std_basket"), F.lit(0.0)))
+    average = "CAST(y1_spend AS DOUBLE) / nullif(y1_n_baskets, 0)"
+    spread = "coalesce(y1_std_basket, 0)"
+    ratios = {
+        "y1_avg_basket": average,
+        "y1_std_basket": spread,
+        "y1_spend_cv": f"CASE WHEN {average} > 0 THEN {spread} / ({average}) ELSE 0 END",
+        "y1_spend_trend": "CASE WHEN y1_n_baskets = 0 THEN 0 WHEN y1_spend_h1 > 0 "
+        "THEN CAST(y1_spend_h2 AS DOUBLE) / CAST(y1_spend_h1 AS DOUBLE) ELSE 1 END",
+        "y1_disc_ratio": "CASE WHEN y1_spend > 0 "
+        "THEN CAST(y1_total_disc AS DOUBLE) / CAST(y1_spend AS DOUBLE) ELSE 0 END",
+    }
     features = {
-        "y1_total_spend": F.col("y1_spend"),
-        "y1_n_baskets": F.col("y1_n_baskets"),
-        "y1_avg_basket": y1_avg,
-        "y1_std_basket": y1_std,
-        "y1_spend_cv": F.when(has_y1, ratio_or(y1_std, y1_avg, 0.0)),
-        "y1_recency": F.lit(params.cal_end_day) - F.col("y1_last_day"),
-        "y1_tenure": F.col("y1_last_day") - F.col("y1_first_day"),
-        "y1_spend_h1": F.col("y1_spend_h1"),
-        "y1_spend_h2": F.col("y1_spend_h2"),
-        "y1_spend_trend": F.when(
-            has_y1, ratio_or(F.col("y1_spend_h2"), F.col("y1_spend_h1"), 1.0)
-        ),
-        "y1_last4wk_spend": F.col("y1_last4wk_spend"),
-        "y1_disc_ratio": F.when(
-            has_y1, ratio_or(F.col("y1_total_disc"), F.col("y1_spend"), 0.0)
-        ),
-        **{c: F.col(c) for c in CLV_FEATURES[12:]},
+        "y1_total_spend": "y1_spend",
+        "y1_recency": f"{params.cal_end_day} - y1_last_day",
+        "y1_tenure": "y1_last_day - y1_first_day",
+        **ratios,
     }
-    return customers.select(
+    return customers.selectExpr(
         "household_key",
-        *[
-            F.coalesce(expr.cast("double"), F.lit(0.0)).alias(name)
-            for name, expr in features.items()
-        ],
-        F.col("y2_spend").cast("double").alias("y2_spend"),
+        *[f"coalesce(CAST({features.get(c, c)} AS DOUBLE), 0) AS {c}" for c in CLV_FEATURES],
+        "CAST(y2_spend AS DOUBLE) AS y2_spend",
     )

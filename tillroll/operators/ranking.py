@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import Decimal
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 ACCURACY = 10_000
 MARGIN = 5 / ACCURACY
@@ -38,6 +38,27 @@ class Point:
     rank: Callable[[int], int]
 
 
+def local_rows(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
+    """A few driver-side rows as an inline table, whose size the planner knows exactly: it joins
+    by broadcast, never by shuffling the other side."""
+    names, types = zip(*(column.split(" ", 1) for column in schema.split(", ")))
+    lines = ", ".join(
+        "(" + ", ".join(literal(v, t) for v, t in zip(row, types)) + ")" for row in rows
+    )
+    return spark.sql(f"SELECT * FROM VALUES {lines} AS rows({', '.join(names)})")
+
+
+def literal(value, dtype: str) -> str:
+    """An exact SQL literal."""
+    if value is None:
+        return f"CAST(NULL AS {dtype})"
+    if isinstance(value, str):
+        text = value.replace("\\", "\\\\").replace("'", "\\'")
+    else:
+        text = format(value, "f") if isinstance(value, Decimal) else repr(value)
+    return f"CAST('{text}' AS {dtype})"
+
+
 def _sketch(frame: DataFrame, shares: list[float]) -> dict[str, tuple[int, dict]]:
     """Rows per group, and for each share two values that enclose it (None: enclose everything)."""
     grid = sorted({min(max(p + side, 0.0), 1.0) for p in shares for side in (-MARGIN, MARGIN)})
@@ -65,25 +86,22 @@ def _pick(frame: DataFrame, brackets: dict[tuple[str, int], tuple]) -> dict:
     """
     if not brackets:
         return {}
-    vtype = frame.schema["v"].dataType
-    bounds = frame.sparkSession.createDataFrame(
+    vtype = frame.schema["v"].dataType.simpleString()
+    bounds = local_rows(
+        frame.sparkSession,
+        f"bg string, rank bigint, low {vtype}, high {vtype}",
         [(g, rank, low, high) for (g, rank), (low, high) in brackets.items()],
-        StructType([
-            StructField("bg", StringType()), StructField("rank", LongType()),
-            StructField("low", vtype), StructField("high", vtype),
-        ]),
     )
-    v, low, high = F.col("v"), F.col("low"), F.col("high")
     counts = (
-        frame.join(bounds, (F.col("g") == F.col("bg")) & (high.isNull() | (v <= high)))
-        .groupBy("g", "rank", F.when(low.isNull() | (v >= low), v).alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        frame.join(bounds, F.expr("g = bg AND (high IS NULL OR v <= high)"))
+        .groupBy("g", "rank", F.expr("CASE WHEN low IS NULL OR v >= low THEN v END AS v"))
+        .agg(F.expr("count(*) AS n"))
     )
-    in_order = Window.partitionBy("g", "rank").orderBy(F.col("v").asc_nulls_first())
-    reached = counts.withColumn("upto", F.sum("n").over(in_order)).filter(
-        F.col("upto") >= F.col("rank")
+    running = "sum(n) OVER (PARTITION BY g, rank ORDER BY v NULLS FIRST) AS upto"
+    found = (
+        counts.selectExpr("*", running).filter("upto >= rank")
+        .groupBy("g", "rank").agg(F.expr("min(struct(upto, v, n)) AS hit"))
     )
-    found = reached.groupBy("g", "rank").agg(F.min(F.struct("upto", "v", "n")).alias("hit"))
     result = {}
     for row in found.collect():
         hit = row["hit"]
@@ -107,26 +125,24 @@ def _at_points(frame: DataFrame, points: list[Point]) -> tuple[dict[str, int], d
 
 def rank_cuts(
     frame: DataFrame,
-    measures: dict[str, Column],
+    measures: dict[str, str],
     key: str,
     points: list[Point],
-    group: Column | None = None,
+    group: str | None = None,
 ) -> tuple[dict[str, int], dict[tuple[str, int], Cut]]:
     """Rows at given ranks under the order (measure, key), per measure or per group of one measure.
 
-    ``measures`` must share one type. Returns group sizes and a cut per (group, rank).
+    ``measures`` and ``group`` are SQL; with a group there is one measure. All measures share one
+    type. Returns group sizes and a cut per (group, rank).
     """
-    if group is None:
-        pairs = F.explode(
-            F.array(*[F.struct(F.lit(m).alias("g"), c.alias("v")) for m, c in measures.items()])
-        )
-        long = frame.select(F.col(key).alias("k"), pairs.alias("p")).select("p.g", "p.v", "k")
-    else:
-        ((_, column),) = measures.items()
-        long = frame.select(
-            group.cast("string").alias("g"), column.alias("v"), F.col(key).alias("k")
-        )
-    long = long.filter(F.col("v").isNotNull() & F.col("g").isNotNull())
+    pairs = ", ".join(
+        f"struct({f"'{m}'" if group is None else f'CAST({group} AS STRING)'} AS g, {sql} AS v)"
+        for m, sql in measures.items()
+    )
+    long = (
+        frame.selectExpr(f"{key} AS k", f"explode(array({pairs})) AS p")
+        .selectExpr("p.g", "p.v", "k").filter("v IS NOT NULL AND g IS NOT NULL")
+    )
     sizes, values = _at_points(long.select("g", "v"), points)
     keys = _tied_keys(long, {
         t: hit for t, hit in values.items() if t[1] - hit[1] < hit[2]
@@ -139,16 +155,12 @@ def _tied_keys(long: DataFrame, tied: dict) -> dict:
     if not tied:
         return {}
     names = {f"{g}#{rank}": (g, rank) for g, rank in tied}
-    ties = long.sparkSession.createDataFrame(
+    ties = local_rows(
+        long.sparkSession,
+        f"tg string, name string, tv {long.schema['v'].dataType.simpleString()}",
         [(g, f"{g}#{rank}", hit[0]) for (g, rank), hit in tied.items()],
-        StructType([
-            StructField("tg", StringType()), StructField("name", StringType()),
-            StructField("tv", long.schema["v"].dataType),
-        ]),
-    )
-    keys = long.join(ties, (F.col("g") == F.col("tg")) & (F.col("v") == F.col("tv"))).select(
-        F.col("name").alias("g"), F.col("k").alias("v")
     )
+    keys = long.join(ties, F.expr("g = tg AND v = tv")).selectExpr("name AS g", "k AS v")
     within = {name: (names[name][1] - tied[t][1], tied[t][2]) for name, t in names.items()}
     brackets = {(name, rank): (None, None) for name, (rank, _) in within.items()}
     if max(n for _, n in within.values()) > WHOLE_GROUP:
@@ -160,12 +172,12 @@ def _tied_keys(long: DataFrame, tied: dict) -> dict:
     return {names[name]: hit[0] for (name, _), hit in _pick(keys, brackets).items()}
 
 
-def beyond(value: Column, key: Column, cut: Cut) -> Column:
-    """True for rows that come after the cut row in (value, key) order."""
-    past = value > F.lit(cut.value)
+def beyond(value: str, key: str, dtype: str, cut: Cut) -> str:
+    """SQL that is true for rows after the cut row in (value, key) order."""
+    at = literal(cut.value, dtype)
     if cut.key is None:
-        return past
-    return past | ((value == F.lit(cut.value)) & (key > F.lit(cut.key)))
+        return f"({value} > {at})"
+    return f"({value} > {at} OR ({value} = {at} AND {key} > {cut.key}))"
 
 
 def group_limit(n: int, k: int, groups: int) -> int:
@@ -174,24 +186,26 @@ def group_limit(n: int, k: int, groups: int) -> int:
 
 
 def add_quintiles(
-    frame: DataFrame, measures: dict[str, Column], key: str, groups: int = 5
+    frame: DataFrame, measures: dict[str, str], key: str, groups: int = 5
 ) -> DataFrame:
-    """Add a 1..``groups`` column per measure; ties go by key (W1, W2). Map-only on ``frame``."""
-    typed = {m: c.cast("decimal(28,4)") for m, c in measures.items()}
+    """Add a 1..``groups`` column per measure (name -> SQL); ties go by key.
+
+    Map-only on ``frame``."""
+    dtype = "decimal(28,4)"
+    typed = {m: f"CAST({column} AS {dtype})" for m, column in measures.items()}
     points = [
         Point(k / groups, lambda n, k=k: group_limit(n, k, groups)) for k in range(1, groups)
     ]
     sizes, cuts = rank_cuts(frame, typed, key, points)
-    columns = {}
+    scores = []
     for m, value in typed.items():
         n = sizes.get(m, 0)
-        column = F.lit(1)
-        for k in range(1, groups):
-            if n > 1:
-                cut = cuts[m, group_limit(n, k, groups)]
-                column = column + beyond(value, F.col(key), cut).cast("int")
-        columns[m] = column
-    return frame.withColumns(columns)
+        steps = [
+            f"CAST({beyond(value, key, dtype, cuts[m, group_limit(n, k, groups)])} AS INT)"
+            for k in range(1, groups) if n > 1
+        ]
+        scores.append(" + ".join(["1", *steps]) + f" AS {m}")
+    return frame.selectExpr("*", *scores)
 
 
 def top_overlap(
@@ -200,41 +214,48 @@ def top_overlap(
     predicted: str,
     key: str,
     fraction: float = 0.2,
-    group: Column | None = None,
+    group: str | None = None,
 ) -> dict[str, tuple[int, int]]:
     """Per group: size of the true top fraction, and how many of its rows the prediction also puts
     into its own top fraction (W6, R-7). One group named '' without ``group``.
 
     Equal values are taken in key order, so the top set always has exactly that size.
     """
-    label = F.lit("") if group is None else group.cast("string")
+    label = "''" if group is None else f"CAST({group} AS STRING)"
+
     def size(n: int) -> int:
         return max(1, int(n * fraction))
 
-    falling = {c: -F.col(c).cast("double") for c in (actual, predicted)}
+    falling = {c: f"(-CAST({c} AS DOUBLE))" for c in (actual, predicted)}
     found = {
         c: rank_cuts(frame, {c: value}, key, [Point(fraction, size)], label)
         for c, value in falling.items()
     }
     sizes = found[actual][0]
-    in_both = F.lit(False)
-    for g, n in sizes.items():
-        inside = label == g
-        for c, value in falling.items():
-            inside = inside & ~beyond(value, F.col(key), found[c][1][g, size(n)])
-        in_both = in_both | inside
-    both = frame.filter(in_both).groupBy(label.alias("g")).agg(F.count(F.lit(1)).alias("n"))
+    inside = [
+        " AND ".join([
+            f"{label} = {literal(g, 'string')}",
+            *[
+                f"NOT {beyond(value, key, 'double', found[c][1][g, size(n)])}"
+                for c, value in falling.items()
+            ],
+        ])
+        for g, n in sizes.items()
+    ]
+    both = frame.filter(" OR ".join(f"({x})" for x in inside) or "false").selectExpr(
+        f"{label} AS g"
+    ).groupBy("g").agg(F.expr("count(*) AS n"))
     hits = {r["g"]: r["n"] for r in both.collect()}
     return {g: (size(n), hits.get(g, 0)) for g, n in sizes.items()}
 
 
 def quantiles(
-    frame: DataFrame, value: Column, shares: list[float], group: Column | None = None
+    frame: DataFrame, value: str, shares: list[float], group: str | None = None
 ) -> dict[str, list[float | None]]:
     """Exact quantiles with linear interpolation per group; one group '' without ``group``."""
-    label = F.lit("") if group is None else group.cast("string")
-    long = frame.select(label.alias("g"), value.cast("double").alias("v")).filter(
-        F.col("v").isNotNull() & F.col("g").isNotNull()
+    label = "''" if group is None else f"CAST({group} AS STRING)"
+    long = frame.selectExpr(f"{label} AS g", f"CAST({value} AS DOUBLE) AS v").filter(
+        "v IS NOT NULL AND g IS NOT NULL"
     )
 
     def below(n: int, p: float) -> int:

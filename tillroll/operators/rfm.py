@@ -9,12 +9,11 @@ from ..schema import RFM_ORDER
 from .ranking import add_quintiles
 
 
-def segment_of(score: Column) -> Column:
-    """Thresholds 13 / 10 / 7 on the summed score."""
-    return (
-        F.when(score >= 13, "Champions").when(score >= 10, "Loyal").when(score >= 7, "At Risk")
-        .otherwise("Lost")
-    )
+# Score thresholds of the segments.
+SEGMENT_OF_SCORE = (
+    "CASE WHEN rfm_score >= 13 THEN 'Champions' WHEN rfm_score >= 10 THEN 'Loyal' "
+    "WHEN rfm_score >= 7 THEN 'At Risk' ELSE 'Lost' END"
+)
 
 
 def segment_order(segment: Column) -> Column:
@@ -29,18 +28,14 @@ def add_rfm(customers: DataFrame) -> DataFrame:
     """Quintile scores with a short absence scoring high, their sum and the segment."""
     scored = add_quintiles(
         customers,
-        {
-            "r_rank": F.col("recency_days"),
-            "f_score": F.col("n_baskets"),
-            "m_score": F.col("total_spend"),
-        },
+        {"r_rank": "recency_days", "f_score": "n_baskets", "m_score": "total_spend"},
         "household_key",
     )
-    scored = scored.withColumn("r_score", 6 - F.col("r_rank")).drop("r_rank")
-    scored = scored.withColumn(
-        "rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score")
+    return (
+        scored.selectExpr("* EXCEPT (r_rank)", "6 - r_rank AS r_score")
+        .selectExpr("*", "r_score + f_score + m_score AS rfm_score")
+        .selectExpr("*", f"{SEGMENT_OF_SCORE} AS rfm_segment")
     )
-    return scored.withColumn("rfm_segment", segment_of(F.col("rfm_score")))
 
 
 def rfm_table(customers: DataFrame) -> DataFrame:

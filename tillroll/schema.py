@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import DecimalType, IntegerType, LongType, StringType
@@ -65,9 +65,8 @@ DISCOUNT_BUCKETS = [
 ]
 
 
-@dataclass(frozen=True)
 class RetailTables:
-    """The seven raw inputs of an analysis."""
+    """The seven raw inputs of an analysis; a table given as a function is built on first use."""
 
     transactions: DataFrame
     households: DataFrame
@@ -77,5 +76,19 @@ class RetailTables:
     coupon_redemptions: DataFrame
     products: DataFrame
 
+    def __init__(self, **sources: DataFrame | Callable[[], DataFrame]):
+        missing = RAW_COLUMNS.keys() - sources.keys()
+        if missing:
+            raise ValueError(f"missing tables: {sorted(missing)}")
+        self._sources = sources
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in RAW_COLUMNS:
+            raise AttributeError(name)
+        source = self._sources[name]
+        frame = source if isinstance(source, DataFrame) else source()
+        setattr(self, name, frame)
+        return frame
+
     def items(self):
         return [(name, getattr(self, name)) for name in RAW_COLUMNS]

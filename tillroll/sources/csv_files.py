@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schema import OPTIONAL_COLUMNS, RAW_COLUMNS, RetailTables
@@ -48,5 +50,5 @@ def read_csv_table(spark: SparkSession, path: str, table: str) -> DataFrame:
 def read_csv_tables(spark: SparkSession, folder: str) -> RetailTables:
     folder = folder.rstrip("/")
     return RetailTables(
-        **{t: read_csv_table(spark, f"{folder}/{name}", t) for t, name in FILES.items()}
+        **{t: partial(read_csv_table, spark, f"{folder}/{name}", t) for t, name in FILES.items()}
     )

@@ -5,7 +5,9 @@ Stands in for a loyalty-card export: an order is a basket, a customer a househol
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from functools import partial
+
+from pyspark.sql import DataFrame, SparkSession
 
 from ..params import Params
 from ..schema import AGE_MIDPOINT, INCOME_MIDPOINT, MONEY, RetailTables
@@ -31,120 +33,125 @@ TYPE_C = [3, 6, 14, 15, 20, 27]
 N_CAMPAIGNS = 30
 
 
-def _day(date: Column, ref_date: str) -> Column:
-    return F.datediff(date.cast("date"), F.lit(ref_date).cast("date")) + 1
-
-
-def _money(ten_thousandths: Column) -> Column:
-    """A whole number of 1/10000 as money."""
-    return (ten_thousandths.cast("decimal(18,0)") * F.lit("0.0001").cast("decimal(4,4)")).cast(MONEY)
-
+def _labels(names) -> str:
+    return "array(" + ", ".join(f"'{n}'" for n in names) + ")"
 
-def _label(index: Column, labels: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(x) for x in labels]), index.cast("int") + 1)
 
-
-def _campaign_type(campaign: Column) -> Column:
-    return (
-        F.when(campaign.isin(TYPE_A), "TypeA").when(campaign.isin(TYPE_C), "TypeC")
-        .otherwise("TypeB")
-    )
+CAMPAIGN_TYPE = (
+    f"CASE WHEN campaign IN ({', '.join(map(str, TYPE_A))}) THEN 'TypeA' "
+    f"WHEN campaign IN ({', '.join(map(str, TYPE_C))}) THEN 'TypeC' ELSE 'TypeB' END"
+)
 
 
 def read_star(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.schema(STAR_SCHEMA[table]).parquet(f"{folder}/{table}.parquet")
 
 
+def _day(ref_date: str) -> str:
+    return f"datediff(CAST(o_orderdate AS DATE), DATE '{ref_date}') + 1"
+
+
 def transactions(lines: DataFrame, orders: DataFrame, ref_date: str) -> DataFrame:
-    # Exact in whole cents and percent: integer products, then one shift of the decimal point.
-    cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
-    percent = F.rint(F.col("l_discount") * 100).cast("bigint")
-    share = F.pmod(F.col("o_custkey"), F.lit(5))
-    day = _day(F.col("o_orderdate"), ref_date)
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_custkey").alias("household_key"),
-        F.col("o_orderkey").alias("basket_id"),
-        day.alias("day"),
-        (F.floor((day - 1) / 7) + 1).cast("int").alias("week_no"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        _money(cents * (100 - percent)).alias("sales_value"),
-        _money(-(cents * percent * share)).alias("retail_disc"),
-        F.lit(0).cast(MONEY).alias("coupon_disc"),
-        F.lit(0).cast(MONEY).alias("coupon_match_disc"),
-        F.col("l_suppkey").alias("store_id"),
+    """Prices are whole cents and discounts whole percents: their products stay integers until one
+    shift of the decimal point makes them money."""
+    priced = lines.join(orders, lines.l_orderkey == orders.o_orderkey).selectExpr(
+        "*",
+        f"{_day(ref_date)} AS day",
+        "CAST(rint(l_extendedprice * 100) AS BIGINT) AS cents",
+        "CAST(rint(l_discount * 100) AS BIGINT) AS percent",
+    )
+
+    def money(ten_thousandths: str) -> str:
+        shifted = f"CAST({ten_thousandths} AS DECIMAL(18,0)) * CAST('0.0001' AS DECIMAL(4,4))"
+        return f"CAST({shifted} AS {MONEY.simpleString()})"
+
+    return priced.selectExpr(
+        "o_custkey AS household_key",
+        "o_orderkey AS basket_id",
+        "day",
+        "CAST((day - 1) DIV 7 + 1 AS INT) AS week_no",
+        "l_partkey AS product_id",
+        "CAST(l_quantity AS BIGINT) AS quantity",
+        f"{money('cents * (100 - percent)')} AS sales_value",
+        f"{money('-(cents * percent * (o_custkey % 5))')} AS retail_disc",
+        f"{money('0')} AS coupon_disc",
+        f"{money('0')} AS coupon_match_disc",
+        "l_suppkey AS store_id",
     )
 
 
 def households(customer: DataFrame) -> DataFrame:
     """A third of the customers have demographics, so joins meet missing rows."""
-    key = F.col("c_custkey")
-    third = F.floor(key / 3)
-    income_band = F.least(
-        F.lit(len(INCOME_MIDPOINT) - 1),
-        F.greatest(F.lit(0), F.floor((F.col("c_acctbal") + 1000) / 917)),
-    )
-    return customer.filter(key % 3 == 0).select(
-        key.alias("household_key"),
-        _label(third % 6, list(AGE_MIDPOINT)).alias("age_desc"),
-        _label(income_band, list(INCOME_MIDPOINT)).alias("income_desc"),
-        _label(third % 3, ["A", "B", "U"]).alias("marital_status_code"),
-        F.col("c_mktsegment").alias("hh_comp_desc"),
-        _label(third % 2, ["Homeowner", "Renter"]).alias("homeowner_desc"),
-        _label(third % 5, ["1", "2", "3", "4", "5+"]).alias("household_size_desc"),
+    top = len(INCOME_MIDPOINT) - 1
+    band = f"CAST(least({top}, greatest(0, floor((c_acctbal + 1000) / 917))) AS INT)"
+
+    def pick(index: str, names) -> str:
+        return f"{_labels(names)}[CAST({index} AS INT)]"
+
+    return customer.filter("c_custkey % 3 = 0").selectExpr(
+        "c_custkey AS household_key",
+        f"{pick('c_custkey DIV 3 % 6', AGE_MIDPOINT)} AS age_desc",
+        f"{pick(band, INCOME_MIDPOINT)} AS income_desc",
+        f"{pick('c_custkey DIV 3 % 3', ['A', 'B', 'U'])} AS marital_status_code",
+        "c_mktsegment AS hh_comp_desc",
+        f"{pick('c_custkey DIV 3 % 2', ['Homeowner', 'Renter'])} AS homeowner_desc",
+        f"{pick('c_custkey DIV 3 % 5', ['1', '2', '3', '4', '5+'])} AS household_size_desc",
     )
 
 
 def campaign_assignments(customer: DataFrame) -> DataFrame:
     """Seven in ten customers get the campaigns c with (31*key + 17*c) % 5 = 0: six each."""
-    campaign = F.explode(F.sequence(F.lit(1), F.lit(N_CAMPAIGNS))).alias("campaign")
-    pairs = customer.filter(F.col("c_custkey") % 10 < 7).select(
-        F.col("c_custkey").alias("household_key"), campaign
-    )
-    return pairs.filter(
-        (F.col("household_key") * 31 + F.col("campaign") * 17) % 5 == 0
-    ).select(
-        _campaign_type(F.col("campaign")).alias("description"), "household_key", "campaign"
+    return (
+        customer.filter("c_custkey % 10 < 7")
+        .selectExpr(
+            "c_custkey AS household_key", f"explode(sequence(1, {N_CAMPAIGNS})) AS campaign"
+        )
+        .filter("(household_key * 31 + campaign * 17) % 5 = 0")
+        .selectExpr(f"{CAMPAIGN_TYPE} AS description", "household_key", "campaign")
     )
 
 
 def campaign_descriptions(spark: SparkSession) -> DataFrame:
-    campaign = F.col("id").cast("int")
-    start = 100 + 70 * campaign
-    return spark.range(1, N_CAMPAIGNS + 1, numPartitions=1).select(
-        _campaign_type(campaign).alias("description"),
-        campaign.alias("campaign"),
-        start.alias("start_day"),
-        (start + 32 + (7 * campaign) % 33).alias("end_day"),
+    return (
+        spark.range(1, N_CAMPAIGNS + 1, numPartitions=1)
+        .selectExpr("CAST(id AS INT) AS campaign", "CAST(100 + 70 * id AS INT) AS start_day")
+        .selectExpr(
+            f"{CAMPAIGN_TYPE} AS description", "campaign", "start_day",
+            "start_day + 32 + (7 * campaign) % 33 AS end_day",
+        )
     )
 
 
-def star_tables(spark: SparkSession, folder: str, params: Params = STAR_PARAMS) -> RetailTables:
-    folder = folder.rstrip("/")
-    customer, orders, part, lines = (
-        read_star(spark, folder, t) for t in ("customer", "orders", "part", "lineitem")
+def coupons(part: DataFrame) -> DataFrame:
+    return part.selectExpr(
+        "p_partkey + 10000000000 AS coupon_upc", "p_partkey AS product_id",
+        f"CAST(p_partkey % {N_CAMPAIGNS} + 1 AS INT) AS campaign",
+    )
+
+
+def coupon_redemptions(orders: DataFrame, ref_date: str) -> DataFrame:
+    return orders.filter("o_orderpriority = '1-URGENT'").selectExpr(
+        "o_custkey AS household_key", f"{_day(ref_date)} AS day",
+        "o_orderkey + 10000000000 AS coupon_upc",
+        f"CAST(o_orderkey % {N_CAMPAIGNS} + 1 AS INT) AS campaign",
     )
+
+
+def products(part: DataFrame) -> DataFrame:
+    return part.selectExpr(
+        "p_partkey AS product_id", "p_type AS department", "p_brand AS brand",
+        "p_name AS commodity_desc", "concat_ws('-', p_type, p_size) AS sub_commodity_desc",
+    )
+
+
+def star_tables(spark: SparkSession, folder: str, params: Params = STAR_PARAMS) -> RetailTables:
+    read = partial(read_star, spark, folder.rstrip("/"))
     return RetailTables(
-        transactions=transactions(lines, orders, params.ref_date),
-        households=households(customer),
-        campaign_assignments=campaign_assignments(customer),
-        campaign_descriptions=campaign_descriptions(spark),
-        coupons=part.select(
-            (F.col("p_partkey") + 10_000_000_000).alias("coupon_upc"),
-            F.col("p_partkey").alias("product_id"),
-            (F.col("p_partkey") % N_CAMPAIGNS + 1).cast("int").alias("campaign"),
-        ),
-        coupon_redemptions=orders.filter(F.col("o_orderpriority") == "1-URGENT").select(
-            F.col("o_custkey").alias("household_key"),
-            _day(F.col("o_orderdate"), params.ref_date).alias("day"),
-            (F.col("o_orderkey") + 10_000_000_000).alias("coupon_upc"),
-            (F.col("o_orderkey") % N_CAMPAIGNS + 1).cast("int").alias("campaign"),
-        ),
-        products=part.select(
-            F.col("p_partkey").alias("product_id"),
-            F.col("p_type").alias("department"),
-            F.col("p_brand").alias("brand"),
-            F.col("p_name").alias("commodity_desc"),
-            F.concat_ws("-", "p_type", "p_size").alias("sub_commodity_desc"),
-        ),
+        transactions=lambda: transactions(read("lineitem"), read("orders"), params.ref_date),
+        households=lambda: households(read("customer")),
+        campaign_assignments=lambda: campaign_assignments(read("customer")),
+        campaign_descriptions=lambda: campaign_descriptions(spark),
+        coupons=lambda: coupons(read("part")),
+        coupon_redemptions=lambda: coupon_redemptions(read("orders"), params.ref_date),
+        products=lambda: products(read("part")),
     )

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..schema import RetailTables
+from ..schema import RAW_COLUMNS, RetailTables
 
 # Result tables with a declared column list; other tables are written as they are.
 RESULT_COLUMNS = {
@@ -95,9 +95,7 @@ class Store:
         return True
 
     def raw(self) -> RetailTables:
-        return RetailTables(**{
-            t: self.spark.table(self.name(t)) for t in RetailTables.__dataclass_fields__
-        })
+        return RetailTables(**{t: self.spark.table(self.name(t)) for t in RAW_COLUMNS})
 
     def write(self, table: str, frame: DataFrame) -> None:
         """Replace a result table; a declared column the frame lacks is left out."""
