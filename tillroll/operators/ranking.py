@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 ACCURACY = 10_000
 MARGIN = 5 / ACCURACY
-# Groups up to this size are put in order whole; larger ones are bracketed first.
-WHOLE_GROUP = 10_000
+# Groups up to this size are put in order whole; in larger ones the margin spans at least five
+# ranks, more than a rank formula strays from its share or the sketch from the truth.
+WHOLE_GROUP = int(5 / MARGIN)
 
 
 @dataclass(frozen=True)
