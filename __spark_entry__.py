@@ -90,6 +90,32 @@ def customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _doubles(a.customers, "total_spend", "y1_spend", "y2_spend")
 
 
+def master_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return household.master_summary(_analysis(spark, sf_dir).customers)
+
+
+def clv_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = _analysis(spark, sf_dir, "y1_spend", "y2_spend")
+    predictions = _doubles(_stand_in(a).withColumns({
+        "actual_y2_spend": F.col("y2_spend"),
+        "abs_error": F.abs(F.col("predicted_clv") - F.col("y2_spend")),
+    }), "predicted_clv", "actual_y2_spend", "abs_error")
+    return clv_ml.top_predicted(clv_ml.clv_predictions(predictions))
+
+
+def clv_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spend = _analysis(spark, sf_dir, "y1_spend").spend
+    clip = distribution.upper_clip(spend, "y1_spend", 0.99)
+    binned = distribution.histogram(spend, "y1_spend", 30, clip)
+    return _rounded(binned, 4, "low", "high")
+
+
+def churn_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distribution.histogram(
+        with_stand_ins(_analysis(spark, sf_dir).spend, P), "churn_probability", 30
+    )
+
+
 def churn_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _analysis(spark, sf_dir).spend.select("household_key", "last_day", "is_churned")
 
@@ -374,6 +400,7 @@ def queries() -> dict[str, Query]:
         "basket_fact": basket_fact,
         "load_summary": lambda s, d: basket.load_summary(_full(s, d).basket, P),
         "customer_master": customer_master,
+        "master_summary": master_summary,
         "churn_label": churn_label,
         "y1_features": y1_features,
         "naive_baseline": naive_baseline,
@@ -445,9 +472,12 @@ def queries() -> dict[str, Query]:
         "spend_histogram": spend_histogram,
         "basket_histogram": basket_histogram,
         "basket_size_histogram": basket_size_histogram,
+        "clv_histogram": clv_histogram,
+        "churn_histogram": churn_histogram,
         "spend_medians": spend_medians,
         "spend_describe": spend_describe,
         "household_sample": household_sample,
+        "clv_top20": clv_top20,
         # scenarios and headline figures
         "financial_scenarios": financial_scenarios,
         "uplift_retained": uplift_retained,

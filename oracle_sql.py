@@ -304,7 +304,7 @@ def by_segment(columns: str, source: str = "seg") -> str:
     return f"SELECT rfm_segment, {columns} FROM {source} GROUP BY rfm_segment"
 
 
-def histogram(source: str, value: str, top: float, bins: int = 30) -> str:
+def histogram(source: str, value: str, top: float | str, bins: int = 30) -> str:
     return f"""
 SELECT CAST(b AS INTEGER) AS bin, low + b * width AS low, low + (b + 1) * width AS high,
        count(i) AS n
@@ -365,6 +365,10 @@ count(*) FILTER (day > {CAL_END}) AS n_baskets_y2 FROM basket""",
 avg_basket, first_day, last_day, tenure_days, recency_days, is_churned, weekly_freq,
 CAST(y1_spend AS DOUBLE) AS y1_spend, CAST(y2_spend AS DOUBLE) AS y2_spend, n_campaigns,
 n_redemptions, y1_redemptions, n_departments, income_val, age_val, campaign_engaged FROM master""",
+    "master_summary": f"""SELECT count(*) AS n_households, {mean('total_spend')} AS avg_spend,
+{mean('n_baskets')} AS avg_baskets, CAST(sum(campaign_engaged) AS BIGINT) AS n_engaged,
+{mean('campaign_engaged')} * 100 AS pct_engaged, count(*) FILTER (n_redemptions > 0) AS n_redeemers
+FROM master""",
     "churn_label": "SELECT household_key, last_day, is_churned FROM spend",
     "y1_features": f"""SELECT * REPLACE ({half_even('y1_std_basket', 6)} AS y1_std_basket,
 {half_even('y1_spend_cv', 6)} AS y1_spend_cv) FROM features""",
@@ -505,6 +509,9 @@ WHERE brand IS NOT NULL GROUP BY brand""",
     "spend_histogram": histogram("spend", "total_spend", 6_000_000.0),
     "basket_histogram": histogram("spend", "n_baskets", 300.0),
     "basket_size_histogram": histogram("basket", "spend", 600_000.0),
+    "clv_histogram": f"SELECT bin, {half_even('low', 4)} AS low, {half_even('high', 4)} AS high, n "
+    f"FROM ({histogram('spend', 'y1_spend', '(SELECT quantile_cont(y1_spend::DOUBLE, 0.99) FROM spend)')})",
+    "churn_histogram": histogram("seg", "churn_probability", 1e9),
     "spend_medians": " UNION ALL ".join(
         f"SELECT '{name}' AS measure, {half_even(f'quantile_cont({col}::DOUBLE, {q})', 4)} AS value "
         f"FROM {src}"
@@ -530,6 +537,10 @@ WHERE brand IS NOT NULL GROUP BY brand""",
     "household_sample": f"""SELECT household_key, CAST(y1_spend AS DOUBLE) AS y1_spend,
 CAST(y2_spend AS DOUBLE) AS y2_spend FROM spend
 ORDER BY {_hash(42)}, household_key LIMIT 500""",
+    "clv_top20": """SELECT household_key, CAST(predicted_clv AS DOUBLE) AS predicted_clv,
+CAST(y2_spend AS DOUBLE) AS actual_y2_spend,
+CAST(abs(predicted_clv - y2_spend) AS DOUBLE) AS abs_error, 1 AS in_test_set
+FROM seg ORDER BY predicted_clv DESC, household_key LIMIT 20""",
     "financial_scenarios": "SELECT * EXCLUDE (gained, cost) FROM scen",
     "uplift_retained": """SELECT
 CASE WHEN b.gained > 0 THEN t.gained / b.gained ELSE 0 END * 100 AS rev_retained_pct,

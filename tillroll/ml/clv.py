@@ -153,6 +153,11 @@ def clv_predictions(oof: DataFrame) -> DataFrame:
     )
 
 
+def top_predicted(predictions: DataFrame, n: int = 20) -> DataFrame:
+    """The households with the highest predicted value (T5)."""
+    return predictions.orderBy(F.col("predicted_clv").desc(), "household_key").limit(n)
+
+
 def final_model(
     table: DataFrame, tuned: dict, trees: int, params: ClvParams
 ) -> GBTRegressionModel:

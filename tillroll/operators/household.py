@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.numeric import mean
 from ..params import Params
 from ..schema import AGE_MIDPOINT, INCOME_MIDPOINT, MONEY, RetailTables
 
@@ -12,6 +13,7 @@ def household_spend(basket: DataFrame, params: Params) -> DataFrame:
     """All spend measures in one aggregation; year and half splits are conditional sums.
 
     Money stays decimal so that totals do not depend on the order rows arrive in (A7, A8, A14-A16).
+    Discount totals need the discount columns of the basket.
     """
     y1 = f"day <= {params.cal_end_day}"
     money = MONEY.simpleString()
@@ -22,6 +24,10 @@ def household_spend(basket: DataFrame, params: Params) -> DataFrame:
         )
 
     recent = f"day >= {params.cal_end_day - params.last_window} AND {y1}"
+    discounts = [
+        F.abs(total("retail_disc", y1)).alias("y1_total_disc"),
+        total("retail_disc_abs", y1).alias("y1_disc_abs"),
+    ] if "retail_disc" in basket.columns else []
     totals = basket.groupBy("household_key").agg(
         total("spend").alias("total_spend"),
         F.expr("count(*) AS n_baskets"),
@@ -36,8 +42,7 @@ def household_spend(basket: DataFrame, params: Params) -> DataFrame:
         total("spend", f"day <= {params.half}").alias("y1_spend_h1"),
         total("spend", f"day > {params.half} AND {y1}").alias("y1_spend_h2"),
         total("spend", recent).alias("y1_last4wk_spend"),
-        F.abs(total("retail_disc", y1)).alias("y1_total_disc"),
-        total("retail_disc_abs", y1).alias("y1_disc_abs"),
+        *discounts,
     )
     return totals.selectExpr(
         "*",
@@ -112,6 +117,18 @@ def impute_medians(customers: DataFrame) -> DataFrame:
     )
 
 
+def master_summary(customers: DataFrame) -> DataFrame:
+    """Totals printed with the master table: means, campaign reach, coupon redeemers."""
+    return customers.agg(
+        F.count(F.lit(1)).alias("n_households"),
+        mean(F.col("total_spend")).alias("avg_spend"),
+        mean(F.col("n_baskets")).alias("avg_baskets"),
+        F.sum("campaign_engaged").alias("n_engaged"),
+        (mean(F.col("campaign_engaged")) * 100).alias("pct_engaged"),
+        F.count_if(F.col("n_redemptions") > 0).alias("n_redeemers"),
+    )
+
+
 # The model's 17 first-year features, in order.
 CLV_FEATURES = [
     "y1_total_spend", "y1_n_baskets", "y1_avg_basket", "y1_std_basket", "y1_spend_cv",

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import basket as b, campaign, cohort, household as h, products, rfm
 from ..params import Params
 from ..schema import RetailTables
+from ..session import split_hot_partitions
 from ..staging import Stage
 
 ROLLUPS = ("basket", "days", "departments")
@@ -23,6 +24,7 @@ CORE_MEASURES = (
     "household_key", "total_spend", "n_baskets", "avg_basket", "first_day", "last_day",
     "tenure_days", "recency_days", "is_churned",
 )
+DISCOUNT_MEASURES = {"y1_total_disc", "y1_disc_abs"}
 
 
 class Analysis:
@@ -40,15 +42,20 @@ class Analysis:
         self.share = set(share)
         self.measures = measures
         self.stage = Stage(spark)
+        split_hot_partitions(spark)
 
     def _rollup(self, name: str, build) -> DataFrame:
         return self.stage.table(name, build) if name in self.share else build()
 
     @cached_property
     def basket(self) -> DataFrame:
-        return self._rollup(
-            "basket", lambda: b.basket_fact(self.tables.transactions, self.params)
-        )
+        def build() -> DataFrame:
+            fact = b.basket_fact(self.tables.transactions, self.params)
+            if self.measures is None or DISCOUNT_MEASURES & set(self.measures):
+                return fact
+            return fact.drop("n_items", "retail_disc", "retail_disc_abs")
+
+        return self._rollup("basket", build)
 
     @cached_property
     def days(self) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 
 from ..params import Params
 from ..schema import RetailTables
+from ..session import split_hot_partitions
 
 # A mean of decimals divided once at high scale, so rounding to cents sees the exact quotient.
 CUSTOMER_SUMMARY = """
@@ -73,6 +74,7 @@ VIEWS = {
 
 def register_views(spark: SparkSession, tables: RetailTables, params: Params) -> None:
     """Create or replace a temporary view per raw table and per view definition."""
+    split_hot_partitions(spark)
     for name, frame in tables.items():
         frame.createOrReplaceTempView(name)
     for name, text in VIEWS.items():

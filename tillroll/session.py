@@ -13,12 +13,28 @@ def shuffle_partitions(input_bytes: int, cores: int) -> int:
     return -(-wanted // cores) * cores
 
 
+# What the jobs count on: run-time replanning, and splitting of a partition that one hot key fills,
+# also where the aggregation behind the join would have liked to keep its partitioning.
+SKEW_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def split_hot_partitions(spark: SparkSession) -> None:
+    """Turn the skew settings on in a session that was built elsewhere."""
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+
+
 def build_session(
     app: str = "tillroll",
     master: str | None = None,
     input_bytes: int = 0,
     cores: int = 8,
     checkpoint_dir: str | None = None,
+    driver_memory: str | None = None,
 ) -> SparkSession:
     """A session with run-time replanning on; AQE merges partitions that turn out small."""
     builder = SparkSession.builder.appName(app)
@@ -26,10 +42,11 @@ def build_session(
         builder = builder.master(master)
     if checkpoint_dir:
         builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     settings = {
         "spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes, cores)),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
+        **SKEW_SETTINGS,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
         "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
         "spark.sql.session.timeZone": "UTC",
