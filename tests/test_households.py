@@ -26,6 +26,14 @@ def _departments(t):
     return basket.household_departments(basket.household_products(t.transactions), t.products)
 
 
+def test_lines_without_a_key_belong_to_no_basket(make_tables, params):
+    lines = [line(1, 1, 10, 5), list(line(2, 2, 10, 7)), list(line(3, 3, 10, 7))]
+    lines[1][0] = None
+    lines[2][6] = None
+    fact = basket.basket_fact(make_tables(transactions=lines).transactions, params)
+    assert sorted(rows(fact, "household_key", "spend")) == [(1, 5), (3, 0)]
+
+
 def test_year_half_and_recent_splits(make_tables, params):
     days = [1, 182, 183, 336, 337, 365, 366, 700]
     t = make_tables(transactions=[line(1, d, d, 10 ** i) for i, d in enumerate(days)])

@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import line
+from tillroll.__main__ import DATABASE, main
 from tillroll.ml import churn as churn_ml, clv as clv_ml
 from tillroll.operators.household import CLV_FEATURES
-from tillroll.params import Params
-from tillroll.plans.job import run_analysis
+from tillroll.sources.csv_files import FILES
 from tillroll.sources.store import RESULT_TABLES, Store
 
 SMALL_SEARCH = clv_ml.ClvParams(folds=3, trials=2, max_trees=8, parallelism=3)
@@ -98,8 +98,8 @@ def test_churn_model_ranks_and_scores(spark, customers):
     assert (top["feature"], top["effect"]) == ("n_baskets", "lowers churn")
 
 
-def test_full_run_writes_every_result_table(spark, make_tables):
-    draw = random.Random(2)
+def panel(draw):
+    """Transaction lines of 120 households, some of which stop early."""
     lines, basket = [], 0
     for h in range(1, 121):
         last = draw.choice([400, 711])
@@ -107,24 +107,40 @@ def test_full_run_writes_every_result_table(spark, make_tables):
             basket += 1
             lines.append(line(h, basket, day, round(draw.uniform(1, 60), 2), draw.randint(1, 6),
                               disc=-round(draw.uniform(0, 3), 2)))
+    return lines
+
+
+def test_full_run_from_csv_to_saved_results(spark, make_tables, tmp_path, capsys):
     tables = make_tables(
-        transactions=lines,
-        products=[(p, f"D{p % 3}", "National" if p % 2 else "Private", "", "") for p in range(1, 7)],
-        households=[(h, "35-44", "50-74K", "A", "2 Adults", "Homeowner", "2") for h in range(1, 60)],
+        transactions=panel(random.Random(2)),
+        products=[(p, f"D{p % 3}", "National" if p % 2 else "Private", "x", "y")
+                  for p in range(1, 7)],
+        households=[(h, "35-44", "50-74K", "A", "2 Adults", "Homeowner", "2")
+                    for h in range(1, 60)],
         campaign_assignments=[("TypeA" if c == 1 else "TypeB", h, c)
                               for h in range(1, 80) for c in (1, 2)],
         campaign_descriptions=[("TypeA", 1, 200, 240), ("TypeB", 2, 500, 530)],
         coupon_redemptions=[(h, 210, 1, 1) for h in range(1, 20)],
+        coupons=[(1, 1, 1)],
     )
-    spark.sql("DROP DATABASE IF EXISTS full_run CASCADE")
-    store = Store(spark, "full_run")
-    assert store.load_raw(tables)
-    done = run_analysis(spark, store.raw(), Params(), store, SMALL_SEARCH)
-    assert set(RESULT_TABLES) <= set(done) and store.ready()
-    assert all(store.has(t) for t in done)
+    for name, frame in tables.items():
+        frame.coalesce(1).write.option("header", True).csv(f"{tmp_path}/csv/{FILES[name]}")
+    spark.sql(f"DROP DATABASE IF EXISTS {DATABASE} CASCADE")
+    main(["run", f"{tmp_path}/csv", f"{tmp_path}/out", "--trials", "2", "--max-trees", "4",
+          "--buckets", "4"])
+    store = Store(spark, DATABASE)
+    assert store.ready() and all(store.has(t) for t in RESULT_TABLES)
     rfm = store.read("rfm_segments")
     assert rfm.count() == 120 and rfm.filter("predicted_clv IS NULL").count() == 0
     metrics = store.read("clv_metrics").first()
-    assert metrics["n_train"] == 120 and metrics["n_folds"] == 3
+    assert metrics["n_train"] == 120 and metrics["n_folds"] == 5
     assert store.read("financial_scenarios").count() == 3
-    spark.sql("DROP DATABASE full_run CASCADE")
+    oof = store.read("clv_predictions")
+    assert oof.count() == 120 == oof.select("household_key").distinct().count()
+    capsys.readouterr()
+    main(["sql", f"{tmp_path}/out", "--preset", "Campaign vs organic buyer comparison"])
+    shown = capsys.readouterr().out
+    assert "Campaign" in shown and "Organic" in shown
+    main(["sql", f"{tmp_path}/out", "SELECT * FROM rfm_segments", "--csv", f"{tmp_path}/rfm"])
+    assert spark.read.option("header", True).csv(f"{tmp_path}/rfm").count() == 120
+    spark.sql(f"DROP DATABASE {DATABASE} CASCADE")

@@ -87,7 +87,7 @@ def fit(split_customers: DataFrame, max_iter: int = 1000) -> ChurnModel:
     )
     model = LogisticRegression(
         featuresCol="features", labelCol="is_churned", weightCol="weight",
-        regParam=1.0 / n, elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-8,
+        regParam=1.0 / n, elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-7,
     ).fit(_assemble(train, centre, scale).withColumn("weight", weight.cast("double")))
     return ChurnModel(model, centre, scale)
 

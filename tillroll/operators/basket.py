@@ -25,16 +25,23 @@ def day_to_week(day: Column) -> Column:
     return (F.floor((day - 1) / 7) + 1).cast("int")
 
 
+def _total(money: str) -> Column:
+    return F.expr(f"CAST(coalesce(sum({money}), 0) AS {MONEY.simpleString()})")
+
+
 def basket_fact(transactions: DataFrame, params: Params) -> DataFrame:
-    """One row per household, basket and day; discounts ride along to save a second pass."""
+    """One row per household, basket and day; discounts ride along to save a second pass.
+
+    Lines without a household, basket or day belong to no basket; a missing value counts as 0.
+    """
     keys = ["household_key", "basket_id", "day", "week_no"]
     return (
-        transactions.groupBy(*keys)
+        transactions.dropna(subset=keys).groupBy(*keys)
         .agg(
-            F.sum("sales_value").cast(MONEY).alias("spend"),
-            F.sum("quantity").alias("n_items"),
-            F.sum("retail_disc").cast(MONEY).alias("retail_disc"),
-            F.sum(F.abs("retail_disc")).cast(MONEY).alias("retail_disc_abs"),
+            _total("sales_value").alias("spend"),
+            F.coalesce(F.sum("quantity"), F.lit(0)).alias("n_items"),
+            _total("retail_disc").alias("retail_disc"),
+            _total("abs(retail_disc)").alias("retail_disc_abs"),
         )
         .withColumn("date", day_to_date(F.col("day"), params))
     )
@@ -50,7 +57,7 @@ def household_days(basket: DataFrame) -> DataFrame:
 def household_products(transactions: DataFrame) -> DataFrame:
     """Spend per household and product, the line-level input of the product reports."""
     return transactions.groupBy("household_key", "product_id").agg(
-        F.sum("sales_value").cast(MONEY).alias("sales_value")
+        _total("sales_value").alias("sales_value")
     )
 
 

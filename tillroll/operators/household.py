@@ -54,8 +54,9 @@ def household_spend(basket: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def count_per_household(rows: DataFrame, name: str) -> DataFrame:
-    return rows.groupBy("household_key").agg(F.count(F.lit(1)).alias(name))
+def campaign_counts(assignments: DataFrame) -> DataFrame:
+    """Campaigns per household."""
+    return assignments.groupBy("household_key").agg(F.count("campaign").alias("n_campaigns"))
 
 
 def department_counts(by_department: DataFrame) -> DataFrame:
@@ -80,9 +81,9 @@ def customer_base(
     Every side is one row per household and hashed on it, so the joins share one partitioning.
     Missing demographics stay NULL here; ``impute_medians`` fills them.
     """
-    campaigns = count_per_household(tables.campaign_assignments, "n_campaigns")
+    campaigns = campaign_counts(tables.campaign_assignments)
     redemptions = tables.coupon_redemptions.groupBy("household_key").agg(
-        F.count(F.lit(1)).alias("n_redemptions"),
+        F.count("day").alias("n_redemptions"),
         F.count_if(F.col("day") <= params.cal_end_day).alias("y1_redemptions"),
     )
     demographics = tables.households.selectExpr(

@@ -84,7 +84,7 @@ class Analysis:
     @cached_property
     def engaged(self) -> DataFrame:
         """Segments plus whether the household was ever sent a campaign (P5)."""
-        sent = h.count_per_household(self.tables.campaign_assignments, "n_campaigns")
+        sent = h.campaign_counts(self.tables.campaign_assignments)
         return (
             self.segments.join(sent, "household_key", "left").fillna(0, ["n_campaigns"])
             .withColumn("campaign_engaged", (F.col("n_campaigns") > 0).cast("int"))
