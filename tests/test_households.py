@@ -222,7 +222,7 @@ def test_scenarios_without_a_campaign_type(spark, params):
 
 def test_segment_thresholds_and_order(spark):
     frame = spark.createDataFrame([(s,) for s in (15, 13, 12, 10, 9, 7, 6, 3)], "rfm_score int")
-    found = rows(frame.selectExpr(f"{rfm.SEGMENT_OF_SCORE} AS s"), "s")
+    found = rows(frame.selectExpr(f"{rfm.segment_sql()} AS s"), "s")
     assert [s for (s,) in found] == [
         "Champions", "Champions", "Loyal", "Loyal", "At Risk", "At Risk", "Lost", "Lost",
     ]

@@ -17,19 +17,23 @@ def discount_ratio(customers: DataFrame) -> Column:
     return F.when(revenue != 0, disc.cast("double") / revenue.cast("double")).when(disc == 0, 0.0)
 
 
-def discount_bucket(ratio: Column) -> Column:
+def discount_bucket(
+    ratio: Column, buckets: list[tuple[float, str]] = DISCOUNT_BUCKETS
+) -> Column:
     """Right-closed bins, the first one including 0; outside values get no bucket."""
     bucket = F.when(ratio < 0, F.lit(None).cast("string"))
-    for upper, label in DISCOUNT_BUCKETS:
+    for upper, label in buckets:
         bucket = bucket.when(ratio <= upper, label)
     return bucket
 
 
-def discount_sensitivity(customers: DataFrame) -> DataFrame:
+def discount_sensitivity(
+    customers: DataFrame, buckets: list[tuple[float, str]] = DISCOUNT_BUCKETS
+) -> DataFrame:
     """Spend and value per segment and discount bucket, over households that bought in year 1."""
     bought = customers.filter(F.col("y1_n_baskets") > 0)
     bucketed = bought.withColumn("disc_ratio", discount_ratio(bought)).withColumn(
-        "disc_bucket", discount_bucket(F.col("disc_ratio"))
+        "disc_bucket", discount_bucket(F.col("disc_ratio"), buckets)
     )
     return (
         bucketed.dropna(subset=["disc_bucket", "rfm_segment"])
@@ -40,7 +44,7 @@ def discount_sensitivity(customers: DataFrame) -> DataFrame:
             round_half_even(mean(F.col("predicted_clv")), 2).alias("avg_clv"),
             round_half_even(mean(F.col("disc_ratio")), 2).alias("avg_disc_ratio"),
         )
-        .orderBy("rfm_segment", label_order(F.col("disc_bucket"), BUCKET_LABELS))
+        .orderBy("rfm_segment", label_order(F.col("disc_bucket"), [b for _, b in buckets]))
     )
 
 

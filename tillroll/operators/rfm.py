@@ -9,11 +9,10 @@ from ..schema import RFM_ORDER
 from .ranking import add_quintiles
 
 
-# Score thresholds of the segments.
-SEGMENT_OF_SCORE = (
-    "CASE WHEN rfm_score >= 13 THEN 'Champions' WHEN rfm_score >= 10 THEN 'Loyal' "
-    "WHEN rfm_score >= 7 THEN 'At Risk' ELSE 'Lost' END"
-)
+def segment_sql(cuts: tuple[int, int, int] = (13, 10, 7)) -> str:
+    """SQL for the segment of a summed score."""
+    cases = " ".join(f"WHEN rfm_score >= {cut} THEN '{s}'" for cut, s in zip(cuts, RFM_ORDER))
+    return f"CASE {cases} ELSE '{RFM_ORDER[-1]}' END"
 
 
 def segment_order(segment: Column) -> Column:
@@ -24,7 +23,7 @@ def segment_order(segment: Column) -> Column:
     )
 
 
-def add_rfm(customers: DataFrame) -> DataFrame:
+def add_rfm(customers: DataFrame, cuts: tuple[int, int, int] = (13, 10, 7)) -> DataFrame:
     """Quintile scores with a short absence scoring high, their sum and the segment."""
     scored = add_quintiles(
         customers,
@@ -34,7 +33,7 @@ def add_rfm(customers: DataFrame) -> DataFrame:
     return (
         scored.selectExpr("* EXCEPT (r_rank)", "6 - r_rank AS r_score")
         .selectExpr("*", "r_score + f_score + m_score AS rfm_score")
-        .selectExpr("*", f"{SEGMENT_OF_SCORE} AS rfm_segment")
+        .selectExpr("*", f"{segment_sql(cuts)} AS rfm_segment")
     )
 
 

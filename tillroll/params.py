@@ -22,6 +22,7 @@ class Params:
     mailer_cost: dict[str, float] = field(
         default_factory=lambda: {"TypeA": 1.50, "TypeB": 0.80, "TypeC": 0.50}
     )
+    rfm_cuts: tuple[int, int, int] = (13, 10, 7)
     exclude_zero_pre: bool = True
     seed: int = 42
 

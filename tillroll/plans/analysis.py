@@ -79,7 +79,7 @@ class Analysis:
     @cached_property
     def segments(self) -> DataFrame:
         """Household measures with scores and segment: a map over the written measures."""
-        return rfm.add_rfm(self.spend)
+        return rfm.add_rfm(self.spend, self.params.rfm_cuts)
 
     @cached_property
     def engaged(self) -> DataFrame:

@@ -61,4 +61,5 @@ def run_analysis(
     register_views(spark, tables, params)
     for name in VIEWS:
         store.write(name, spark.table(name))
+    a.stage.close()
     return [*outputs, *VIEWS]

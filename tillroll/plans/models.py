@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..ml import churn as churn_ml, clv as clv_ml
 from ..operators.household import clv_features
+from ..operators.rfm import add_rfm
 from .analysis import Analysis
 
 
@@ -56,9 +57,8 @@ class Models:
     @cached_property
     def churn_input(self) -> DataFrame:
         """Customers with segment and train/test flag."""
-        from ..operators.rfm import add_rfm
-
-        return churn_ml.split(add_rfm(self.analysis.customers), self.analysis.params.seed)
+        params = self.analysis.params
+        return churn_ml.split(add_rfm(self.analysis.customers, params.rfm_cuts), params.seed)
 
     @cached_property
     def churn(self) -> churn_ml.ChurnModel:

@@ -1,6 +1,8 @@
 """Retail tables derived from a customer / orders / lineitem / part star schema.
 
 Stands in for a loyalty-card export: an order is a basket, a customer a household, a part a product.
+Every order and line is used. Key arithmetic only decides which households have demographics and which
+were sent a campaign, because real panels cover both in part.
 """
 
 from __future__ import annotations

@@ -25,24 +25,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Stage:
-    """Writes each named frame once and hands out the written table."""
+    """A scratch database in the shared folder: writes each named frame once, hands out the table."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self._root: str | None = None
+        self.database = f"stage_{uuid.uuid4().hex}"
         self._tables: dict[str, DataFrame] = {}
 
-    @property
-    def root(self) -> str:
-        if self._root is None:
-            self._root = f"{shared_folder(self.spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
-        return self._root
-
     def table(self, name: str, build) -> DataFrame:
         """``build`` is called, and its result written, only on the first request for ``name``."""
         if name not in self._tables:
-            frame = build()
-            path = f"{self.root}/{name}"
-            frame.write.mode("overwrite").parquet(path)
-            self._tables[name] = self.spark.read.schema(frame.schema).parquet(path)
+            if not self._tables:
+                root = f"{shared_folder(self.spark).rstrip('/')}/{self.database}"
+                self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{root}'")
+            build().write.saveAsTable(f"{self.database}.{name}", format="parquet", mode="overwrite")
+            self._tables[name] = self.spark.table(f"{self.database}.{name}")
         return self._tables[name]
+
+    def close(self) -> None:
+        """Drop the tables and their files; frames that read them cannot run any more."""
+        self.spark.sql(f"DROP DATABASE IF EXISTS {self.database} CASCADE")
+        self._tables.clear()
