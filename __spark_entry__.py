@@ -55,11 +55,7 @@ def _stand_in(a: Analysis) -> DataFrame:
 
 
 def _view(name: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        views.register_views(spark, star_tables(spark, sf_dir), P)
-        return spark.table(name)
-
-    return run
+    return lambda spark, sf_dir: views.VIEWS[name](star_tables(spark, sf_dir), P)
 
 
 def _segmented(build: Callable[[DataFrame], DataFrame], *measures: str) -> Query:
@@ -353,7 +349,7 @@ def _preset(name: str, *needed: str) -> Query:
         }
         for table in needed:
             build[table]().createOrReplaceTempView(table)
-        return presets.run_preset(spark, name)
+        return presets.PRESETS[name](spark)
 
     return run
 
@@ -489,17 +485,17 @@ def queries() -> dict[str, Query]:
         "kpi_summary": kpi_summary,
         # stored queries
         "top_customers": _preset(
-            "Top 20 customers by predicted CLV", "rfm_segments", "clv_predictions"
+            "top_customers", "rfm_segments", "clv_predictions"
         ),
-        "preset_campaign_roi": _preset("Campaign ROI by type", "campaign_roi"),
+        "preset_campaign_roi": _preset("campaign_roi", "campaign_roi"),
         "preset_high_risk": _preset(
-            "High churn-risk customers with revenue at stake", "churn_scores", "rfm_segments"
+            "high_risk", "churn_scores", "rfm_segments"
         ),
-        "preset_rfm_summary": _preset("RFM segment summary with avg CLV", "rfm_segments"),
-        "preset_cohorts": _preset("Cohort retention by join quarter", "cohort_results"),
-        "preset_scenarios": _preset("Financial scenario comparison", "financial_scenarios"),
-        "preset_top_categories": _preset("Top spending categories", "category_spend"),
-        "buyer_comparison": _preset("Campaign vs organic buyer comparison", "buyer_segments"),
+        "preset_rfm_summary": _preset("rfm_summary", "rfm_segments"),
+        "preset_cohorts": _preset("cohorts", "cohort_results"),
+        "preset_scenarios": _preset("scenarios", "financial_scenarios"),
+        "preset_top_categories": _preset("top_categories", "category_spend"),
+        "buyer_comparison": _preset("buyer_comparison", "buyer_segments"),
         # models
         "clv_oof": lambda s, d: clv_ml.clv_predictions(_models(s, d).oof),
         "clv_fold_metrics": lambda s, d: clv_ml.fold_table(_models(s, d).oof),

@@ -138,7 +138,7 @@ def test_full_run_from_csv_to_saved_results(spark, make_tables, tmp_path, capsys
     oof = store.read("clv_predictions")
     assert oof.count() == 120 == oof.select("household_key").distinct().count()
     capsys.readouterr()
-    main(["sql", f"{tmp_path}/out", "--preset", "Campaign vs organic buyer comparison"])
+    main(["sql", f"{tmp_path}/out", "--preset", "buyer_comparison"])
     shown = capsys.readouterr().out
     assert "Campaign" in shown and "Organic" in shown
     main(["sql", f"{tmp_path}/out", "SELECT * FROM rfm_segments", "--csv", f"{tmp_path}/rfm"])

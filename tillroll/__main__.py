@@ -2,7 +2,7 @@
 
     python -m tillroll run CSV_FOLDER RESULT_FOLDER [--trials N] [--max-trees N]
     python -m tillroll sql RESULT_FOLDER "SELECT ..." [--csv OUT_FOLDER]
-    python -m tillroll sql RESULT_FOLDER --preset "Campaign ROI by type"
+    python -m tillroll sql RESULT_FOLDER --preset campaign_roi
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ def sql(args: argparse.Namespace) -> None:
     folder = args.results.rstrip("/")
     for table in {*RESULT_TABLES, *VIEWS}:
         spark.read.parquet(f"{folder}/{table}").createOrReplaceTempView(table)
-    result = query(spark, PRESETS[args.preset] if args.preset else args.text)
+    result = PRESETS[args.preset](spark) if args.preset else query(spark, args.text)
     if args.csv:
         export_csv(result, args.csv)
     else:

@@ -1,73 +1,108 @@
-"""Stored queries over the result tables, run as ordinary Spark SQL."""
+"""Stored queries over the saved result tables, and free-form SQL.
+
+A stored query reads tables by name from the session, so it works on saved tables and on temporary
+views alike. Ties are broken by key, which makes every limited result repeatable.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-PRESETS = {
-    "Top 20 customers by predicted CLV": """
-        SELECT r.household_key, r.rfm_segment, r.total_spend, c.predicted_clv, c.actual_y2_spend,
-               ROUND(c.predicted_clv - c.actual_y2_spend, 2) AS prediction_error
-        FROM rfm_segments r JOIN clv_predictions c ON r.household_key = c.household_key
-        ORDER BY c.predicted_clv DESC, r.household_key
-        LIMIT 20""",
-    "Campaign ROI by type": """
-        SELECT campaign_type, n_households,
-               ROUND(avg_pre_weekly_spend, 2) AS pre_weekly_spend,
-               ROUND(avg_during_weekly_spend, 2) AS during_weekly_spend,
-               ROUND(avg_uplift_weekly, 2) AS uplift_per_week,
-               ROUND(total_incremental_rev, 0) AS total_uplift,
-               ROUND(revenue_roi, 2) AS revenue_roi,
-               ROUND(net_roi, 2) AS net_roi_margin_adj,
-               p_value, significant
-        FROM campaign_roi
-        ORDER BY revenue_roi DESC, campaign_type""",
-    "High churn-risk customers with revenue at stake": """
-        SELECT cs.household_key, cs.churn_probability, cs.predicted_clv, cs.rfm_segment,
-               r.total_spend, r.n_baskets, r.recency_days
-        FROM churn_scores cs JOIN rfm_segments r ON cs.household_key = r.household_key
-        WHERE cs.churn_probability >= 0.70
-        ORDER BY cs.predicted_clv DESC, cs.household_key
-        LIMIT 30""",
-    "RFM segment summary with avg CLV": """
-        SELECT rfm_segment, COUNT(*) AS n_customers,
-               ROUND(AVG(total_spend), 2) AS avg_2yr_spend,
-               ROUND(AVG(n_baskets), 1) AS avg_baskets,
-               ROUND(AVG(recency_days), 0) AS avg_recency_days,
-               ROUND(AVG(predicted_clv), 2) AS avg_predicted_clv,
-               ROUND(AVG(is_churned) * 100, 1) AS churn_rate_pct
-        FROM rfm_segments
-        GROUP BY rfm_segment
-        ORDER BY avg_2yr_spend DESC""",
-    "Cohort retention by join quarter": """
-        SELECT first_quarter, n_customers,
-               ROUND(avg_spend, 2) AS avg_2yr_spend,
-               ROUND(avg_baskets, 1) AS avg_baskets,
-               ROUND(avg_clv, 2) AS avg_predicted_clv,
-               ROUND(churn_rate * 100, 1) AS churn_rate_pct
-        FROM cohort_results
-        ORDER BY first_quarter""",
-    "Financial scenario comparison": """
-        SELECT scenario, n_households, mailer_cost, incremental_revenue, revenue_roi, cost_saving
-        FROM financial_scenarios
-        ORDER BY revenue_roi DESC, scenario""",
-    "Top spending categories": """
-        SELECT department, n_households, total_spend,
-               ROUND(avg_item_spend, 2) AS avg_item_spend, n_baskets
-        FROM category_spend
-        ORDER BY total_spend DESC, department
-        LIMIT 10""",
-    "Campaign vs organic buyer comparison": """
-        SELECT buyer_type, COUNT(*) AS n_households,
-               ROUND(AVG(total_spend), 2) AS avg_spend,
-               ROUND(AVG(n_baskets), 1) AS avg_baskets
-        FROM buyer_segments
-        GROUP BY buyer_type""",
-}
+
+def _rounded(source: str, digits: int, name: str | None = None) -> Column:
+    return F.round(F.col(source), digits).alias(name or source)
+
+
+def _average(source: str, digits: int, name: str) -> Column:
+    return F.round(F.avg(source), digits).alias(name)
+
+
+def top_customers(spark: SparkSession, n: int = 20) -> DataFrame:
+    """Highest predicted values beside what was spent."""
+    predicted = spark.table("clv_predictions").select(
+        "household_key", "predicted_clv", "actual_y2_spend"
+    )
+    known = spark.table("rfm_segments").select("household_key", "rfm_segment", "total_spend")
+    error = F.round(F.col("predicted_clv") - F.col("actual_y2_spend"), 2)
+    return (
+        known.join(predicted, "household_key").withColumn("prediction_error", error)
+        .orderBy(F.desc("predicted_clv"), "household_key").limit(n)
+    )
+
+
+def campaign_roi(spark: SparkSession) -> DataFrame:
+    return spark.table("campaign_roi").orderBy(F.desc("revenue_roi"), "campaign_type").select(
+        "campaign_type", "n_households",
+        _rounded("avg_pre_weekly_spend", 2, "pre_weekly_spend"),
+        _rounded("avg_during_weekly_spend", 2, "during_weekly_spend"),
+        _rounded("avg_uplift_weekly", 2, "uplift_per_week"),
+        _rounded("total_incremental_rev", 0, "total_uplift"),
+        _rounded("revenue_roi", 2), _rounded("net_roi", 2, "net_roi_margin_adj"),
+        "p_value", "significant",
+    )
+
+
+def high_risk(spark: SparkSession, threshold: float = 0.70, n: int = 30) -> DataFrame:
+    """Likely leavers with the most predicted value."""
+    scores = spark.table("churn_scores").filter(F.col("churn_probability") >= threshold)
+    history = spark.table("rfm_segments").select(
+        "household_key", "total_spend", "n_baskets", "recency_days"
+    )
+    return (
+        scores.select("household_key", "churn_probability", "predicted_clv", "rfm_segment")
+        .join(history, "household_key")
+        .orderBy(F.desc("predicted_clv"), "household_key").limit(n)
+    )
 
 
-def run_preset(spark: SparkSession, name: str) -> DataFrame:
-    return spark.sql(PRESETS[name])
+def rfm_summary(spark: SparkSession) -> DataFrame:
+    """Size, means and churn per segment, best spenders first."""
+    leaving = F.round(F.avg("is_churned") * 100, 1).alias("churn_rate_pct")
+    return spark.table("rfm_segments").groupBy("rfm_segment").agg(
+        F.count(F.lit(1)).alias("n_customers"),
+        _average("total_spend", 2, "avg_2yr_spend"), _average("n_baskets", 1, "avg_baskets"),
+        _average("recency_days", 0, "avg_recency_days"),
+        _average("predicted_clv", 2, "avg_predicted_clv"), leaving,
+    ).orderBy(F.desc("avg_2yr_spend"))
+
+
+def cohorts(spark: SparkSession) -> DataFrame:
+    leaving = F.round(F.col("churn_rate") * 100, 1).alias("churn_rate_pct")
+    return spark.table("cohort_results").orderBy("first_quarter").select(
+        "first_quarter", "n_customers", _rounded("avg_spend", 2, "avg_2yr_spend"),
+        _rounded("avg_baskets", 1), _rounded("avg_clv", 2, "avg_predicted_clv"), leaving,
+    )
+
+
+def scenarios(spark: SparkSession) -> DataFrame:
+    return spark.table("financial_scenarios").orderBy(F.desc("revenue_roi"), "scenario").select(
+        "scenario", "n_households", "mailer_cost", "incremental_revenue", "revenue_roi",
+        "cost_saving",
+    )
+
+
+def top_categories(spark: SparkSession, n: int = 10) -> DataFrame:
+    ranked = spark.table("category_spend").orderBy(F.desc("total_spend"), "department").limit(n)
+    return ranked.select(
+        "department", "n_households", "total_spend", _rounded("avg_item_spend", 2), "n_baskets"
+    )
+
+
+def buyer_comparison(spark: SparkSession) -> DataFrame:
+    """Households reached by campaigns against the others."""
+    return spark.table("buyer_segments").groupBy("buyer_type").agg(
+        F.count(F.lit(1)).alias("n_households"),
+        _average("total_spend", 2, "avg_spend"), _average("n_baskets", 1, "avg_baskets"),
+    )
+
+
+PRESETS = {
+    preset.__name__: preset
+    for preset in (
+        top_customers, campaign_roi, high_risk, rfm_summary, cohorts, scenarios, top_categories,
+        buyer_comparison,
+    )
+}
 
 
 def query(spark: SparkSession, sql: str) -> DataFrame:

@@ -1,81 +1,96 @@
-"""The five SQL views over the raw tables."""
+"""The five summary views over the raw tables, usable from SQL once registered."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..params import Params
-from ..schema import RetailTables
+from ..schema import MONEY, RetailTables
 from ..session import split_hot_partitions
 
-# A mean of decimals divided once at high scale, so rounding to cents sees the exact quotient.
-CUSTOMER_SUMMARY = """
-SELECT household_key,
-       COUNT(DISTINCT basket_id)                                          AS n_baskets,
-       CAST(ROUND(SUM(basket_spend), 2) AS DOUBLE)                        AS total_spend,
-       CAST(ROUND(SUM(basket_spend) / COUNT(basket_spend), 2) AS DOUBLE)  AS avg_basket,
-       MIN(day)                                                           AS first_day,
-       MAX(day)                                                           AS last_day,
-       MAX(day) - MIN(day)                                                AS tenure_days,
-       {max_day} - MAX(day)                                               AS recency_days
-FROM (SELECT household_key, basket_id, day,
-             CAST(SUM(sales_value) AS DECIMAL(18,4)) AS basket_spend
-      FROM transactions
-      GROUP BY household_key, basket_id, day) AS baskets
-GROUP BY household_key
-"""
-
-CAMPAIGN_SUMMARY = """
-SELECT description,
-       COUNT(DISTINCT household_key) AS n_households,
-       COUNT(DISTINCT campaign)      AS n_campaigns
-FROM campaign_assignments
-GROUP BY description
-"""
-
-WEEKLY_SPEND = """
-SELECT household_key, week_no,
-       CAST(ROUND(SUM(sales_value), 2) AS DOUBLE) AS weekly_spend,
-       COUNT(DISTINCT basket_id)                  AS n_baskets
-FROM transactions
-GROUP BY household_key, week_no
-"""
-
-# The inner aggregation shrinks the joined lines before the two distinct counts multiply them.
-CATEGORY_SPEND = """
-SELECT department,
-       COUNT(DISTINCT basket_id)                                 AS n_baskets,
-       CAST(ROUND(SUM(spend), 2) AS DOUBLE)                      AS total_spend,
-       CAST(ROUND(SUM(spend) / SUM(n_lines), 2) AS DOUBLE)       AS avg_item_spend,
-       COUNT(DISTINCT household_key)                             AS n_households
-FROM (SELECT p.department, t.household_key, t.basket_id,
-             CAST(SUM(t.sales_value) AS DECIMAL(18,4)) AS spend, COUNT(t.sales_value) AS n_lines
-      FROM transactions t JOIN products p ON t.product_id = p.product_id
-      GROUP BY p.department, t.household_key, t.basket_id) AS per_basket
-GROUP BY department
-"""
-
-BUYER_SEGMENTS = """
-SELECT s.household_key, s.total_spend, s.n_baskets,
-       CASE WHEN a.household_key IS NOT NULL THEN 'Campaign' ELSE 'Organic' END AS buyer_type
-FROM customer_summary s
-LEFT JOIN (SELECT DISTINCT household_key FROM campaign_assignments) a
-  ON s.household_key = a.household_key
-"""
+
+def to_cents(amount: Column) -> Column:
+    """Half-up rounding in decimal; a mean is divided at high scale first, so no tie is missed."""
+    return F.round(amount, 2).cast("double")
+
+
+def customer_summary(tables: RetailTables, params: Params) -> DataFrame:
+    """Baskets, spend, first and last day per household; means are per basket and day (A1)."""
+    visits = tables.transactions.groupBy("household_key", "basket_id", "day").agg(
+        F.sum("sales_value").cast(MONEY).alias("spend")
+    )
+    last = F.col("last_day")
+    return (
+        visits.groupBy("household_key")
+        .agg(
+            F.count_distinct("basket_id").alias("n_baskets"),
+            to_cents(F.sum("spend")).alias("total_spend"),
+            to_cents(F.try_divide(F.sum("spend"), F.count("spend"))).alias("avg_basket"),
+            F.min("day").alias("first_day"),
+            F.max("day").alias("last_day"),
+        )
+        .withColumns({
+            "tenure_days": last - F.col("first_day"), "recency_days": params.max_day - last,
+        })
+    )
+
+
+def campaign_summary(tables: RetailTables, params: Params) -> DataFrame:
+    """Reach and number of campaigns per mailer type (A2)."""
+    return tables.campaign_assignments.groupBy("description").agg(
+        F.count_distinct("household_key").alias("n_households"),
+        F.count_distinct("campaign").alias("n_campaigns"),
+    )
+
+
+def weekly_spend(tables: RetailTables, params: Params) -> DataFrame:
+    """Spend and baskets per household and week (A3)."""
+    return tables.transactions.groupBy("household_key", "week_no").agg(
+        to_cents(F.sum("sales_value")).alias("weekly_spend"),
+        F.count_distinct("basket_id").alias("n_baskets"),
+    )
+
+
+def category_spend(tables: RetailTables, params: Params) -> DataFrame:
+    """Baskets, households, spend and spend per line of each department.
+
+    Lines shrink to baskets before the two distinct counts multiply the rows.
+    """
+    sold = tables.transactions.join(
+        tables.products.select("product_id", "department"), "product_id"
+    )
+    per_basket = sold.groupBy("department", "household_key", "basket_id").agg(
+        F.sum("sales_value").cast(MONEY).alias("spend"), F.count("sales_value").alias("lines")
+    )
+    return per_basket.groupBy("department").agg(
+        F.count_distinct("basket_id").alias("n_baskets"),
+        to_cents(F.sum("spend")).alias("total_spend"),
+        to_cents(F.try_divide(F.sum("spend"), F.sum("lines"))).alias("avg_item_spend"),
+        F.count_distinct("household_key").alias("n_households"),
+    )
+
+
+def buyer_segments(tables: RetailTables, params: Params) -> DataFrame:
+    """Households by whether any campaign was ever sent to them."""
+    sent = tables.campaign_assignments.select("household_key").distinct().withColumn(
+        "buyer_type", F.lit("Campaign")
+    )
+    return customer_summary(tables, params).join(sent, "household_key", "left").select(
+        "household_key", "total_spend", "n_baskets",
+        F.coalesce("buyer_type", F.lit("Organic")).alias("buyer_type"),
+    )
+
 
 VIEWS = {
-    "customer_summary": CUSTOMER_SUMMARY,
-    "campaign_summary": CAMPAIGN_SUMMARY,
-    "weekly_spend": WEEKLY_SPEND,
-    "category_spend": CATEGORY_SPEND,
-    "buyer_segments": BUYER_SEGMENTS,
+    view.__name__: view
+    for view in (customer_summary, campaign_summary, weekly_spend, category_spend, buyer_segments)
 }
 
 
 def register_views(spark: SparkSession, tables: RetailTables, params: Params) -> None:
-    """Create or replace a temporary view per raw table and per view definition."""
+    """Create or replace a temporary view per raw table and per summary."""
     split_hot_partitions(spark)
     for name, frame in tables.items():
         frame.createOrReplaceTempView(name)
-    for name, text in VIEWS.items():
-        spark.sql(text.format(max_day=params.max_day)).createOrReplaceTempView(name)
+    for name, view in VIEWS.items():
+        view(tables, params).createOrReplaceTempView(name)
