@@ -105,16 +105,13 @@ def customer_base(
 def impute_medians(customers: DataFrame) -> DataFrame:
     """Fill income and age with the median over households that have one (P20).
 
-    ``percentile`` keeps a count per distinct value: at most 12 incomes and 6 ages.
+    ``percentile`` keeps a count per distinct value: at most 12 incomes and 6 ages. The two medians
+    become literals, so models that read the table again and again do not compute them again.
     """
-    medians = customers.agg(
-        F.struct(
-            F.percentile("income_val", 0.5).alias("income_val"),
-            F.percentile("age_val", 0.5).alias("age_val"),
-        ).alias("medians")
-    ).scalar()
+    columns = ("income_val", "age_val")
+    medians = customers.agg(*[F.percentile(c, 0.5).alias(c) for c in columns]).first()
     return customers.withColumns(
-        {c: F.coalesce(F.col(c), medians.getField(c)) for c in ("income_val", "age_val")}
+        {c: F.coalesce(F.col(c), F.lit(medians[c]).cast("double")) for c in columns}
     )
 
 
