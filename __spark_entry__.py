@@ -24,6 +24,13 @@ from tillroll.plans.models import Models
 from tillroll.sources.star import STAR_PARAMS as P, star_tables
 from tillroll.sources.store import in_display_order
 
+try:
+    from tillroll.llm.registry import ORACLES as LLM_ORACLES, QUERIES as LLM_QUERIES
+except ModuleNotFoundError as missing:  # the library works without the subpackage
+    if missing.name not in ("tillroll.llm", "tillroll.llm.registry"):
+        raise
+    LLM_ORACLES, LLM_QUERIES = {}, {}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # A small search and few trees: enough to run every model step on test data.
@@ -507,9 +514,10 @@ def queries() -> dict[str, Query]:
         "churn_coefficients": lambda s, d: churn_ml.coefficients(_models(s, d).churn, s),
         "churn_metrics": churn_metrics,
         "high_risk_customers": lambda s, d: scenarios.high_risk_customers(_models(s, d).scored, P),
+        **LLM_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query; the model queries have none."""
-    return dict(ORACLES)
+    return {**ORACLES, **LLM_ORACLES}

@@ -7,8 +7,9 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SMALL
+from oracle_sql import ORACLES
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES = {k: q for k, q in entry.queries().items() if k not in entry.LLM_QUERIES}
 SAMPLE = [
     "customer_summary", "category_spend", "buyer_segments", "basket_fact", "customer_master",
     "y1_features", "churn_split", "model_splits", "rfm_segments", "campaign_uplift_detail",
