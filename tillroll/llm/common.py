@@ -75,3 +75,39 @@ def components(edges: DataFrame) -> DataFrame:
             F.col("v").alias("u"), F.col("m").alias("v")
         ).union(least).distinct()
         current = written(small, "small_star")
+
+
+def bound_to(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, also where ``use`` names it inside a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+SPANS = "array<struct<start:int,end:int,found:string>>"
+
+
+def spans_of(text: Column, pattern: Column) -> Column:
+    """Leftmost non-overlapping matches of ``pattern`` as (start, end, found), in code points.
+
+    The gaps that ``split`` leaves and the matches themselves alternate, so their lengths give the
+    places. The pattern must not match the empty string.
+    """
+    parts = F.struct(
+        F.split(text, pattern, -1).alias("gaps"),
+        F.regexp_extract_all(text, pattern, F.lit(0)).alias("found"),
+    )
+
+    def walk(p: Column) -> Column:
+        def step(acc: Column, k: Column) -> Column:
+            start = acc["at"] + F.char_length(F.get(p["gaps"], k))
+            found = F.get(p["found"], k)
+            end = start + F.char_length(found)
+            span = F.struct(start.alias("start"), end.alias("end"), found.alias("found"))
+            return F.struct(end.alias("at"), F.array_append(acc["out"], span).alias("out"))
+
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
+        last = F.size(p["found"]) - 1
+        return F.when(
+            last >= 0, F.aggregate(F.sequence(F.lit(0), last), zero, step, lambda acc: acc["out"])
+        ).otherwise(F.array().cast(SPANS))
+
+    return bound_to(parts, walk)

@@ -1,8 +1,12 @@
 """The registered queries of this subpackage and their SQL."""
 
+from tillroll.llm.license_rules import op4_license_rules
+from tillroll.llm.pii import op3_pii
 from tillroll.llm.quality_rules import op10_quality_rules
 
 QUERIES = {
+    "op3_pii": op3_pii,
+    "op4_license_rules": op4_license_rules,
     "op10_quality_rules": op10_quality_rules,
 }
 
