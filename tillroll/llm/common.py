@@ -62,7 +62,8 @@ def components(edges: DataFrame) -> DataFrame:
             F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))
         ).first()
         if found == state or not found[0]:
-            return current.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            roots = current.select(F.col("v").alias("u"), "v").distinct()
+            return current.union(roots).toDF("node", "component")
         state = found
         both = current.union(current.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
