@@ -4,12 +4,16 @@ from tillroll.llm.license_rules import op4_license_rules
 from tillroll.llm.packing import op7_packing
 from tillroll.llm.pii import op3_pii
 from tillroll.llm.quality_rules import op10_quality_rules
+from tillroll.llm.secrets import op6_secrets
 from tillroll.llm.simhash import op1_simhash
+from tillroll.llm.warc import op5_warc
 
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_pii": op3_pii,
     "op4_license_rules": op4_license_rules,
+    "op5_warc": op5_warc,
+    "op6_secrets": op6_secrets,
     "op7_packing": op7_packing,
     "op10_quality_rules": op10_quality_rules,
 }
