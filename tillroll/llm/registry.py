@@ -1,5 +1,6 @@
 """The registered queries of this subpackage and their SQL."""
 
+from tillroll.llm.decontaminate import OP8_SQL, op8_decontaminate
 from tillroll.llm.license_rules import op4_license_rules
 from tillroll.llm.packing import op7_packing
 from tillroll.llm.pii import op3_pii
@@ -15,7 +16,10 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op6_secrets": op6_secrets,
     "op7_packing": op7_packing,
+    "op8_decontaminate": op8_decontaminate,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_decontaminate": OP8_SQL,
+}
