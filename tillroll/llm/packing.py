@@ -28,6 +28,8 @@ from tillroll.llm.tokens import default_vocabulary, encoder
 
 CAPACITY = 1024
 BIN_DOCS = 2000
+END = bytes(4)  # id 0 closes a document
+TOGETHER = 1 << 20  # characters of text that are encoded together
 
 
 def fill_window(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -77,20 +79,25 @@ def pieces(
     path = vocabulary or default_vocabulary()
 
     def run(batches):
-        encode = encoder(path).encode
+        encode_all = encoder(path).encode_all
         for batch in batches:
-            rows, held = [], 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encode(text) + b"\0\0\0\0"
-                n = len(ids) // 4
-                for at in range(0, n, capacity):
-                    part = ids[4 * at:4 * (at + capacity)]
-                    rows.append((doc_id, at, len(part) // 4, part, n))
-                held += len(ids)
-                if held > 1 << 24:
-                    yield _batch(rows, batch.schema.field(0).type)
-                    rows, held = [], 0
-            yield _batch(rows, batch.schema.field(0).type)
+            ids_column, text_column = batch.column(0), batch.column(1)
+            at = 0
+            while at < len(ids_column):
+                some, held = [], 0
+                while at < len(ids_column) and held < TOGETHER:
+                    some.append(text_column[at].as_py())
+                    held += len(some[-1])
+                    at += 1
+                rows = []
+                owners = ids_column.slice(at - len(some), len(some)).to_pylist()
+                for doc_id, chunks in zip(owners, encode_all(some)):
+                    ids = b"".join(chunks) + END
+                    n = len(ids) // 4
+                    for start in range(0, n, capacity):
+                        part = ids[4 * start:4 * (start + capacity)]
+                        rows.append((doc_id, start, len(part) // 4, part, n))
+                yield _batch(rows, ids_column.type)
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     return texts.mapInArrow(

@@ -15,8 +15,9 @@ import numpy as np
 # White space as the tokenizer knows it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
-REMEMBERED = 500_000  # chunks, then the memory starts anew
+REMEMBERED = 700_000  # chunks, then the memory starts anew
 LONGEST = 40  # longer chunks are encoded, not remembered
+TOGETHER = 4096  # new chunks that are encoded in one call
 
 
 class Encoder:
@@ -29,25 +30,46 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.seen: dict[str, bytes] = {}
-
-    def ids_of(self, chunks: list[str]) -> list[bytes]:
-        """The ids of each chunk of one text."""
+        vocabulary = self.tokenizer.get_vocab()
+        self.token_bytes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, number in vocabulary.items():
+            self.token_bytes[number] = len(token)  # a byte-level token has a character per byte
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _encode_chunks(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of new chunks. Those that begin with a space stay apart when laid end to end."""
+        spaced = [c for c in chunks if c[0] == " " and len(c) > 1 and c[-1] != " "]
+        found = {c: self._ids(c).tobytes() for c in set(chunks).difference(spaced)}
+        for at in range(0, len(spaced), TOGETHER):
+            some = spaced[at:at + TOGETHER]
+            ids = self._ids("".join(some))
+            ends = np.cumsum([len(c.encode()) for c in some])
+            cuts = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends) + 1
+            flat = ids.tobytes()
+            found.update(zip(some, (
+                flat[4 * a:4 * b] for a, b in zip([0, *cuts.tolist()], cuts.tolist())
+            )))
+        return found
+
+    def encode_all(self, texts: list[str]) -> list[list[bytes]]:
+        """Per text, the ids of its chunks."""
+        cut = [CHUNK.findall(t) for t in texts]
         seen = self.seen
-        try:
-            return [seen[c] for c in chunks]
-        except KeyError:
-            pass
-        new = [c for c in dict.fromkeys(chunks) if c not in seen]
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        fresh = {c: np.array(e.ids, dtype="<u4").tobytes() for c, e in zip(new, encoded)}
-        out = [seen.get(c) or fresh[c] for c in chunks]
+        new = set().union(*cut).difference(seen)
+        fresh = self._encode_chunks(sorted(new))
+        seen.update(fresh)
+        out = [list(map(seen.__getitem__, chunks)) for chunks in cut]
+        for c in fresh:
+            if len(c) > LONGEST:
+                del seen[c]
         if len(seen) > REMEMBERED:
             seen.clear()
-        seen.update((c, ids) for c, ids in fresh.items() if len(c) <= LONGEST)
         return out
 
     def encode(self, text: str) -> bytes:
-        return b"".join(self.ids_of(CHUNK.findall(text)))
+        return b"".join(self.encode_all([text])[0])
 
 
 _ENCODERS: dict[str, Encoder] = {}
