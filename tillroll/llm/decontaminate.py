@@ -169,19 +169,19 @@ def op8_decontaminate(spark, sf_dir):
 # The same rows by comparing every window of shared shingles, without fingerprints.
 OP8_SQL = r"""
 WITH doc_words AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents WHERE doc_id IS NOT NULL
 ), item_words AS (
-  SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM benchmark WHERE item_id IS NOT NULL
 ), doc_shingles AS (
   SELECT DISTINCT doc_id, len(w) - 4 AS size, unnest(range(0, len(w) - 4)) AS p,
-    unnest(list_transform(range(1, len(w) - 3), i -> concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]))) AS s
+    unnest(list_transform(range(1, len(w) - 3), lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]))) AS s
   FROM doc_words WHERE len(w) >= 5
 ), item_shingles AS (
   SELECT item_id, m, s, count(*) AS times FROM (
     SELECT item_id, len(w) - 4 AS m,
-      unnest(list_transform(range(1, len(w) - 3), i -> concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]))) AS s
+      unnest(list_transform(range(1, len(w) - 3), lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]))) AS s
     FROM item_words WHERE len(w) >= 5
   ) GROUP BY ALL
 ), hits AS (
