@@ -234,7 +234,11 @@ def judge(docs: DataFrame, rules: list) -> DataFrame:
 def keep_good(docs: DataFrame, rules: list) -> DataFrame:
     """The rows of ``docs`` that neither the base rule nor the learned list rejects."""
     rows = whole_rows(docs).select("text", "row")
-    return _measured(rows).where(~base_failed() & (rule_number(rules) == 0)).select("row.*")
+    verdict = ~base_failed() & (rule_number(rules) == 0)
+    # The verdict is a generated column: a filter on it is not copied below the projections, where
+    # the statistics would be computed once more for each place that names them.
+    judged = _measured(rows).select("row", F.explode_outer(F.array(verdict)).alias("kept"))
+    return judged.where("kept").select("row.*")
 
 
 def op10_quality_rules(spark, sf_dir):

@@ -1,5 +1,6 @@
 """The registered queries of this subpackage and their SQL."""
 
+import corpus_pipeline
 from tillroll.llm.decontaminate import OP8_SQL, op8_decontaminate
 from tillroll.llm.license_rules import op4_license_rules
 from tillroll.llm.packing import op7_packing
@@ -7,6 +8,7 @@ from tillroll.llm.pii import op3_pii
 from tillroll.llm.quality_rules import op10_quality_rules
 from tillroll.llm.secrets import op6_secrets
 from tillroll.llm.simhash import op1_simhash
+from tillroll.llm.token_counts import op9_token_counts
 from tillroll.llm.warc import op5_warc
 
 QUERIES = {
@@ -17,7 +19,9 @@ QUERIES = {
     "op6_secrets": op6_secrets,
     "op7_packing": op7_packing,
     "op8_decontaminate": op8_decontaminate,
+    "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {

@@ -68,6 +68,15 @@ class Encoder:
             seen.clear()
         return out
 
+    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each of these chunks."""
+        fresh = self._encode_chunks(sorted(set(chunks).difference(self.seen)))
+        out = [fresh[c] if c in fresh else self.seen[c] for c in chunks]
+        if len(self.seen) > REMEMBERED:
+            self.seen.clear()
+        self.seen.update((c, ids) for c, ids in fresh.items() if len(c) <= LONGEST)
+        return out
+
     def encode(self, text: str) -> bytes:
         return b"".join(self.encode_all([text])[0])
 
