@@ -8,11 +8,13 @@ from tillroll.llm.pii import op3_pii
 from tillroll.llm.quality_rules import op10_quality_rules
 from tillroll.llm.secrets import op6_secrets
 from tillroll.llm.simhash import op1_simhash
+from tillroll.llm.suffix_dedup import op2_suffix_dedup
 from tillroll.llm.token_counts import op9_token_counts
 from tillroll.llm.warc import op5_warc
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_pii": op3_pii,
     "op4_license_rules": op4_license_rules,
     "op5_warc": op5_warc,
