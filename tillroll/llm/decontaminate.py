@@ -29,8 +29,8 @@ LEAST = 8  # tenths: similarity of 0.8 or more
 RADIUS = 20
 
 
-def _shingles(frame: DataFrame, key: str, text_column: str) -> DataFrame:
-    """(key, shingles): 64-bit hashes of the shingles of each text by place, null if it has none."""
+def _shingles(frame: DataFrame, key: str, text_column: str, *others: str) -> DataFrame:
+    """(key, others, shingles): 64-bit hashes of the shingles of each text by place, null if it has none."""
     words = F.array_remove(F.split(
         F.lower(F.coalesce(F.col(text_column).cast("string"), F.lit(""))), SPACES, -1
     ), "")
@@ -43,7 +43,9 @@ def _shingles(frame: DataFrame, key: str, text_column: str) -> DataFrame:
             lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(SHINGLE))),
         ))
 
-    return frame.where(F.col(key).isNotNull()).select(key, bound_to(words, hashed).alias("shingles"))
+    return frame.where(F.col(key).isNotNull()).select(
+        key, *others, bound_to(words, hashed).alias("shingles")
+    )
 
 
 def _fingerprint(shingles: Column) -> Column:
@@ -117,9 +119,12 @@ def contaminated(
     wanted = pairs.select("doc_id", "m", "size", F.explode(starts).alias("a")).groupBy(
         "doc_id", "size"
     ).agg(F.collect_set(F.struct("m", "a")).alias("windows"))
-    found = shingled.join(wanted.withColumnRenamed("doc_id", "id"), F.col("doc_id") == F.col("id")).where(
+    # Only documents that may hold an item are shingled again.
+    texts = docs.select(F.col("doc_id").alias("id"), F.col("text"))
+    again = _shingles(texts.join(wanted, F.col("id") == F.col("doc_id")), "doc_id", "text", "size", "windows")
+    found = again.select("doc_id", "size", "shingles", F.explode_outer("windows").alias("w")).where(
         F.size("shingles") == F.col("size")
-    ).select("doc_id", "shingles", F.explode("windows").alias("w")).select(
+    ).select(
         "doc_id", F.col("w.m").alias("m"), F.col("w.a").alias("a"),
         F.slice("shingles", F.col("w.a") + 1, F.col("w.m")).alias("window"),
     )

@@ -22,7 +22,7 @@ from tillroll.llm.common import id_and_text, whole_rows, words_of
 SYMBOLS = "#*$%&|<>"
 FEATURES = (
     "words", "mean_word", "symbols_per_word", "dup_line_share", "repeat_share", "distinct_share",
-    "words_per_line",
+    "words_per_line", "upper_share", "marks_per_word",
 )
 
 
@@ -53,17 +53,22 @@ def _measured(frame: DataFrame) -> DataFrame:
     """Adds ``stats`` and ``features`` to a frame that has ``text``; other columns stay."""
     kept = [c for c in frame.columns if c != "text"]
     text = F.col("text")
-    symbols = F.char_length(text) - F.char_length(F.translate(text, SYMBOLS, ""))
+
+    def occurring(characters: str) -> Column:
+        return F.char_length(text) - F.char_length(F.translate(text, characters, ""))
+
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     split = frame.select(
         *kept,
         words_of(text).alias("words"),
         lines.alias("lines"),
-        F.when(text.rlike("[#*$%&|<>]"), symbols).otherwise(0).cast("long").alias("n_symbols"),
+        F.when(text.rlike("[#*$%&|<>]"), occurring(SYMBOLS)).otherwise(0).cast("long").alias("n_symbols"),
+        occurring("ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("n_upper"),
+        occurring("!?.,;:").alias("n_marks"),
     )
     # The threes are numbered by position; equal ones meet when they are sorted by hash.
     threes = split.select(
-        *kept, "n_symbols",
+        *kept, "n_symbols", "n_upper", "n_marks",
         F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.size("words").cast("long").alias("n_words"),
         F.size(F.array_distinct("words")).alias("n_distinct"),
@@ -74,7 +79,7 @@ def _measured(frame: DataFrame) -> DataFrame:
             " i -> xxhash64(words[i], words[i + 1], words[i + 2])) END"
         ).alias("threes"),
     )
-    base = ["word_chars", "n_symbols", "n_words", "n_distinct", "n_lines", "n_dup_lines"]
+    base = ["word_chars", "n_symbols", "n_upper", "n_marks", "n_words", "n_distinct", "n_lines", "n_dup_lines"]
     ordered = threes.select(
         *kept, *base,
         F.expr(
@@ -103,6 +108,8 @@ def _measured(frame: DataFrame) -> DataFrame:
         "repeat_share": share("n_repeat_words", "n_words"),
         "distinct_share": share("n_distinct", "n_words"),
         "words_per_line": share("n_words", "n_lines"),
+        "upper_share": share("n_upper", "word_chars"),
+        "marks_per_word": share("n_marks", "n_words"),
     }
     return counted.select(
         *kept,
@@ -127,8 +134,10 @@ def learn(docs: DataFrame, labels: DataFrame, params: CoverParams = CoverParams(
         F.min("quality").alias("quality")
     ).orderBy(F.xxhash64("doc_id"), "doc_id").limit(params.sample)
     rows = _measured(id_and_text(docs).join(chosen, "doc_id")).select(
-        "features.*", F.expr("quality = 0").alias("bad"), F.pmod(F.hash("doc_id"), F.lit(3)).alias("fold")
+        "features.*", F.expr("quality = 0").alias("bad"), base_failed().alias("settled"),
+        F.pmod(F.hash("doc_id"), F.lit(3)).alias("fold"),
     ).limit(2 * params.sample).collect()
+    rows = [r for r in rows if not r["settled"]]  # the base rule rejects these anyway
     if not rows:
         return []
     x = np.array([[r[f] for f in FEATURES] for r in rows], dtype=float)
@@ -138,17 +147,15 @@ def learn(docs: DataFrame, labels: DataFrame, params: CoverParams = CoverParams(
     return cover(x[order], bad[order], grow[order], params)
 
 
-def _masks(x: np.ndarray, count: int) -> tuple[list[Condition], np.ndarray]:
-    conditions, masks = [], []
+def _conditions(x: np.ndarray, every: np.ndarray, count: int) -> list[Condition]:
+    """Conditions at the quantiles of ``x``, ends included, that tell rows of ``every`` apart."""
+    found = []
     for j, feature in enumerate(FEATURES):
-        cuts = np.unique(np.quantile(x[:, j], np.linspace(0, 1, count + 2)[1:-1], method="lower"))
+        cuts = np.unique(np.quantile(x[:, j], np.linspace(0, 1, count + 2), method="lower"))
         for cut in cuts:
-            for above in (True, False):
-                mask = x[:, j] > cut if above else x[:, j] <= cut
-                if 0 < mask.sum() < len(mask):
-                    conditions.append(Condition(feature, above, float(cut)))
-                    masks.append(mask)
-    return conditions, np.array(masks, dtype=bool).reshape(len(masks), len(x))
+            if 0 < (every[:, j] > cut).sum() < len(every):
+                found += [Condition(feature, True, float(cut)), Condition(feature, False, float(cut))]
+    return found
 
 
 def cover(x: np.ndarray, bad: np.ndarray, grow: np.ndarray, params: CoverParams) -> list:
@@ -159,7 +166,7 @@ def cover(x: np.ndarray, bad: np.ndarray, grow: np.ndarray, params: CoverParams)
         return []
     conditions, seen = [], set()
     for part in parts:
-        for c in _masks(part, params.thresholds)[0]:
+        for c in _conditions(part, x[grow], params.thresholds):
             if c not in seen:
                 seen.add(c)
                 conditions.append(c)
@@ -171,6 +178,7 @@ def cover(x: np.ndarray, bad: np.ndarray, grow: np.ndarray, params: CoverParams)
         for c in conditions
     ])
     left, rules = np.ones(len(x), dtype=bool), []
+    failed = np.zeros(len(conditions), dtype=bool)  # as the first condition of a rule
     while len(rules) < params.max_rules:
         picked, inside = [], left.copy()
         while len(picked) < params.max_conditions:
@@ -183,6 +191,8 @@ def cover(x: np.ndarray, bad: np.ndarray, grow: np.ndarray, params: CoverParams)
             with np.errstate(divide="ignore", invalid="ignore"):
                 gain = p * (np.log2(p / (p + n)) - np.log2(p0 / (p0 + n0)))
             gain = np.where(p >= params.min_cover, gain, -1)
+            if not picked:
+                gain = np.where(failed, -1, gain)
             best = int(np.argmax(gain))
             if gain[best] <= 1e-9:
                 break
@@ -192,9 +202,11 @@ def cover(x: np.ndarray, bad: np.ndarray, grow: np.ndarray, params: CoverParams)
             break
 
         def worth(some: list[int]) -> float:
-            hit = left & ~grow
+            hit = left.copy()
             for k in some:
-                hit = hit & masks[k]
+                hit &= masks[k]
+            if (hit & bad & ~grow).any():  # a rule for few rows may miss the pruning rows
+                hit &= ~grow
             p, n = (hit & bad).sum(), (hit & ~bad).sum()
             return (p - n) / (p + n) if p + n else -1.0
 
@@ -205,7 +217,8 @@ def cover(x: np.ndarray, bad: np.ndarray, grow: np.ndarray, params: CoverParams)
             hit &= masks[k]
         p, n = (hit & bad).sum(), (hit & ~bad).sum()
         if p < params.min_cover or p < params.min_precision * (p + n) or worth(picked) <= 0:
-            break
+            failed[picked[0]] = True
+            continue
         rules.append(tuple(conditions[k] for k in picked))
         left &= ~hit
     return rules
