@@ -9,19 +9,22 @@ re-encoded and the sums above them updated.
 
 Defined results: a null text counts as empty and has no tokens; a null or empty list of edits changes
 nothing. Edits name places in the text as given (start, end exclusive, replacement), must not
-overlap and may come in any order; null edits and null replacements are taken as none and as
+overlap and may come in any order; edits near each other are made as one; null edits and null replacements are taken as none and as
 deletions. Repeated rows are counted each. Extra columns are left alone.
 """
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tillroll.llm.common import bound_to, spans_of
 from tillroll.llm.tokens import CHUNK, default_vocabulary, encoder
 
 LEAF = 8  # chunks
+NEAR = 32  # characters between edits that are made as one
+EDITS = "array<struct<start:int,end:int,replacement:string>>"
 LOOK_BACK = 2  # characters before an edit that a cut may have looked past
 
 
@@ -101,18 +104,35 @@ class TokenTree:
         return "".join(self.leaves)
 
 
-def count(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+def together(text: str, edits: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Edits that lie ``NEAR`` each other as one, from the last to the first."""
+    out: list[list] = []
+    for start, end, new in sorted(edits, key=lambda e: e[:2]):
+        if out and start - out[-1][1] <= NEAR:
+            out[-1][2] += [text[out[-1][1]:start], new]
+            out[-1][1] = end
+        else:
+            out.append([start, end, [new]])
+    return [(a, b, "".join(parts)) for a, b, parts in reversed(out)]
+
+
+def masks(pattern: str, replacement: str):
+    """A maker of edits that put ``replacement`` in place of every match of ``pattern``."""
+    compiled = re.compile(pattern)
+    return lambda text: [(m.start(), m.end(), replacement) for m in compiled.finditer(text)]
+
+
+def count(docs: DataFrame, make_edits=None, vocabulary: str | None = None) -> DataFrame:
     """Counts before and after the edits of ``docs(doc_id, text, edits)``.
 
-    ``edits`` is an array of (start, end, replacement). Returns doc_id, n_chunks, n_tokens, n_edits,
-    n_tokens_after and n_reencoded, the chunks that the edits made it encode again.
+    ``edits`` is an array of (start, end, replacement); ``make_edits``, a function from a text to a
+    list of such triples, may take the place of the column. Returns doc_id, n_chunks, n_tokens,
+    n_edits, n_tokens_after and n_reencoded, the chunks that the edits made it encode again.
     """
     path = vocabulary or default_vocabulary()
     frame = docs.select(
         "doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        F.coalesce(
-            F.col("edits"), F.array().cast("array<struct<start:int,end:int,replacement:string>>")
-        ).alias("edits"),
+        (F.lit(None) if make_edits else F.col("edits")).cast(EDITS).alias("edits"),
     )
     names = ["n_chunks", "n_tokens", "n_edits", "n_tokens_after", "n_reencoded"]
 
@@ -128,9 +148,15 @@ def count(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
                 chunks = CHUNK.findall(text.as_py())
                 tree = TokenTree(chunks, count_chunks(chunks), count_chunks)
                 before = tree.total
-                edits = [e for e in edits.as_py() if e is not None]
-                for e in sorted(edits, key=lambda e: -e["start"]):
-                    tree.edit(e["start"], e["end"], e["replacement"] or "")
+                if make_edits:
+                    edits = make_edits(text.as_py())
+                else:
+                    edits = [
+                        (e["start"], e["end"], e["replacement"] or "")
+                        for e in edits.as_py() or () if e is not None
+                    ]
+                for start, end, new in together(text.as_py(), edits):
+                    tree.edit(start, end, new)
                 rows.append((len(chunks), before, len(edits), tree.total, tree.reencoded))
             columns = zip(*rows) if rows else [[]] * len(names)
             yield pa.RecordBatch.from_arrays(
@@ -142,18 +168,7 @@ def count(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     return frame.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{n} long" for n in names))
 
 
-def masking_edits(text: Column, pattern: str, replacement: str) -> Column:
-    """Edits that put ``replacement`` in place of every match of ``pattern``."""
-    return F.when(text.rlike(pattern), bound_to(spans_of(text, F.lit(pattern)), lambda spans: F.transform(
-        spans, lambda s: F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), F.lit(replacement).alias("replacement")
-        )
-    )))
-
-
 def op9_token_counts(spark, sf_dir):
     """Counts of every document, and of its version with numbers and runs of symbols masked."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
-        "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")
-    )
-    return count(docs.withColumn("edits", masking_edits(F.col("text"), "[0-9]+|[#*$%&|<>]{2,}", "0")))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return count(docs, masks("[0-9]+|[#*$%&|<>]{2,}", "0"))
