@@ -144,18 +144,20 @@ def campaign_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return campaign.campaign_totals(_full(spark, sf_dir).roi)
 
 
-def _sent_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Week ranges of the campaigns that at least one household was sent."""
+def campaign_week_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Week ranges of all campaigns, with the number of households each was sent to."""
     tables = star_tables(spark, sf_dir)
-    sent = tables.campaign_assignments.select("campaign").distinct()
-    return campaign.campaign_week_ranges(
-        tables.campaign_descriptions.join(sent, "campaign", "left_semi")
+    sent = tables.campaign_assignments.groupBy("campaign").agg(
+        F.countDistinct("household_key").alias("n_households")
     )
+    ranges = campaign.campaign_week_ranges(tables.campaign_descriptions)
+    return ranges.join(sent, "campaign", "left").fillna(0, ["n_households"])
 
 
 def campaign_active_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
     weekly = trends.weekly_trend(_full(spark, sf_dir).basket)
-    return campaign.campaign_active_weeks(weekly, _sent_ranges(spark, sf_dir))
+    descriptions = star_tables(spark, sf_dir).campaign_descriptions
+    return campaign.campaign_active_weeks(weekly, campaign.campaign_week_ranges(descriptions))
 
 
 def uplift_box(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -426,7 +428,7 @@ def queries() -> dict[str, Query]:
         "campaign_roi": campaign_roi,
         "campaign_ttest": campaign_ttest,
         "campaign_totals": campaign_totals,
-        "campaign_week_ranges": _sent_ranges,
+        "campaign_week_ranges": campaign_week_ranges,
         "campaign_active_weeks": campaign_active_weeks,
         "uplift_box": uplift_box,
         "coupon_day_uplift": coupon_day_uplift,
@@ -437,10 +439,7 @@ def queries() -> dict[str, Query]:
             lambda c: cohort.cohort_extremes(cohort.cohort_results(c, P)), "y1_spend"
         ),
         "cohort_metrics_wide": _engaged(
-            lambda c: cohort.cohort_metrics_wide(
-                cohort.cohort_results(c, P), [f"1995-{m:02d}" for m in range(1, 13)]
-            ),
-            "y1_spend",
+            lambda c: cohort.cohort_metrics(cohort.cohort_results(c, P)), "y1_spend"
         ),
         "cohort_retention": _retention,
         "retention_matrix": lambda s, d: cohort.retention_matrix(_retention(s, d)),

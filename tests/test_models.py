@@ -46,9 +46,37 @@ def test_out_of_fold_predictions_have_skill(spark, table):
     oof.unpersist()
 
 
+def test_boosting_goes_on_improving_a_target_in_thousands(spark):
+    """Forty trees beat one clearly, though each moves a prediction by a bounded step."""
+    rows = [
+        (k, *([float(k * 37 % 101)] + [0.0] * (len(clv_ml.CLV_FEATURES) - 1)),
+         1000.0 * (k * 37 % 101) + 500.0 * (k % 7))
+        for k in range(600)
+    ]
+    frame = spark.createDataFrame(rows, "household_key long, " + ", ".join(
+        f"{c} double" for c in clv_ml.CLV_FEATURES
+    ) + ", y2_spend double")
+    data = clv_ml.assemble(frame).cache()
+    errors = []
+    for trees in (1, 40):
+        model = clv_ml.fit_boosted(data, {"stepSize": 0.1, "maxDepth": 3}, clv_ml.ClvParams(), trees)
+        errors.append(model.transform(data).agg(
+            F.avg(F.abs(F.col("predicted_clv") - F.col("y2_spend")))
+        ).first()[0])
+    data.unpersist()
+    assert errors[1] < 0.9 * errors[0]
+
+
+def test_best_iteration_waits_for_patience():
+    assert clv_ml.best_iteration([5, 4, 6, 3, 7, 7, 7, 1], 3) == 4
+    assert clv_ml.best_iteration([5, 4, 6, 3, 7, 7, 7, 1], 50) == 8
+    assert clv_ml.best_iteration([2.0], 3) == 1
+
+
 def test_search_draws_within_the_tuning_ranges():
     for s in clv_ml.draw_settings(clv_ml.ClvParams(trials=200)):
         assert 0.01 <= s["stepSize"] <= 0.2 and 3 <= s["maxDepth"] <= 8
+        assert 0 <= s["minInfoGain"] <= 0.05
         assert 0.5 <= s["subsamplingRate"] <= 1 and 1 <= s["minInstancesPerNode"] <= 20
     assert clv_ml.draw_settings(SMALL_SEARCH) == clv_ml.draw_settings(SMALL_SEARCH)
 

@@ -1,7 +1,5 @@
 """Registered queries against their SQL oracles on the smallest test tables."""
 
-import os
-
 import duckdb
 import pytest
 
@@ -10,16 +8,7 @@ from conftest import SMALL
 from oracle_sql import ORACLES
 
 QUERIES = {k: q for k, q in entry.queries().items() if k not in entry.LLM_QUERIES}
-SAMPLE = [
-    "customer_summary", "category_spend", "buyer_segments", "basket_fact", "customer_master",
-    "y1_features", "churn_split", "model_splits", "rfm_segments", "campaign_uplift_detail",
-    "campaign_roi", "campaign_ttest", "campaign_active_weeks", "uplift_box", "coupon_day_uplift",
-    "cohort_results", "cohort_retention", "weekly_trend", "monthly_segment_spend",
-    "income_segment_pct", "brand_by_segment", "category_pivot", "discount_sensitivity",
-    "basket_size_histogram", "spend_medians", "financial_scenarios", "kpi_summary",
-    "top_customers",
-]
-NAMES = sorted(ORACLES) if os.environ.get("ALL_QUERIES") else SAMPLE
+NAMES = sorted(ORACLES)
 
 
 @pytest.fixture(scope="module")

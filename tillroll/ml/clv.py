@@ -1,5 +1,9 @@
 """Second-year spend from first-year behaviour: boosted trees on absolute error.
 
+Absolute loss moves a prediction by at most the learning rate per tree, in units of the target. The
+target is therefore centred on its median and divided by its quartile range, both from the training
+rows, and predictions are turned back.
+
 Folds, hold-outs and early-stopping rows come from key arithmetic, so they are the same on every run
 and cluster. Boosting runs on Spark ML; its settings answer the usual boosting parameters:
 learning rate -> stepSize, depth -> maxDepth, row share -> subsamplingRate, column share ->
@@ -15,11 +19,9 @@ from math import exp, log, sqrt
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import hash_mod
 from ..operators.household import CLV_FEATURES
@@ -39,7 +41,7 @@ class ClvParams:
     max_trees: int = 1000
     early_percent: int = 15
     holdout_percent: int = 20
-    validation_tol: float = 0.0
+    patience: int = 50
     seed: int = 42
     parallelism: int = 4
     use_tuned_params: bool = False
@@ -59,15 +61,58 @@ def assemble(table: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=CLV_FEATURES, outputCol="features").transform(table)
 
 
-def regressor(settings: dict, params: ClvParams, trees: int, early: bool) -> GBTRegressor:
-    model = GBTRegressor(
-        featuresCol="features", labelCol="y2_spend", predictionCol="predicted_clv",
-        lossType="absolute", maxIter=max(trees, 1), seed=params.seed, **settings,
+@dataclass(frozen=True)
+class ClvModel:
+    """Boosted trees on the scaled target."""
+
+    boosted: GBTRegressionModel
+    middle: float
+    spread: float
+
+    @property
+    def n_trees(self) -> int:
+        return self.boosted.getNumTrees
+
+    def transform(self, data: DataFrame) -> DataFrame:
+        scored = self.boosted.transform(data)
+        value = F.col("scaled") * F.lit(self.spread) + F.lit(self.middle)
+        return scored.withColumn("predicted_clv", value).drop("scaled")
+
+
+def regressor(settings: dict, params: ClvParams, trees: int) -> GBTRegressor:
+    return GBTRegressor(
+        featuresCol="features", labelCol="target", predictionCol="scaled", lossType="absolute",
+        maxIter=max(trees, 1), seed=params.seed, **settings,
     )
-    if early:
-        model = model.setValidationIndicatorCol("early")
-        model.set(model.validationTol, params.validation_tol)
-    return model
+
+
+def best_iteration(losses: list[float], patience: int) -> int:
+    """The number of trees with the least loss before ``patience`` trees brought none."""
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = k
+        elif k - best >= patience:
+            break
+    return best + 1
+
+
+def fit_boosted(
+    train: DataFrame, settings: dict, params: ClvParams, trees: int, early: Column | None = None
+) -> ClvModel:
+    """Fit on ``train``; with ``early``, on the rows outside it, cut to the iteration best on them."""
+    low, middle, high = quantiles(train, "y2_spend", [0.25, 0.5, 0.75])[""]
+    spread = high - low or 1.0
+    data = train.withColumn("target", (F.col("y2_spend") - F.lit(middle)) / F.lit(spread))
+    if early is None:
+        return ClvModel(regressor(settings, params, trees).fit(data), middle, spread)
+    rest = data.filter(~early)
+    boosted = regressor(settings, params, trees).fit(rest)
+    losses = boosted.evaluateEachIteration(data.filter(early), "absolute")
+    best = best_iteration(losses, params.patience)
+    if best < boosted.getNumTrees:
+        boosted = regressor(settings, params, best).fit(rest)
+    return ClvModel(boosted, middle, spread)
 
 
 def draw_settings(params: ClvParams) -> list[dict]:
@@ -80,26 +125,37 @@ def draw_settings(params: ClvParams) -> list[dict]:
             "subsamplingRate": draw.uniform(0.5, 1.0),
             "featureSubsetStrategy": f"{draw.uniform(0.5, 1.0):.3f}",
             "minInstancesPerNode": draw.randint(1, 20),
-            "minInfoGain": draw.uniform(0.0, 5.0),
+            "minInfoGain": draw.uniform(0.0, 0.05),
         }
         for _ in range(params.trials)
     ]
 
 
+def _in_threads(table: DataFrame, params: ClvParams, work, items: list) -> list:
+    with ThreadPool(max(1, min(params.parallelism, len(items)))) as pool:
+        return pool.map(inheritable_thread_target(table.sparkSession)(work), items)
+
+
 def search(table: DataFrame, params: ClvParams) -> list[tuple[dict, float]]:
-    """Cross-validated mean absolute error per drawn setting; trials run concurrently (M3)."""
-    settings = draw_settings(params)
-    base = regressor({}, params, params.max_trees, early=True)
-    maps = [{base.getParam(k): v for k, v in s.items()} for s in settings]
-    crossval = CrossValidator(
-        estimator=base, estimatorParamMaps=maps, numFolds=params.folds, foldCol="fold",
-        evaluator=RegressionEvaluator(
-            labelCol="y2_spend", predictionCol="predicted_clv", metricName="mae"
-        ),
-        parallelism=params.parallelism, seed=params.seed,
-    )
-    fitted = crossval.fit(assemble(table))
-    return list(zip(settings, map(float, fitted.avgMetrics)))
+    """Cross-validated mean absolute error per drawn setting; fits run concurrently (M3)."""
+    data, settings = assemble(table), draw_settings(params)
+
+    def error(item: tuple[int, int]) -> float:
+        trial, fold = item
+        model = fit_boosted(
+            data.filter(F.col("fold") != fold), settings[trial], params, params.max_trees, F.col("early")
+        )
+        return _predictions(model.transform(data.filter(F.col("fold") == fold))).agg(
+            F.avg("abs_error")
+        ).first()[0]
+
+    items = [(t, f) for t in range(len(settings)) for f in range(params.folds)]
+    errors = _in_threads(table, params, error, items)
+    means = [
+        sum(errors[t * params.folds:(t + 1) * params.folds]) / params.folds
+        for t in range(len(settings))
+    ]
+    return list(zip(settings, map(float, means)))
 
 
 def search_table(table: DataFrame, results: list[tuple[dict, float]]) -> DataFrame:
@@ -120,19 +176,18 @@ def out_of_fold(
 ) -> tuple[DataFrame, list[int]]:
     """Every household predicted by the model that did not see its fold; trees kept per fold (M5)."""
     data = assemble(table)
-    estimator = regressor(settings, params, params.max_trees, early=True)
 
-    def fit(fold: int) -> GBTRegressionModel:
-        return estimator.fit(data.filter(F.col("fold") != fold))
+    def fit(fold: int) -> ClvModel:
+        return fit_boosted(
+            data.filter(F.col("fold") != fold), settings, params, params.max_trees, F.col("early")
+        )
 
-    session = table.sparkSession
-    with ThreadPool(min(params.parallelism, params.folds)) as pool:
-        models = pool.map(inheritable_thread_target(session)(fit), range(params.folds))
+    models = _in_threads(table, params, fit, list(range(params.folds)))
     parts = [
         model.transform(data.filter(F.col("fold") == fold)) for fold, model in enumerate(models)
     ]
     return (
-        _predictions(reduce(DataFrame.unionByName, parts)), [m.getNumTrees for m in models]
+        _predictions(reduce(DataFrame.unionByName, parts)), [m.n_trees for m in models]
     )
 
 
@@ -160,13 +215,13 @@ def top_predicted(predictions: DataFrame, n: int = 20) -> DataFrame:
 
 def final_model(
     table: DataFrame, tuned: dict, trees: int, params: ClvParams
-) -> GBTRegressionModel:
+) -> ClvModel:
     """Fit on every household with the mean number of trees kept in cross-validation (M8)."""
     settings = tuned if params.use_tuned_params else FINAL_SETTINGS
-    return regressor(settings, params, trees, early=False).fit(assemble(table))
+    return fit_boosted(assemble(table), settings, params, trees)
 
 
-def predict(model: GBTRegressionModel, table: DataFrame) -> DataFrame:
+def predict(model: ClvModel, table: DataFrame) -> DataFrame:
     return model.transform(assemble(table)).select("household_key", "predicted_clv")
 
 
@@ -178,9 +233,9 @@ def attach_predictions(customers: DataFrame, predictions: DataFrame) -> DataFram
     )
 
 
-def feature_importance(model: GBTRegressionModel, session) -> DataFrame:
+def feature_importance(model: ClvModel, session) -> DataFrame:
     """Normalised gain per feature, largest first."""
-    gains = model.featureImportances.toArray()
+    gains = model.boosted.featureImportances.toArray()
     return session.createDataFrame(
         [(name, float(g)) for name, g in zip(CLV_FEATURES, gains)],
         "feature string, importance double",
@@ -277,7 +332,8 @@ def clv_metrics(
 def holdout(table: DataFrame, params: ClvParams) -> DataFrame:
     """Predictions of one model fitted outside the hold-out rows, which are flagged."""
     data = assemble(table)
-    model = regressor(FINAL_SETTINGS, params, params.max_trees, early=True).fit(
-        data.filter(F.col("in_test_set") == 0)
+    inner = hash_mod("household_key", 100, params.seed + 3) < params.holdout_percent
+    model = fit_boosted(
+        data.filter(F.col("in_test_set") == 0), FINAL_SETTINGS, params, params.max_trees, inner
     )
     return _predictions(model.transform(data))

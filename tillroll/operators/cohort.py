@@ -41,13 +41,10 @@ def cohort_extremes(cohorts: DataFrame) -> DataFrame:
     )
 
 
-def cohort_metrics_wide(cohorts: DataFrame, months: list[str]) -> DataFrame:
-    """One row per metric, one column per listed cohort (R-5)."""
+def cohort_metrics(cohorts: DataFrame) -> DataFrame:
+    """The metric by cohort matrix in long form, so that it holds every cohort (R-5)."""
     metrics = ["avg_spend", "avg_baskets", "avg_clv", "churn_rate"]
-    return (
-        cohorts.unpivot(["first_quarter"], metrics, "metric", "value")
-        .groupBy("metric").pivot("first_quarter", months).agg(F.first("value"))
-    )
+    return cohorts.unpivot(["first_quarter"], metrics, "metric", "value")
 
 
 def cohort_activity(days: DataFrame, params: Params) -> DataFrame:
