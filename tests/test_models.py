@@ -156,7 +156,7 @@ def test_full_run_from_csv_to_saved_results(spark, make_tables, tmp_path, capsys
     spark.sql(f"DROP DATABASE IF EXISTS {DATABASE} CASCADE")
     main(["run", f"{tmp_path}/csv", f"{tmp_path}/out", "--trials", "2", "--max-trees", "4",
           "--buckets", "4"])
-    store = Store(spark, DATABASE)
+    store = Store(spark, DATABASE, f"{tmp_path}/out/_tables")
     assert store.ready() and all(store.has(t) for t in RESULT_TABLES)
     rfm = store.read("rfm_segments")
     assert rfm.count() == 120 and rfm.filter("predicted_clv IS NULL").count() == 0

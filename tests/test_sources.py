@@ -1,8 +1,13 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from conftest import line, rows
 from tillroll.plans.presets import export_csv, query
 from tillroll.plans.views import register_views
+from tillroll.session import folder_bytes, size_shuffles
 from tillroll.sources.csv_files import FILES, read_csv_tables
 from tillroll.sources.store import Store, buyer_segments_of, in_display_order, publish
 from tillroll.staging import Stage, shared_folder
@@ -64,6 +69,44 @@ def test_raw_tables_load_once(spark, store, make_tables):
     assert "Exchange" not in plan.executedPlan().toString()
 
 
+TWO_RUNS = """
+import sys
+from pyspark.sql import SparkSession
+from tillroll.schema import RAW_COLUMNS, RetailTables
+from tillroll.sources.store import Store
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config(
+    "spark.sql.warehouse.dir", sys.argv[1] + "/other").getOrCreate()
+empty = {t: spark.createDataFrame([], ", ".join(f"{c} {k.simpleString()}" for c, k in cs.items()))
+         for t, cs in RAW_COLUMNS.items()}
+store = Store(spark, "lasting", sys.argv[1] + "/tables")
+print("READY", store.ready(), store.load_raw(RetailTables(**empty)))
+store.write("rfm_segments", spark.range(3).withColumnRenamed("id", "household_key"))
+print("ROWS", store.read("rfm_segments").count(), store.raw().transactions.count())
+"""
+
+
+def test_tables_outlast_the_process(tmp_path):
+    repo = Path(__file__).resolve().parent.parent
+    said = [
+        subprocess.run(
+            [sys.executable, "-c", TWO_RUNS, str(tmp_path)], cwd=repo, capture_output=True, text=True, timeout=120
+        ).stdout.split() for _ in range(2)
+    ]
+    assert said[0] == ["READY", "False", "True", "ROWS", "3", "0"]
+    assert said[1] == ["READY", "True", "False", "ROWS", "3", "0"]
+
+
+def test_shuffles_are_sized_by_the_input(spark, tmp_path):
+    (tmp_path / "part").write_bytes(bytes(1 << 20))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert folder_bytes(spark, str(tmp_path)) == 1 << 20
+        assert size_shuffles(spark, str(tmp_path), cores=4) == 8
+        assert size_shuffles(spark, str(tmp_path), cores=100, input_bytes=10**14) == 745_100
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_results_are_replaced_and_tolerate_missing_columns(spark, store):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {store.database}")
     assert not store.ready()

@@ -1,6 +1,6 @@
 """Command line: run the whole analysis on a CSV export, or query its saved results.
 
-    python -m tillroll run CSV_FOLDER RESULT_FOLDER [--trials N] [--max-trees N]
+    python -m tillroll run CSV_FOLDER RESULT_FOLDER [--warehouse FOLDER] [--trials N] [--max-trees N]
     python -m tillroll sql RESULT_FOLDER "SELECT ..." [--csv OUT_FOLDER]
     python -m tillroll sql RESULT_FOLDER --preset campaign_roi
 """
@@ -14,7 +14,7 @@ from .params import Params
 from .plans.job import run_analysis
 from .plans.presets import PRESETS, export_csv, query
 from .plans.views import VIEWS
-from .session import build_session
+from .session import build_session, size_shuffles
 from .sources.csv_files import read_csv_tables
 from .sources.store import RESULT_TABLES, Store, publish
 
@@ -22,8 +22,9 @@ DATABASE = "tillroll"
 
 
 def run(args: argparse.Namespace) -> None:
-    spark = build_session(input_bytes=args.input_bytes)
-    store = Store(spark, DATABASE)
+    spark = build_session()
+    size_shuffles(spark, args.source, args.cores, args.input_bytes)
+    store = Store(spark, DATABASE, args.warehouse or f"{args.results.rstrip('/')}/_tables")
     store.load_raw(read_csv_tables(spark, args.source), buckets=args.buckets)
     settings = ClvParams(trials=args.trials, max_trees=args.max_trees)
     run_analysis(spark, store.raw(), Params(), store, settings)
@@ -57,7 +58,9 @@ def main(argv: list[str] | None = None) -> None:
     job.add_argument("--trials", type=int, default=50)
     job.add_argument("--max-trees", type=int, default=1000)
     job.add_argument("--buckets", type=int, default=0)
-    job.add_argument("--input-bytes", type=int, default=0)
+    job.add_argument("--input-bytes", type=int, default=0, help="measured when not given")
+    job.add_argument("--cores", type=int, default=0, help="the cluster's when not given")
+    job.add_argument("--warehouse", help="folder of the tables; RESULT_FOLDER/_tables when not given")
     job.set_defaults(call=run)
     ask = commands.add_parser("sql")
     ask.add_argument("results")

@@ -25,6 +25,16 @@ def run_analysis(
 ) -> list[str]:
     """Compute and save all result tables; each line-level roll-up is made once and shared."""
     a = Analysis(spark, tables, params, share=ROLLUPS)
+    try:
+        return _write_all(spark, tables, params, store, clv_params, a)
+    finally:
+        a.stage.close()
+
+
+def _write_all(
+    spark: SparkSession, tables: RetailTables, params: Params, store: Store,
+    clv_params: clv_ml.ClvParams, a: Analysis,
+) -> list[str]:
     m = Models(a, clv_params)
     customers = m.scored
     roi = a.stage.table("roi", lambda: a.roi)
@@ -61,5 +71,4 @@ def run_analysis(
     register_views(spark, tables, params)
     for name in VIEWS:
         store.write(name, spark.table(name))
-    a.stage.close()
     return [*outputs, *VIEWS]

@@ -13,6 +13,23 @@ def shuffle_partitions(input_bytes: int, cores: int) -> int:
     return -(-wanted // cores) * cores
 
 
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes below a folder, as its file system counts them."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(context._jsc.hadoopConfiguration())
+    return system.getContentSummary(path).getLength()
+
+
+def size_shuffles(spark: SparkSession, folder: str, cores: int = 0, input_bytes: int = 0) -> int:
+    """Set the number of shuffle partitions from the size of the input; cores default to the cluster's."""
+    wanted = shuffle_partitions(
+        input_bytes or folder_bytes(spark, folder), cores or spark.sparkContext.defaultParallelism
+    )
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 # What the jobs count on: run-time replanning, and splitting of a partition that one hot key fills,
 # also where the aggregation behind the join would have liked to keep its partitioning.
 SKEW_SETTINGS = {

@@ -62,17 +62,44 @@ def in_display_order(frame: DataFrame, name: str) -> DataFrame:
 
 
 class Store:
-    """One catalog database holding raw and result tables."""
+    """One catalog database holding raw and result tables.
 
-    def __init__(self, spark: SparkSession, database: str = "default"):
+    With ``root`` every table lies in a folder of its own below it. A table is present if its folder
+    holds a committed write, whichever process made it; the catalog entry is made when it is missing.
+    """
+
+    def __init__(self, spark: SparkSession, database: str = "default", root: str | None = None):
         self.spark = spark
         self.database = database
+        self.root = root.rstrip("/") if root else None
+        local = root is not None and ("://" not in root and not root.startswith("file:"))
+        if (local or (root or "").startswith("file:")) and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{root} is local to one machine: name a folder every executor can reach")
+
+    def _committed(self, table: str) -> bool:
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}/_SUCCESS")
+        return path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path)
+
+    def _save(self, writer, table: str) -> None:
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+        if self.root:
+            writer = writer.option("path", f"{self.root}/{table}")
+        writer.saveAsTable(self.name(table))
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"
 
     def has(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(self.name(table))
+        if self.spark.catalog.tableExists(self.name(table)):
+            return True
+        if not self.root or not self._committed(table):
+            return False
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name(table)} USING parquet LOCATION '{self.root}/{table}'"
+        )
+        return True
 
     def ready(self) -> bool:
         """True once an analysis has been written."""
@@ -84,27 +111,30 @@ class Store:
         With ``buckets`` the transactions are laid out by household, so every household-keyed
         aggregation and join of a later run starts without a shuffle.
         """
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
-        if self.has("transactions") and not force_rebuild:
+        if not force_rebuild and all(self.has(t) for t in RAW_COLUMNS):
             return False
         for table, frame in tables.items():
             writer = frame.write.mode("overwrite")
             if table == "transactions" and buckets:
                 writer = writer.bucketBy(buckets, "household_key").sortBy("day")
-            writer.saveAsTable(self.name(table))
+            self._save(writer, table)
         return True
 
     def raw(self) -> RetailTables:
-        return RetailTables(**{t: self.spark.table(self.name(t)) for t in RAW_COLUMNS})
+        return RetailTables(**{t: self._table(t) for t in RAW_COLUMNS})
+
+    def _table(self, table: str) -> DataFrame:
+        self.has(table)
+        return self.spark.table(self.name(table))
 
     def write(self, table: str, frame: DataFrame) -> None:
         """Replace a result table; a declared column the frame lacks is left out."""
         if table in RESULT_COLUMNS:
             frame = frame.select(*[c for c in RESULT_COLUMNS[table] if c in frame.columns])
-        frame.write.mode("overwrite").saveAsTable(self.name(table))
+        self._save(frame.write.mode("overwrite"), table)
 
     def read(self, table: str) -> DataFrame:
-        return in_display_order(self.spark.table(self.name(table)), table)
+        return in_display_order(self._table(table), table)
 
 
 def buyer_segments_of(rfm_segments: DataFrame) -> DataFrame:
