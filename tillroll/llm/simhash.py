@@ -253,9 +253,10 @@ def near_duplicates(
     inside = classes.join(named, "fp")
     roots = inside.groupBy("component").agg(F.min("smallest").alias("component_id"))
     linked = named.join(roots, "component").select("fp", "component_id")
-    every = classes.join(linked, "fp", "left").select(
+    # Written, so that both sides of the last join are plain exchanges and a hot class can be split.
+    every = written(classes.join(linked, "fp", "left").select(
         F.col("fp").alias("class"), F.coalesce("component_id", "smallest").alias("component_id")
-    )
+    ), "components")
     return marked.join(every, F.col("fp") == F.col("class")).select("doc_id", "fp", "component_id")
 
 
