@@ -1,5 +1,6 @@
 import hashlib
 
+import duckdb
 import pyarrow.fs as pafs
 import pytest
 
@@ -39,6 +40,9 @@ def test_round_trip(spark, tmp_path):
     frame.write.parquet(f"{tmp_path}/pages.parquet")
     rows = sorted(map(tuple, warc.op5_warc(spark, str(tmp_path)).collect()), key=str)
     assert rows == expected([(i, (h or "").encode()) for i, _, h in PAGES])
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert sorted(duck.execute(warc.OP5_SQL).fetchall(), key=str) == rows
     warc.write_archive(frame, f"{tmp_path}/archive")
     back = warc.read_archive(spark, f"{tmp_path}/archive").collect()
     stored = {r["page_id"]: bytes(r["payload"]) for r in back if r["record_type"] == "response"}

@@ -10,7 +10,7 @@ from tillroll.llm.secrets import op6_secrets
 from tillroll.llm.simhash import op1_simhash
 from tillroll.llm.suffix_dedup import op2_suffix_dedup
 from tillroll.llm.token_counts import op9_token_counts
-from tillroll.llm.warc import op5_warc
+from tillroll.llm.warc import OP5_SQL, op5_warc
 
 QUERIES = {
     "op1_simhash": op1_simhash,
@@ -27,5 +27,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op5_warc": OP5_SQL,
     "op8_decontaminate": OP8_SQL,
 }

@@ -270,3 +270,18 @@ def op5_warc(spark, sf_dir):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
     return stored.union(again)
+
+
+OP5_SQL = """
+WITH bodies AS (
+  SELECT page_id, coalesce(html, '') AS body, octet_length(encode(coalesce(html, ''))) AS size FROM pages
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY body) AS first FROM bodies
+), typed AS (
+  SELECT *, size >= 100 AND first IS NOT NULL AND page_id IS DISTINCT FROM first AS again FROM firsts
+)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha256(body) AS payload_digest,
+  CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN first END AS refers_to
+FROM typed
+"""
