@@ -43,7 +43,7 @@ GRAM = 20  # bytes of an anchor
 FIRST = 8  # bytes that the first buckets are made of
 BLOCK_BYTES = 4 << 20
 SEGMENT = 4 << 20  # a longer block is searched for anchors by segments
-PART_BYTES = 16 << 20
+PART_BYTES = 4 << 20
 PLACE_BITS = 24
 PAIRED = np.uint64(0xBF58476D1CE4E5B9)
 MIXED = np.uint64(0x9E3779B97F4A7C15)
@@ -314,14 +314,28 @@ def _order_contexts(table: pa.Table) -> pa.Table:
     ids = np.concatenate([np.frombuffer(x, "<i8") for x in table.column("ids").to_pylist()])
     counts = np.array([int((x - WINDOW + 1).sum()) for x in lengths])
     every = np.concatenate(lengths)
-    data = np.frombuffer(b"".join(table.column("data").to_pylist()), np.uint8)
-    _, bucket = bucket_windows(data, np.cumsum(every))
-    own = np.repeat(ids, every - WINDOW + 1)
+    # Equal contexts of several blocks are ordered once, for the smallest of their documents.
+    raw, at, numbers = b"".join(table.column("data").to_pylist()), 0, {}
+    which = np.empty(len(every), dtype=np.int64)
+    for k, n in enumerate(every.tolist()):
+        which[k] = numbers.setdefault(raw[at:at + n], len(numbers))
+        at += n
+    sizes = np.array([len(t) for t in numbers])
+    owners = np.full(len(numbers), np.iinfo(np.int64).max)
+    np.minimum.at(owners, which, ids)
+    _, bucket = bucket_windows(np.frombuffer(b"".join(numbers), np.uint8), np.cumsum(sizes))
+    own = np.repeat(owners, sizes - WINDOW + 1)
     order = np.argsort(bucket, kind="stable")
     new = np.r_[True, bucket[order][1:] != bucket[order][:-1]]
-    smallest = np.minimum.reduceat(own[order], np.flatnonzero(new))
-    bits = np.empty(len(own), dtype=bool)
-    bits[order] = smallest[np.cumsum(new) - 1] < own[order]
+    smallest = np.empty(len(own), dtype=np.int64)
+    smallest[order] = np.minimum.reduceat(own[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+    # Each block's windows look up those of their context.
+    times = every - WINDOW + 1
+    begin = np.r_[0, np.cumsum(sizes - WINDOW + 1)[:-1]]
+    window = np.repeat(begin[which], times) + (
+        np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    )
+    bits = smallest[window] < np.repeat(ids, times)
     return _answers(table, counts, bits)
 
 
