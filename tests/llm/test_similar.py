@@ -1,0 +1,99 @@
+import random
+
+import pytest
+
+from llm_cases import *  # noqa: F403
+from tillroll.llm import similar, simhash
+
+
+def shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def jaccard(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b)
+
+
+def brute_labels(texts):
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if jaccard(texts[i], texts[j]) >= 0.8 and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return label
+
+
+def word(seed):
+    return f"w{seed.randrange(10 ** 9)}"
+
+
+def found(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r["component_id"] for r in sorted(similar.similar(frame).collect(), key=lambda r: r["doc_id"])]
+
+
+def copy_at(text, share, seed):
+    """A copy with the tail replaced so that the pair has just this similarity or a little more."""
+    words = text.split()
+    n = len(words) - 4
+    gone = int(n * (1 - share) / (1 + share))
+    return " ".join(words[:len(words) - gone] + [word(seed) for _ in range(gone)])
+
+
+def test_recall_against_brute_force(spark):
+    seed, texts = random.Random(5), []
+    for share in (0.75, 0.79, 0.8, 0.82, 0.85, 0.9, 0.95):
+        for size in (9, 14, 40, 204):
+            for _ in range(4):
+                base = " ".join(word(seed) for _ in range(size))
+                texts += [base, copy_at(base, share, seed)]
+    seed.shuffle(texts)
+    expected = brute_labels(texts)
+    assert len(set(expected)) < len(texts) - 40
+    assert found(spark, texts) == expected
+
+
+def test_pairs_at_the_share_are_removed(spark):
+    """The 64-bit marks within 7 bits missed most of these."""
+    seed, rows = random.Random(6), []
+    for share in (0.8, 0.85, 0.9):
+        for _ in range(30):
+            base = " ".join(word(seed) for _ in range(204))
+            rows += [base, copy_at(base, share, seed)]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.keep_one(frame).collect()) == list(range(0, len(rows), 2))
+
+
+def test_large_template_group_at_06_stays(spark):
+    """Every pair shares one passage; in the marks, chance links chained nearly all of them."""
+    seed = random.Random(7)
+    passage = " ".join(word(seed) for _ in range(154))
+    texts = [f"{passage} " + " ".join(word(seed) for _ in range(50)) for _ in range(3000)]
+    assert jaccard(texts[0], texts[1]) == pytest.approx(0.6)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert simhash.keep_one(frame).count() == 3000
+
+
+@pytest.mark.parametrize("common, rounds", [(4, 3), (10 ** 9, 0)])
+def test_order_and_rounds_do_not_change_the_result(spark, monkeypatch, common, rounds):
+    monkeypatch.setattr(similar, "COMMON", common)
+    monkeypatch.setattr(similar, "ROUNDS", rounds)
+    seed = random.Random(8)
+    passage, base = ([word(seed) for _ in range(k)] for k in (60, 100))
+    texts = [" ".join(passage + [word(seed) for _ in range(14)]) for _ in range(40)]
+    for _ in range(40):
+        copy = list(base)
+        for _ in range(seed.randrange(3)):
+            copy[seed.randrange(len(copy))] = word(seed)
+        texts.append(" ".join(copy))
+    assert found(spark, texts) == brute_labels(texts)
+
+
+def test_no_ids_and_extra_rows(spark, edge_docs, empty_docs, edge_texts):
+    rows = similar.similar(edge_docs).collect()
+    assert len(rows) == len(edge_texts)
+    assert {r["doc_id"]: r["component_id"] for r in rows}[None] is None
+    assert similar.similar(empty_docs).collect() == []

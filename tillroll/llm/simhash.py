@@ -34,24 +34,28 @@ ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 SEED = 42
 
 
-def fingerprint(text: str, shingle: int) -> int:
-    """The fingerprint of one text, unsigned."""
+def shingle_hashes(text: str, shingle: int) -> np.ndarray:
+    """A 64-bit hash of every word shingle of one text, in order."""
     from xxhash import xxh64_intdigest
 
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     n = max(1, len(words) - shingle + 1)
+    parts = zip(*(words[k:n + k] for k in range(min(shingle, len(words)))))
+    return np.fromiter(
+        (xxh64_intdigest(x, SEED) for x in map(b" ".join, parts)), dtype="<u8", count=n
+    )
+
+
+def fingerprint(text: str, shingle: int) -> int:
+    """The fingerprint of one text, unsigned."""
+    hashes = shingle_hashes(text, shingle)
     counts = np.zeros(64, dtype=np.int64)
-    for at in range(0, n, 1 << 16):
-        end = min(n, at + (1 << 16))
-        parts = zip(*(words[at + k:end + k] for k in range(min(shingle, len(words)))))
-        hashes = np.fromiter(
-            (xxh64_intdigest(x, SEED) for x in map(b" ".join, parts)), dtype="<u8", count=end - at
-        )
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
+    for at in range(0, len(hashes), 1 << 16):
+        part = hashes[at:at + (1 << 16)].view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, shingle: int, id_column="doc_id", text_column="text") -> DataFrame:
@@ -261,12 +265,10 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` that are the first of their group; rows without an id stay."""
-    found = near_duplicates(docs, **settings)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.select("doc_id", F.struct("*").alias("row"))
-    kept = rows.join(first, "doc_id").dropDuplicates(["doc_id"]).select("row.*")
-    return kept.union(docs.where("doc_id IS NULL"))
+    """The rows of ``docs`` that are the first of their group of similar texts; see ``similar``."""
+    from tillroll.llm import similar  # it imports this module
+
+    return similar.keep_one(docs, **settings)
 
 
 def op1_simhash(spark, sf_dir):
