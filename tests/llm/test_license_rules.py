@@ -56,3 +56,46 @@ def test_hundreds_of_rules():
 def test_edges(edge_docs, empty_docs, edge_texts):
     assert license_rules.scan(edge_docs).count() == len(edge_texts)
     assert license_rules.scan(empty_docs).collect() == []
+
+
+def samples(pattern):
+    """Texts that ``pattern`` matches: every branch once, optional parts with and without."""
+    def many(nodes):
+        made = {""}
+        for op, arg in nodes:
+            name = str(op)
+            if name == "LITERAL":
+                here = {chr(arg)}
+            elif name == "IN":
+                here = {next(chr(v) for o, v in arg if str(o) == "LITERAL")} if all(
+                    str(o) == "LITERAL" for o, _ in arg) else {"x"}
+            elif name == "SUBPATTERN":
+                here = many(arg[-1])
+            elif name == "BRANCH":
+                here = {t for branch in arg[1] for t in many(branch)}
+            elif name == "MAX_REPEAT":
+                low, high, inner = arg
+                here = (many(inner) if high else set()) | ({""} if not low else set())
+            else:
+                assert name in ("ASSERT", "ASSERT_NOT"), name
+                here = {""}
+            made = {a + b for a in made for b in here}
+            if len(made) > 60:
+                made = set(sorted(made)[:: len(made) // 60 + 1]) | {max(made, key=len), min(made, key=len)}
+        return made
+
+    return many(re._parser.parse(pattern))
+
+
+def test_every_match_holds_the_literals_of_its_rule():
+    for label, (form, family), pattern, _, _ in license_rules.rules():
+        texts = samples(pattern)
+        assert texts and all(re.search(pattern, t) for t in texts), pattern
+        for t in texts:
+            assert form in t and any(x in t for x in family), (label, t)
+
+
+def test_tags_without_the_name_of_the_family(spark, tmp_path):
+    tags = ["GPL-2.0-only", "GPL-3.0", "MPL-2.0", "EPL-2.0", "EUPL-1.2", "BSL-1.0", "BUSL-1.1", "PSF-2.0", "SSPL-1.0", "OFL-1.1", "ODbL-1.0", "CPL-1.0", "GFDL-1.3"]
+    found = labels(spark, tmp_path, [f"# SPDX-License-Identifier: {t}" for t in tags])
+    assert found == ["gpl-2.0", "gpl-3.0", "mpl-2.0", "epl-2.0", "eupl", "bsl-1.0", "busl-1.1", "python-2.0", "sspl-1.0", "ofl-1.1", "odbl-1.0", "cpl-1.0", "fdl"]

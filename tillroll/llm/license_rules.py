@@ -1,7 +1,8 @@
-"""License scan: ordered signature rules behind a keyword prefilter, overlaps settled by priority.
+"""License scan: ordered signature rules behind a literal prefilter, overlaps settled by priority.
 
-A rule is a pattern with a label, a priority, a confidence and a keyword. A text without any keyword
-is done after one pass; in the others only the rules whose keyword occurs are matched. A detection
+A rule is a pattern with a label, a priority, a confidence, and literals that each of its matches
+holds: one of its form and one of several of its family. A text without any literal of a form is done
+after one pass; in the others only the rules whose literals occur are matched. A detection
 that lies inside another one of the same or higher priority is suppressed. Everything is a Column
 expression over one row: no shuffle, no Python.
 
@@ -13,6 +14,8 @@ left alone.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.llm.common import bound_to, id_and_text, spans_of
@@ -27,58 +30,58 @@ PHRASES = (
     (("all", "rights", "reserved"), "reserved", 0.6),
 )
 
-# label, keyword, short id, full name, address; patterns over lower-cased text.
+# label, short id, full name, address; patterns over lower-cased text.
 FAMILIES = (
-    ("apache-2.0", "apache", r"apache-2\.0", r"apache (?:software )?licen[sc]e,? ?(?:v\.? ?|version )?2(?:\.0)?", r"apache\.org/licenses/license-2"),
-    ("apache-1.1", "apache", r"apache-1\.1", r"apache (?:software )?licen[sc]e,? ?(?:v\.? ?|version )?1\.1", r"apache\.org/licenses/license-1\.1"),
-    ("mit", "mit", r"mit", r"mit licen[sc]e", r"opensource\.org/licenses?/mit"),
-    ("mit-0", "mit", r"mit-0", r"mit no attribution(?: licen[sc]e)?", r"spdx\.org/licenses/mit-0"),
-    ("bsd-2-clause", "bsd", r"bsd-2-clause", r"(?:simplified|2-clause|two-clause) bsd licen[sc]e", r"opensource\.org/licenses?/bsd-2"),
-    ("bsd-3-clause", "bsd", r"bsd-3-clause", r"(?:new|modified|revised|3-clause|three-clause) bsd licen[sc]e", r"opensource\.org/licenses?/bsd-3"),
-    ("bsd-4-clause", "bsd", r"bsd-4-clause", r"(?:original|4-clause|four-clause) bsd licen[sc]e", r"spdx\.org/licenses/bsd-4"),
-    ("bsd", "bsd", r"bsd", r"bsd(?:-style)? licen[sc]e", r"freebsd\.org/copyright/"),
-    ("isc", "isc", r"isc", r"isc licen[sc]e", r"opensource\.org/licenses?/isc"),
-    ("gpl-2.0", "general", r"gpl-2\.0(?:-only|-or-later)?", r"gnu general public licen[sc]e,? ?(?:v\.? ?|version )2(?:\.0)?", r"gnu\.org/licenses/(?:old-licenses/)?gpl-2"),
-    ("gpl-2.0", "gpl", r"gplv2\+?", r"gnu gpl,? ?(?:v\.? ?|version )2(?:\.0)?", r"gnu\.org/licenses/old-licenses/gpl-2"),
-    ("gpl-3.0", "general", r"gpl-3\.0(?:-only|-or-later)?", r"gnu general public licen[sc]e,? ?(?:v\.? ?|version )3(?:\.0)?", r"gnu\.org/licenses/gpl-3"),
-    ("gpl-3.0", "gpl", r"gplv3\+?", r"gnu gpl,? ?(?:v\.? ?|version )3(?:\.0)?", r"gnu\.org/licenses/gpl-3\.0"),
-    ("gpl", "general", r"gpl", r"(?:gnu )?general public licen[sc]e", r"gnu\.org/(?:licenses/gpl|copyleft/gpl)"),
-    ("lgpl-2.1", "lesser", r"lgpl-2\.1(?:-only|-or-later)?", r"gnu lesser general public licen[sc]e,? ?(?:v\.? ?|version )2\.1", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.1"),
-    ("lgpl-3.0", "lesser", r"lgpl-3\.0(?:-only|-or-later)?", r"gnu lesser general public licen[sc]e,? ?(?:v\.? ?|version )3(?:\.0)?", r"gnu\.org/licenses/lgpl-3"),
-    ("lgpl", "lgpl", r"lgpl(?:v[23])?\+?", r"gnu lgpl", r"gnu\.org/licenses/lgpl"),
-    ("lgpl", "lesser", r"lesser gpl", r"(?:gnu )?lesser general public licen[sc]e", r"gnu\.org/copyleft/lesser"),
-    ("agpl-3.0", "affero", r"agpl-3\.0(?:-only|-or-later)?", r"(?:gnu )?affero general public licen[sc]e(?:,? ?(?:v\.? ?|version )3(?:\.0)?)?", r"gnu\.org/licenses/agpl"),
-    ("agpl-3.0", "agpl", r"agpl(?:v3)?\+?", r"gnu agpl(?:,? ?(?:v\.? ?|version )3(?:\.0)?)?", r"gnu\.org/licenses/agpl-3"),
-    ("fdl", "documentation", r"gfdl(?:-1\.[123])?", r"gnu free documentation licen[sc]e", r"gnu\.org/licenses/fdl"),
-    ("mpl-1.1", "mozilla", r"mpl-1\.1", r"mozilla public licen[sc]e,? ?(?:v\.? ?|version )1\.1", r"mozilla\.org/mpl/1\.1"),
-    ("mpl-2.0", "mozilla", r"mpl-2\.0", r"mozilla public licen[sc]e,? ?(?:v\.? ?|version )2\.0", r"mozilla\.org/(?:en-us/)?mpl/2\.0"),
-    ("mpl", "mozilla", r"mpl", r"mozilla public licen[sc]e", r"mozilla\.org/mpl"),
-    ("epl-1.0", "eclipse", r"epl-1\.0", r"eclipse public licen[sc]e,? ?(?:-? ?v\.? ?|version )?1\.0", r"eclipse\.org/legal/epl-v10"),
-    ("epl-2.0", "eclipse", r"epl-2\.0", r"eclipse public licen[sc]e,? ?(?:-? ?v\.? ?|version )?2\.0", r"eclipse\.org/legal/epl-2"),
-    ("cddl", "cddl", r"cddl(?:-1\.[01])?", r"common development and distribution licen[sc]e", r"opensource\.org/licenses?/cddl"),
-    ("cpl-1.0", "common", r"cpl-1\.0", r"common public licen[sc]e(?:,? ?(?:v\.? ?|version )?1\.0)?", r"opensource\.org/licenses?/cpl"),
-    ("eupl", "european", r"eupl(?:-1\.[012])?", r"european union public licen[sc]e", r"joinup\.ec\.europa\.eu/\S*eupl"),
-    ("artistic", "artistic", r"artistic-[12]\.0", r"(?:clarified )?artistic licen[sc]e", r"opensource\.org/licenses?/artistic"),
-    ("bsl-1.0", "boost", r"bsl-1\.0", r"boost software licen[sc]e", r"boost\.org/license_1_0"),
-    ("busl-1.1", "business", r"busl-1\.1", r"business source licen[sc]e", r"mariadb\.com/bsl"),
-    ("unlicense", "unlicense", r"unlicense", r"the unlicense", r"unlicense\.org"),
-    ("wtfpl", "wtfpl", r"wtfpl", r"do what the fuck you want to public licen[sc]e", r"wtfpl\.net"),
-    ("zlib", "zlib", r"zlib", r"zlib(?:/libpng)? licen[sc]e", r"zlib\.net/zlib_license"),
-    ("python-2.0", "python", r"psf-2\.0|python-2\.0", r"python software foundation licen[sc]e", r"python\.org/psf/license"),
-    ("postgresql", "postgres", r"postgresql", r"postgresql licen[sc]e", r"postgresql\.org/about/licence"),
-    ("sspl-1.0", "server side", r"sspl-1\.0", r"server side public licen[sc]e", r"mongodb\.com/licensing/server-side"),
-    ("ofl-1.1", "open font", r"ofl-1\.1", r"sil open font licen[sc]e", r"scripts\.sil\.org/ofl"),
-    ("odbl-1.0", "open database", r"odbl-1\.0", r"open database licen[sc]e", r"opendatacommons\.org/licenses/odbl"),
-    ("cc0-1.0", "cc0", r"cc0(?:[- ]1\.0)?", r"cc0 1\.0 universal", r"creativecommons\.org/publicdomain/zero"),
-    ("public-domain", "public domain", r"public[- ]domain dedication", r"(?:in|into|to) the public domain", r"creativecommons\.org/publicdomain/mark"),
-    ("cc-by-4.0", "by", r"cc[- ]by[- ]4\.0", r"creative commons attribution 4\.0(?: international)?", r"creativecommons\.org/licenses/by/4\.0"),
-    ("cc-by-3.0", "by", r"cc[- ]by[- ]3\.0", r"creative commons attribution 3\.0(?: unported)?", r"creativecommons\.org/licenses/by/3\.0"),
-    ("cc-by-sa", "by", r"cc[- ]by-sa(?:[- ][234]\.[05])?", r"creative commons attribution[- ]share ?alike", r"creativecommons\.org/licenses/by-sa"),
-    ("cc-by-nc", "by", r"cc[- ]by-nc(?:[- ][234]\.[05])?", r"creative commons attribution[- ]non-?commercial", r"creativecommons\.org/licenses/by-nc/"),
-    ("cc-by-nd", "by", r"cc[- ]by-nd(?:[- ][234]\.[05])?", r"creative commons attribution[- ]no ?deriv(?:ative)?s", r"creativecommons\.org/licenses/by-nd"),
-    ("cc-by-nc-sa", "by", r"cc[- ]by-nc-sa(?:[- ][234]\.[05])?", r"creative commons attribution[- ]non-?commercial[- ]share ?alike", r"creativecommons\.org/licenses/by-nc-sa"),
-    ("cc-by-nc-nd", "by", r"cc[- ]by-nc-nd(?:[- ][234]\.[05])?", r"creative commons attribution[- ]non-?commercial[- ]no ?deriv(?:ative)?s", r"creativecommons\.org/licenses/by-nc-nd"),
-    ("proprietary", "proprietary", r"licenseref-proprietary", r"proprietary and confidential", r"example\.invalid/proprietary"),
+    ("apache-2.0", r"apache-2\.0", r"apache (?:software )?licen[sc]e,? ?(?:v\.? ?|version )?2(?:\.0)?", r"apache\.org/licenses/license-2"),
+    ("apache-1.1", r"apache-1\.1", r"apache (?:software )?licen[sc]e,? ?(?:v\.? ?|version )?1\.1", r"apache\.org/licenses/license-1\.1"),
+    ("mit", r"mit", r"mit licen[sc]e", r"opensource\.org/licenses?/mit"),
+    ("mit-0", r"mit-0", r"mit no attribution(?: licen[sc]e)?", r"spdx\.org/licenses/mit-0"),
+    ("bsd-2-clause", r"bsd-2-clause", r"(?:simplified|2-clause|two-clause) bsd licen[sc]e", r"opensource\.org/licenses?/bsd-2"),
+    ("bsd-3-clause", r"bsd-3-clause", r"(?:new|modified|revised|3-clause|three-clause) bsd licen[sc]e", r"opensource\.org/licenses?/bsd-3"),
+    ("bsd-4-clause", r"bsd-4-clause", r"(?:original|4-clause|four-clause) bsd licen[sc]e", r"spdx\.org/licenses/bsd-4"),
+    ("bsd", r"bsd", r"bsd(?:-style)? licen[sc]e", r"freebsd\.org/copyright/"),
+    ("isc", r"isc", r"isc licen[sc]e", r"opensource\.org/licenses?/isc"),
+    ("gpl-2.0", r"gpl-2\.0(?:-only|-or-later)?", r"gnu general public licen[sc]e,? ?(?:v\.? ?|version )2(?:\.0)?", r"gnu\.org/licenses/(?:old-licenses/)?gpl-2"),
+    ("gpl-2.0", r"gplv2\+?", r"gnu gpl,? ?(?:v\.? ?|version )2(?:\.0)?", r"gnu\.org/licenses/old-licenses/gpl-2"),
+    ("gpl-3.0", r"gpl-3\.0(?:-only|-or-later)?", r"gnu general public licen[sc]e,? ?(?:v\.? ?|version )3(?:\.0)?", r"gnu\.org/licenses/gpl-3"),
+    ("gpl-3.0", r"gplv3\+?", r"gnu gpl,? ?(?:v\.? ?|version )3(?:\.0)?", r"gnu\.org/licenses/gpl-3\.0"),
+    ("gpl", r"gpl", r"(?:gnu )?general public licen[sc]e", r"gnu\.org/(?:licenses/gpl|copyleft/gpl)"),
+    ("lgpl-2.1", r"lgpl-2\.1(?:-only|-or-later)?", r"gnu lesser general public licen[sc]e,? ?(?:v\.? ?|version )2\.1", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.1"),
+    ("lgpl-3.0", r"lgpl-3\.0(?:-only|-or-later)?", r"gnu lesser general public licen[sc]e,? ?(?:v\.? ?|version )3(?:\.0)?", r"gnu\.org/licenses/lgpl-3"),
+    ("lgpl", r"lgpl(?:v[23])?\+?", r"gnu lgpl", r"gnu\.org/licenses/lgpl"),
+    ("lgpl", r"lesser gpl", r"(?:gnu )?lesser general public licen[sc]e", r"gnu\.org/copyleft/lesser"),
+    ("agpl-3.0", r"agpl-3\.0(?:-only|-or-later)?", r"(?:gnu )?affero general public licen[sc]e(?:,? ?(?:v\.? ?|version )3(?:\.0)?)?", r"gnu\.org/licenses/agpl"),
+    ("agpl-3.0", r"agpl(?:v3)?\+?", r"gnu agpl(?:,? ?(?:v\.? ?|version )3(?:\.0)?)?", r"gnu\.org/licenses/agpl-3"),
+    ("fdl", r"gfdl(?:-1\.[123])?", r"gnu free documentation licen[sc]e", r"gnu\.org/licenses/fdl"),
+    ("mpl-1.1", r"mpl-1\.1", r"mozilla public licen[sc]e,? ?(?:v\.? ?|version )1\.1", r"mozilla\.org/mpl/1\.1"),
+    ("mpl-2.0", r"mpl-2\.0", r"mozilla public licen[sc]e,? ?(?:v\.? ?|version )2\.0", r"mozilla\.org/(?:en-us/)?mpl/2\.0"),
+    ("mpl", r"mpl", r"mozilla public licen[sc]e", r"mozilla\.org/mpl"),
+    ("epl-1.0", r"epl-1\.0", r"eclipse public licen[sc]e,? ?(?:-? ?v\.? ?|version )?1\.0", r"eclipse\.org/legal/epl-v10"),
+    ("epl-2.0", r"epl-2\.0", r"eclipse public licen[sc]e,? ?(?:-? ?v\.? ?|version )?2\.0", r"eclipse\.org/legal/epl-2"),
+    ("cddl", r"cddl(?:-1\.[01])?", r"common development and distribution licen[sc]e", r"opensource\.org/licenses?/cddl"),
+    ("cpl-1.0", r"cpl-1\.0", r"common public licen[sc]e(?:,? ?(?:v\.? ?|version )?1\.0)?", r"opensource\.org/licenses?/cpl"),
+    ("eupl", r"eupl(?:-1\.[012])?", r"european union public licen[sc]e", r"joinup\.ec\.europa\.eu/\S*eupl"),
+    ("artistic", r"artistic-[12]\.0", r"(?:clarified )?artistic licen[sc]e", r"opensource\.org/licenses?/artistic"),
+    ("bsl-1.0", r"bsl-1\.0", r"boost software licen[sc]e", r"boost\.org/license_1_0"),
+    ("busl-1.1", r"busl-1\.1", r"business source licen[sc]e", r"mariadb\.com/bsl"),
+    ("unlicense", r"unlicense", r"the unlicense", r"unlicense\.org"),
+    ("wtfpl", r"wtfpl", r"do what the fuck you want to public licen[sc]e", r"wtfpl\.net"),
+    ("zlib", r"zlib", r"zlib(?:/libpng)? licen[sc]e", r"zlib\.net/zlib_license"),
+    ("python-2.0", r"psf-2\.0|python-2\.0", r"python software foundation licen[sc]e", r"python\.org/psf/license"),
+    ("postgresql", r"postgresql", r"postgresql licen[sc]e", r"postgresql\.org/about/licence"),
+    ("sspl-1.0", r"sspl-1\.0", r"server side public licen[sc]e", r"mongodb\.com/licensing/server-side"),
+    ("ofl-1.1", r"ofl-1\.1", r"sil open font licen[sc]e", r"scripts\.sil\.org/ofl"),
+    ("odbl-1.0", r"odbl-1\.0", r"open database licen[sc]e", r"opendatacommons\.org/licenses/odbl"),
+    ("cc0-1.0", r"cc0(?:[- ]1\.0)?", r"cc0 1\.0 universal", r"creativecommons\.org/publicdomain/zero"),
+    ("public-domain", r"public[- ]domain dedication", r"(?:in|into|to) the public domain", r"creativecommons\.org/publicdomain/mark"),
+    ("cc-by-4.0", r"cc[- ]by[- ]4\.0", r"creative commons attribution 4\.0(?: international)?", r"creativecommons\.org/licenses/by/4\.0"),
+    ("cc-by-3.0", r"cc[- ]by[- ]3\.0", r"creative commons attribution 3\.0(?: unported)?", r"creativecommons\.org/licenses/by/3\.0"),
+    ("cc-by-sa", r"cc[- ]by-sa(?:[- ][234]\.[05])?", r"creative commons attribution[- ]share ?alike", r"creativecommons\.org/licenses/by-sa"),
+    ("cc-by-nc", r"cc[- ]by-nc(?:[- ][234]\.[05])?", r"creative commons attribution[- ]non-?commercial", r"creativecommons\.org/licenses/by-nc/"),
+    ("cc-by-nd", r"cc[- ]by-nd(?:[- ][234]\.[05])?", r"creative commons attribution[- ]no ?deriv(?:ative)?s", r"creativecommons\.org/licenses/by-nd"),
+    ("cc-by-nc-sa", r"cc[- ]by-nc-sa(?:[- ][234]\.[05])?", r"creative commons attribution[- ]non-?commercial[- ]share ?alike", r"creativecommons\.org/licenses/by-nc-sa"),
+    ("cc-by-nc-nd", r"cc[- ]by-nc-nd(?:[- ][234]\.[05])?", r"creative commons attribution[- ]non-?commercial[- ]no ?deriv(?:ative)?s", r"creativecommons\.org/licenses/by-nc-nd"),
+    ("proprietary", r"licenseref-proprietary", r"proprietary and confidential", r"example\.invalid/proprietary"),
 )
 
 GRANT = (
@@ -87,17 +90,54 @@ GRANT = (
 )
 
 
-def rules() -> list[tuple[str, str, str, int, float]]:
-    """(label, keyword, pattern, priority, confidence), the most telling form of a family first."""
+def literals(pattern: str) -> tuple[str, ...]:
+    """One literal for each alternative of ``pattern``: every match holds at least one of them.
+
+    Knows what the families use: escapes, classes, groups (which are skipped) and quantifiers.
+    """
+    runs, depth, at = [[""]], 0, 0
+    while at < len(pattern):
+        c, width = pattern[at], 1
+        plain = None
+        if c == "\\":
+            width = 2
+            plain = None if pattern[at + 1].isalnum() else pattern[at + 1]
+        elif c == "[":
+            width = pattern.index("]", at) - at + 1
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+        elif c == "|":
+            if not depth:
+                runs.append([])
+        elif c not in "?*+.^$":
+            plain = c
+        after = pattern[at + width:at + width + 1]
+        if plain is not None and not depth and after not in ("?", "*"):
+            runs[-1][-1:] = [(runs[-1] or [""])[-1] + plain]
+        else:
+            runs[-1].append("")
+        at += width
+    return tuple(max(r, key=len) for r in runs)
+
+
+def rules() -> list[tuple[str, tuple[str, tuple[str, ...]], str, int, float]]:
+    """(label, literals, pattern, priority, confidence), the most telling form of a family first.
+
+    ``literals`` is the literal of the form and those of the family; a match holds the first and at
+    least one of the others.
+    """
     made = []
-    for label, keyword, short, name, address in FAMILIES:
+    for label, short, name, address in FAMILIES:
         edge = r"(?![a-z0-9])"
+        of_short, of_name, of_address = literals(short), literals(name), literals(address)
+        form = next((k for k in ("licen", "creative commons") if all(k in x for x in of_name)), None)
+        form = form or of_name[0]
         made += [
-            (label, keyword, rf"spdx-license-identifier: ?(?:{short}){edge}", 100, 1.0),
-            (label, keyword, rf"https?://(?:www\.)?{address}", 90, 0.95),
-            (label, keyword, rf"{GRANT}(?:(?:{name})|(?:{short})(?: licen[sc]e)?){edge}", 80, 0.9),
-            (label, keyword, rf"(?<![a-z0-9])(?:{name}){edge}", 60, 0.7),
-            (label, keyword, rf"(?<![a-z0-9-])(?:{short})(?: licen[sc]e){edge}", 50, 0.6),
+            (label, ("spdx-license-identifier:", of_short), rf"spdx-license-identifier: ?(?:{short}){edge}", 100, 1.0),
+            (label, ("://", of_address), rf"https?://(?:www\.)?{address}", 90, 0.95),
+            (label, (" under ", of_name + of_short), rf"{GRANT}(?:(?:{name})|(?:{short})(?: licen[sc]e)?){edge}", 80, 0.9),
+            (label, (form, of_name), rf"(?<![a-z0-9])(?:{name}){edge}", 60, 0.7),
+            (label, (" licen", of_short), rf"(?<![a-z0-9-])(?:{short})(?: licen[sc]e){edge}", 50, 0.6),
         ]
     return made
 
@@ -112,11 +152,12 @@ ANY_SIGN = (
 def _rule_column() -> Column:
     return F.array(*(
         F.struct(
-            F.lit(k).alias("rank"), F.lit(label).alias("label"), F.lit(keyword).alias("keyword"),
+            F.lit(k).alias("rank"), F.lit(label).alias("label"), F.lit(form).alias("form"),
+            F.array(*(F.lit(x) for x in family)).alias("family"),
             F.lit(pattern).alias("pattern"), F.lit(priority).alias("priority"),
             F.lit(confidence).alias("confidence"),
         )
-        for k, (label, keyword, pattern, priority, confidence) in enumerate(rules())
+        for k, (label, (form, family), pattern, priority, confidence) in enumerate(rules())
     ))
 
 
@@ -129,8 +170,10 @@ def _phrase(words: tuple[str, ...]) -> str:
 
 
 def _detections(low: Column) -> Column:
-    """Matches of every rule whose keyword occurs, contained ones suppressed."""
-    live = F.filter(_rule_column(), lambda r: F.contains(low, r["keyword"]))
+    """Matches of every rule whose literals occur, contained ones suppressed."""
+    live = F.filter(_rule_column(), lambda r: F.contains(low, r["form"]) & F.exists(
+        r["family"], lambda x: F.contains(low, x)
+    ))
 
     def found(r: Column) -> Column:
         return F.transform(spans_of(low, r["pattern"]), lambda s: F.struct(
