@@ -99,3 +99,29 @@ def test_tags_without_the_name_of_the_family(spark, tmp_path):
     tags = ["GPL-2.0-only", "GPL-3.0", "MPL-2.0", "EPL-2.0", "EUPL-1.2", "BSL-1.0", "BUSL-1.1", "PSF-2.0", "SSPL-1.0", "OFL-1.1", "ODbL-1.0", "CPL-1.0", "GFDL-1.3"]
     found = labels(spark, tmp_path, [f"# SPDX-License-Identifier: {t}" for t in tags])
     assert found == ["gpl-2.0", "gpl-3.0", "mpl-2.0", "epl-2.0", "eupl", "bsl-1.0", "busl-1.1", "python-2.0", "sspl-1.0", "ofl-1.1", "odbl-1.0", "cpl-1.0", "fdl"]
+
+
+def test_a_match_of_any_rule_is_reported(spark):
+    cases = [
+        (k, t) for k, (_, _, p, _, _) in enumerate(license_rules.rules())
+        for t in sorted(samples(p), key=lambda t: (len(t), t))[:: max(1, len(samples(p)) - 1)]
+    ]
+    assert all(re.search(license_rules.any_sign(), t) for _, t in cases)
+    made = license_rules.rules()
+    frame = spark.createDataFrame([(n, t.upper()) for n, (_, t) in enumerate(cases)], "doc_id long, text string")
+    rows = by_id(license_rules.scan(frame))
+    for n, (k, text) in enumerate(cases):
+        m = re.search(made[k][2], text)
+        assert any(
+            d["start"] <= m.start() and d["end"] >= m.end() and d["priority"] >= made[k][3]
+            for d in rows[n]["detections"] or []
+        ), (made[k][0], text)
+
+
+def test_texts_without_the_old_signs(spark, tmp_path):
+    found = labels(spark, tmp_path, [
+        "proprietary and confidential", "CC0 1.0 Universal", "provided under MPL-2.0", "offered under GPL-3.0",
+        "https://mariadb.com/bsl", "https://www.wtfpl.net", "https://joinup.ec.europa.eu/collection/eupl",
+        "https://mongodb.com/licensing/server-side-public",
+    ])
+    assert found == ["proprietary", "cc0-1.0", "mpl-2.0", "gpl-3.0", "busl-1.1", "wtfpl", "eupl", "sspl-1.0"]

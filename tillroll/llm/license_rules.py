@@ -142,11 +142,11 @@ def rules() -> list[tuple[str, tuple[str, tuple[str, ...]], str, int, float]]:
     return made
 
 
-# What a text must hold for any rule to be tried.
-ANY_SIGN = (
-    r"(?i)licen[sc]e|spdx|creativecommons|creative commons|released under|distributed under"
-    r"|available under|published under|shared under|public domain|gnu |[/.]org/"
-)
+def any_sign() -> str:
+    """What a text must hold for any rule to be tried: the literal of some form."""
+    forms = {form for _, (form, _), _, _, _ in rules()}
+    least = sorted(f for f in forms if not any(g != f and g in f for g in forms))
+    return "(?i)" + "|".join(f.replace(".", r"\.") for f in least)
 
 
 def _rule_column() -> Column:
@@ -207,7 +207,7 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     text = F.col("text")
     counted = id_and_text(docs, id_column, text_column).select(
         "doc_id", "text", _count_words(text).cast("long").alias("n_words"),
-        F.when(text.rlike(ANY_SIGN), F.translate(
+        F.when(text.rlike(any_sign()), F.translate(
             text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
         )).alias("low"),
         *(
