@@ -33,8 +33,8 @@ except ModuleNotFoundError as missing:  # the library works without the subpacka
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# A small search and few trees: enough to run every model step on test data.
-MODEL_PARAMS = clv_ml.ClvParams(trials=2, max_trees=6, parallelism=4)
+# The operator's own search and cap on trees; tests of the model steps bring smaller ones.
+MODEL_PARAMS = clv_ml.ClvParams(parallelism=4)
 HISTOGRAM_TOP = {"total_spend": 6_000_000.0, "n_baskets": 300.0, "spend": 600_000.0}
 
 

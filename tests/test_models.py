@@ -172,3 +172,11 @@ def test_full_run_from_csv_to_saved_results(spark, make_tables, tmp_path, capsys
     main(["sql", f"{tmp_path}/out", "SELECT * FROM rfm_segments", "--csv", f"{tmp_path}/rfm"])
     assert spark.read.option("header", True).csv(f"{tmp_path}/rfm").count() == 120
     spark.sql(f"DROP DATABASE {DATABASE} CASCADE")
+
+
+def test_registered_models_use_the_whole_search():
+    import __spark_entry__ as entry
+
+    full = clv_ml.ClvParams()
+    assert (entry.MODEL_PARAMS.trials, entry.MODEL_PARAMS.max_trees) == (full.trials, full.max_trees)
+    assert entry.MODEL_PARAMS.max_trees > full.patience
