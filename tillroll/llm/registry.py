@@ -4,6 +4,7 @@ import corpus_pipeline
 from tillroll.llm.decontaminate import OP8_SQL, op8_decontaminate
 from tillroll.llm.license_rules import op4_license_rules
 from tillroll.llm.packing import op7_packing
+from tillroll.llm.pieces import op13_sentencepiece
 from tillroll.llm.pii import op3_pii
 from tillroll.llm.quality_rules import op10_quality_rules
 from tillroll.llm.secrets import op6_secrets
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
+    "op13_sentencepiece": op13_sentencepiece,
     "pipeline": corpus_pipeline.run,
 }
 
