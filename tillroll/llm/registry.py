@@ -1,6 +1,7 @@
 """The registered queries of this subpackage and their SQL."""
 
 import corpus_pipeline
+from tillroll.llm.conversations import OP12_SQL, op12_conversations
 from tillroll.llm.decontaminate import OP8_SQL, op8_decontaminate
 from tillroll.llm.license_rules import op4_license_rules
 from tillroll.llm.packing import op7_packing
@@ -12,6 +13,7 @@ from tillroll.llm.simhash import op1_simhash
 from tillroll.llm.suffix_dedup import op2_suffix_dedup
 from tillroll.llm.token_counts import op9_token_counts
 from tillroll.llm.warc import OP5_SQL, op5_warc
+from tillroll.llm.whitening import op11_whitening
 
 QUERIES = {
     "op1_simhash": op1_simhash,
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
+    "op11_whitening": op11_whitening,
+    "op12_conversations": op12_conversations,
     "op13_sentencepiece": op13_sentencepiece,
     "pipeline": corpus_pipeline.run,
 }
@@ -31,4 +35,5 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op5_warc": OP5_SQL,
     "op8_decontaminate": OP8_SQL,
+    "op12_conversations": OP12_SQL,
 }
