@@ -34,7 +34,7 @@ except ModuleNotFoundError as missing:  # the library works without the subpacka
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The operator's own search and cap on trees; tests of the model steps bring smaller ones.
-MODEL_PARAMS = clv_ml.ClvParams(parallelism=4)
+MODEL_PARAMS = clv_ml.ClvParams()
 HISTOGRAM_TOP = {"total_spend": 6_000_000.0, "n_baskets": 300.0, "spend": 600_000.0}
 
 
@@ -508,7 +508,8 @@ def queries() -> dict[str, Query]:
         "clv_metrics": clv_metrics,
         "clv_feature_importance": lambda s, d: clv_ml.feature_importance(_models(s, d).final, s),
         "clv_search": clv_search,
-        "clv_holdout": lambda s, d: clv_ml.holdout(_models(s, d).table, MODEL_PARAMS),
+        "clv_holdout": lambda s, d: _models(s, d).holdout,
+        "clv_holdout_metrics": lambda s, d: clv_ml.holdout_metrics(_models(s, d).holdout),
         "churn_scores": churn_scores,
         "churn_coefficients": lambda s, d: churn_ml.coefficients(_models(s, d).churn, s),
         "churn_metrics": churn_metrics,

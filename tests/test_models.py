@@ -1,39 +1,50 @@
 """Models on hand-made households where the outcome can be learned."""
 
 import random
+from dataclasses import replace
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import line
 from tillroll.__main__ import DATABASE, main
-from tillroll.ml import churn as churn_ml, clv as clv_ml
+from tillroll.ml import boosting, churn as churn_ml, clv as clv_ml
 from tillroll.operators.household import CLV_FEATURES
 from tillroll.sources.csv_files import FILES
 from tillroll.sources.store import RESULT_TABLES, Store
 
-SMALL_SEARCH = clv_ml.ClvParams(folds=3, trials=2, max_trees=8, parallelism=3)
+SMALL_SEARCH = clv_ml.ClvParams(folds=3, trials=4, max_trees=30, patience=5, wave=2)
 
 
-@pytest.fixture(scope="module")
-def table(spark, tmp_path_factory):
-    draw = random.Random(4)
+def households(spark, n, seed=4):
+    draw = random.Random(seed)
     rows = []
-    for k in range(400):
+    for k in range(n):
         level = draw.uniform(10, 1000)
         rows.append((k, *[level if c == "y1_total_spend" else draw.random() for c in CLV_FEATURES],
                      level * 2 + draw.gauss(0, 20)))
-    frame = spark.createDataFrame(
+    return spark.createDataFrame(
         rows, "household_key long, " + ", ".join(f"{c} double" for c in CLV_FEATURES)
         + ", y2_spend double",
     )
+
+
+@pytest.fixture(scope="module")
+def table(spark, tmp_path_factory):
     path = f"{tmp_path_factory.mktemp('clv')}/table"
-    clv_ml.model_table(frame, SMALL_SEARCH).write.parquet(path)
+    clv_ml.model_table(households(spark, 400), SMALL_SEARCH).write.parquet(path)
     return spark.read.parquet(path)
 
 
-def test_out_of_fold_predictions_have_skill(spark, table):
-    oof, trees = clv_ml.out_of_fold(table, {"stepSize": 0.5, "maxDepth": 4}, SMALL_SEARCH)
+@pytest.fixture(scope="module")
+def data(table):
+    return clv_ml.fit_data(table, SMALL_SEARCH)
+
+
+def test_out_of_fold_predictions_have_skill(spark, table, data):
+    settings = boosting.Settings(learning_rate=0.3, min_child=2)
+    oof, trees = clv_ml.out_of_fold(table, data, settings, SMALL_SEARCH)
     oof = oof.cache()
     assert len(trees) == 3
     assert oof.count() == 400 == oof.select("household_key").distinct().count()
@@ -46,41 +57,152 @@ def test_out_of_fold_predictions_have_skill(spark, table):
     oof.unpersist()
 
 
-def test_boosting_goes_on_improving_a_target_in_thousands(spark):
-    """Forty trees beat one clearly, though each moves a prediction by a bounded step."""
-    rows = [
-        (k, *([float(k * 37 % 101)] + [0.0] * (len(clv_ml.CLV_FEATURES) - 1)),
-         1000.0 * (k * 37 % 101) + 500.0 * (k % 7))
-        for k in range(600)
-    ]
-    frame = spark.createDataFrame(rows, "household_key long, " + ", ".join(
-        f"{c} double" for c in clv_ml.CLV_FEATURES
-    ) + ", y2_spend double")
-    data = clv_ml.assemble(frame).cache()
+def early_fit(**changes):
+    return boosting.Fit(0, 0, boosting.Settings(learning_rate=0.3, **changes), "", "early", 1000, 20)
+
+
+def test_growth_that_stops_at_patience_keeps_the_trees_of_the_full_growth(data):
+    """The cap decides nothing: more trees and more patience keep the same ones."""
+    fit = early_fit()
+    stopped, grown = boosting.boost(data, *fit.rows(data), fit.settings, 1000, 20, 42)
+    full, all_grown = boosting.boost(data, *fit.rows(data), fit.settings, grown, 10**6, 42)
+    assert grown == stopped.n_trees + 20 < 1000 and all_grown == grown
+    assert stopped == full
+
+
+def test_kept_trees_are_the_best_on_the_early_rows(data):
+    fit = early_fit()
+    train, early = fit.rows(data)
+    kept, grown = boosting.boost(data, train, early, fit.settings, 60, 10**6, 42)
+    everything, _ = boosting.boost(data, train, None, fit.settings, 60, 0, 42)
+    rows = np.flatnonzero(early)
+    x = boosting._representatives(data, early)
+    losses = []
+    for k in range(1, 61):
+        first = replace(everything, roots=everything.roots[:k])
+        losses.append(np.abs(first.score(x) - data.target[rows]).mean())
+    assert kept.n_trees == int(np.argmin(losses)) + 1 and grown == 60
+
+
+def test_one_split_is_the_best_of_all(data):
+    """The first tree of depth one against every cut of every feature, by brute force."""
+    s = boosting.Settings(learning_rate=1.0, max_depth=1, subsample=1.1, colsample=1.0, min_child=7,
+                          l2=2.0, l1=1.5)
+    everyone = np.ones(len(data.target), dtype=bool)
+    tree, _ = boosting.boost(data, everyone, None, s, 1, 0, 1)
+    sign = np.sign(data.target - np.median(data.target))
+
+    def worth(mask):
+        return max(abs(sign[mask].sum()) - s.l1, 0) ** 2 / (mask.sum() + s.l2)
+
+    best = max(
+        (worth(data.bins[:, f] <= b) + worth(data.bins[:, f] > b) - worth(everyone))
+        for f in range(data.bins.shape[1]) for b in range(len(data.cuts[f]))
+        if 7 <= (data.bins[:, f] <= b).sum() <= len(sign) - 7
+    )
+    assert tree.gain[0] == pytest.approx(best) and len(tree.feature) == 3
+    x = boosting._representatives(data, everyone)
+    low = x[:, tree.feature[0]] <= tree.cut[0]
+    found = tree.score(x)
+    assert found[low] == pytest.approx(np.median(data.target[low]))
+    assert found[~low] == pytest.approx(np.median(data.target[~low]))
+
+
+def test_deeper_trees_keep_their_limits(data):
+    s = boosting.Settings(max_depth=6, min_child=9, subsample=0.7, colsample=0.5)
+    everyone = np.ones(len(data.target), dtype=bool)
+    trees, _ = boosting.boost(data, everyone, None, s, 10, 0, 3)
+    ends = [*trees.roots[1:], len(trees.feature)]
+    for root, end in zip(trees.roots, ends):
+        depth = {root: 0}
+        for k in range(root, end):
+            if trees.feature[k] >= 0:
+                depth[trees.left[k]] = depth[trees.left[k] + 1] = depth[k] + 1
+        assert len(depth) == end - root and max(depth.values()) <= 6
+        used = {trees.feature[k] for k in range(root, end) if trees.feature[k] >= 0}
+        assert len(used) <= int(0.5 * len(CLV_FEATURES))
+
+
+def test_boosting_goes_on_improving_a_target_in_thousands(spark, data):
+    scaled = replace(data, target=data.target * 1000)
+    everyone = np.ones(len(data.target), dtype=bool)
+    x = boosting._representatives(data, everyone)
     errors = []
     for trees in (1, 40):
-        model = clv_ml.fit_boosted(data, {"stepSize": 0.1, "maxDepth": 3}, clv_ml.ClvParams(), trees)
-        errors.append(model.transform(data).agg(
-            F.avg(F.abs(F.col("predicted_clv") - F.col("y2_spend")))
-        ).first()[0])
-    data.unpersist()
-    assert errors[1] < 0.9 * errors[0]
+        model, _ = boosting.boost(
+            scaled, everyone, None, boosting.Settings(learning_rate=0.1), trees, 0, 1
+        )
+        errors.append(np.abs(model.score(x) - scaled.target).mean())
+    assert errors[1] < 0.3 * errors[0]
+
 
+def test_scores_of_a_frame_equal_those_of_the_arrays(spark, table, data):
+    fit = early_fit()
+    trees, _ = boosting.boost(data, *fit.rows(data), fit.settings, 20, 20, 42)
+    rows = boosting.score(table, CLV_FEATURES, {0: trees}, None, "p").collect()
+    x = np.array([[r[c] for c in CLV_FEATURES] for r in rows])
+    assert [r["p"] for r in rows] == pytest.approx(list(trees.score(x)))
 
-def test_best_iteration_waits_for_patience():
-    assert clv_ml.best_iteration([5, 4, 6, 3, 7, 7, 7, 1], 3) == 4
-    assert clv_ml.best_iteration([5, 4, 6, 3, 7, 7, 7, 1], 50) == 8
-    assert clv_ml.best_iteration([2.0], 3) == 1
+
+def test_sample_is_bounded_and_whole_below_the_bound(spark):
+    frame = spark.range(20_000).withColumnRenamed("id", "household_key")
+    assert boosting.sampled(frame, "household_key", 20_000).count() == 20_000
+    assert 4_500 < boosting.sampled(frame, "household_key", 5_000).count() < 5_500
 
 
 def test_search_draws_within_the_tuning_ranges():
     for s in clv_ml.draw_settings(clv_ml.ClvParams(trials=200)):
-        assert 0.01 <= s["stepSize"] <= 0.2 and 3 <= s["maxDepth"] <= 8
-        assert 0 <= s["minInfoGain"] <= 0.05
-        assert 0.5 <= s["subsamplingRate"] <= 1 and 1 <= s["minInstancesPerNode"] <= 20
+        assert 0.01 <= s.learning_rate <= 0.2 and 3 <= s.max_depth <= 8
+        assert 0 <= s.min_gain <= 5 and 0.1 <= s.l2 <= 10 and 1e-3 <= s.l1 <= 5
+        assert 0.5 <= s.subsample <= 1 and 0.5 <= s.colsample <= 1 and 1 <= s.min_child <= 20
     assert clv_ml.draw_settings(SMALL_SEARCH) == clv_ml.draw_settings(SMALL_SEARCH)
 
 
+def test_a_killed_search_goes_on_where_it_stopped(table, data, monkeypatch):
+    made, run_fits = [], clv_ml.run_fits
+
+    def counting(spark, known, fits, keep_trees):
+        if len(made) == 6:
+            raise KeyboardInterrupt
+        made.extend((f.number, f.fold) for f in fits)
+        return run_fits(spark, known, fits, keep_trees)
+
+    monkeypatch.setattr(clv_ml, "run_fits", counting)
+    with pytest.raises(KeyboardInterrupt):
+        clv_ml.search(table, data, SMALL_SEARCH)  # two waves of six fits; the second never starts
+    assert len(made) == 6
+    made.append(None)
+    first = clv_ml.search(table, data, SMALL_SEARCH)
+    made.remove(None)
+    assert sorted(made) == [(t, f) for t in range(4) for f in range(3)]
+    assert clv_ml.search(table, data, SMALL_SEARCH) == first and len(made) == 12
+    frame = clv_ml.search_table(table, first).collect()
+    assert [r["mae"] for r in frame] == sorted(r["mae"] for r in frame) and len(frame) == 4
+
+
+def test_another_input_or_seed_is_another_search(spark, table):
+    same = clv_ml.input_digest(table.repartition(3), replace(SMALL_SEARCH, trials=9))
+    assert clv_ml.input_digest(table, SMALL_SEARCH) == same
+    assert clv_ml.input_digest(table, replace(SMALL_SEARCH, seed=1)) != same
+    changed = table.withColumn("y2_spend", F.when(F.col("household_key") == 5, 0.0).otherwise(F.col("y2_spend")))
+    assert clv_ml.input_digest(changed, SMALL_SEARCH) != same
+
+
+def test_holdout_metrics(table, data):
+    predictions = clv_ml.holdout(table, data, SMALL_SEARCH)
+    found = clv_ml.holdout_metrics(predictions).first()
+    rows = predictions.collect()
+    test = [r for r in rows if r["in_test_set"]]
+    errors = [r["abs_error"] for r in test]
+    naive = [abs(r["y1_total_spend"] - r["actual_y2_spend"]) for r in test]
+    assert (found["n_train"], found["n_test"]) == (len(rows) - len(test), len(test))
+    assert found["mae"] == pytest.approx(np.mean(errors))
+    assert found["median_ae"] == pytest.approx(np.median(errors))
+    assert found["naive_mae"] == pytest.approx(np.mean(naive))
+    assert found["naive_median_ae"] == pytest.approx(np.median(naive))
+    assert found["mae"] < found["naive_mae"]
+
+
 def test_missing_predictions_take_the_median(spark):
     customers = spark.createDataFrame([(1,), (2,), (3,)], "household_key long")
     predictions = spark.createDataFrame(
@@ -177,6 +299,17 @@ def test_full_run_from_csv_to_saved_results(spark, make_tables, tmp_path, capsys
 def test_registered_models_use_the_whole_search():
     import __spark_entry__ as entry
 
-    full = clv_ml.ClvParams()
-    assert (entry.MODEL_PARAMS.trials, entry.MODEL_PARAMS.max_trees) == (full.trials, full.max_trees)
-    assert entry.MODEL_PARAMS.max_trees > full.patience
+    assert entry.MODEL_PARAMS == clv_ml.ClvParams()
+    assert (entry.MODEL_PARAMS.trials, entry.MODEL_PARAMS.max_trees) == (50, 1000)
+
+
+def test_registered_holdout_ends_below_the_cap(spark):
+    import __spark_entry__ as entry
+    from conftest import SMALL
+
+    models = entry._models(spark, SMALL)
+    fit = boosting.Fit(0, -1, clv_ml.FINAL_SETTINGS, "in_test_set", "inner")
+    row = boosting.run_fits(spark, models.data, [fit], True).first()
+    assert row["grown"] == len(row["roots"]) + 50 < 1000
+    figures = entry.queries()["clv_holdout_metrics"](spark, SMALL).first()
+    assert figures["n_train"] + figures["n_test"] == 150

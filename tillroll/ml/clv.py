@@ -1,37 +1,33 @@
 """Second-year spend from first-year behaviour: boosted trees on absolute error.
 
-Absolute loss moves a prediction by at most the learning rate per tree, in units of the target. The
-target is therefore centred on its median and divided by its quartile range, both from the training
-rows, and predictions are turned back.
-
 Folds, hold-outs and early-stopping rows come from key arithmetic, so they are the same on every run
-and cluster. Boosting runs on Spark ML; its settings answer the usual boosting parameters:
-learning rate -> stepSize, depth -> maxDepth, row share -> subsamplingRate, column share ->
-featureSubsetStrategy, minimum leaf weight -> minInstancesPerNode, minimum gain -> minInfoGain.
+and cluster. Models learn from a sample of at most about ``fit_rows`` households (all of them on
+smaller tables); predictions, errors and every other figure cover all households.
+
+A search is a table of trials: one row per setting and fold, written wave by wave to the shared folder
+under a digest of its input. A run that finds rows there makes the missing ones only.
 """
 
 from __future__ import annotations
 
+import hashlib
 import random
-from dataclasses import dataclass
-from functools import reduce
+from dataclasses import asdict, dataclass, replace
 from math import exp, log, sqrt
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import hash_mod
 from ..operators.household import CLV_FEATURES
 from ..operators.ranking import quantiles, top_overlap
+from ..staging import shared_folder
+from .boosting import Binned, Fit, Settings, Trees, binned, run_fits, sampled, score, trees_of
 
 # Settings of the final model when the tuned ones are not asked for.
-FINAL_SETTINGS = {
-    "stepSize": 0.03, "maxDepth": 4, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8",
-    "minInstancesPerNode": 5,
-}
+FINAL_SETTINGS = Settings(
+    learning_rate=0.03, max_depth=4, subsample=0.8, colsample=0.8, min_child=5, l2=1.0
+)
 
 
 @dataclass(frozen=True)
@@ -43,7 +39,9 @@ class ClvParams:
     holdout_percent: int = 20
     patience: int = 50
     seed: int = 42
-    parallelism: int = 4
+    fit_rows: int = 200_000
+    max_bins: int = 64
+    wave: int = 25  # trials between two writes of the trial table
     use_tuned_params: bool = False
 
 
@@ -57,138 +55,116 @@ def model_table(features: DataFrame, params: ClvParams) -> DataFrame:
     })
 
 
-def assemble(table: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=CLV_FEATURES, outputCol="features").transform(table)
-
-
-@dataclass(frozen=True)
-class ClvModel:
-    """Boosted trees on the scaled target."""
-
-    boosted: GBTRegressionModel
-    middle: float
-    spread: float
-
-    @property
-    def n_trees(self) -> int:
-        return self.boosted.getNumTrees
-
-    def transform(self, data: DataFrame) -> DataFrame:
-        scored = self.boosted.transform(data)
-        value = F.col("scaled") * F.lit(self.spread) + F.lit(self.middle)
-        return scored.withColumn("predicted_clv", value).drop("scaled")
-
-
-def regressor(settings: dict, params: ClvParams, trees: int) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol="features", labelCol="target", predictionCol="scaled", lossType="absolute",
-        maxIter=max(trees, 1), seed=params.seed, **settings,
+def fit_data(table: DataFrame, params: ClvParams) -> Binned:
+    """The binned sample every fit of a run learns from (M1)."""
+    inner = hash_mod("household_key", 100, params.seed + 3) < params.holdout_percent
+    rows = sampled(table, "household_key", params.fit_rows).withColumn("inner", inner)
+    return binned(
+        rows, CLV_FEATURES, "y2_spend", ["early", "in_test_set", "inner"], params.max_bins
     )
 
 
-def best_iteration(losses: list[float], patience: int) -> int:
-    """The number of trees with the least loss before ``patience`` trees brought none."""
-    best = 0
-    for k, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = k
-        elif k - best >= patience:
-            break
-    return best + 1
-
-
-def fit_boosted(
-    train: DataFrame, settings: dict, params: ClvParams, trees: int, early: Column | None = None
-) -> ClvModel:
-    """Fit on ``train``; with ``early``, on the rows outside it, cut to the iteration best on them."""
-    low, middle, high = quantiles(train, "y2_spend", [0.25, 0.5, 0.75])[""]
-    spread = high - low or 1.0
-    data = train.withColumn("target", (F.col("y2_spend") - F.lit(middle)) / F.lit(spread))
-    if early is None:
-        return ClvModel(regressor(settings, params, trees).fit(data), middle, spread)
-    rest = data.filter(~early)
-    boosted = regressor(settings, params, trees).fit(rest)
-    losses = boosted.evaluateEachIteration(data.filter(early), "absolute")
-    best = best_iteration(losses, params.patience)
-    if best < boosted.getNumTrees:
-        boosted = regressor(settings, params, best).fit(rest)
-    return ClvModel(boosted, middle, spread)
-
-
-def draw_settings(params: ClvParams) -> list[dict]:
+def draw_settings(params: ClvParams) -> list[Settings]:
     """Random search over the tuning ranges; log-uniform where the range is multiplicative (M3)."""
     draw = random.Random(params.seed)
-    return [
-        {
-            "stepSize": exp(draw.uniform(log(0.01), log(0.2))),
-            "maxDepth": draw.randint(3, 8),
-            "subsamplingRate": draw.uniform(0.5, 1.0),
-            "featureSubsetStrategy": f"{draw.uniform(0.5, 1.0):.3f}",
-            "minInstancesPerNode": draw.randint(1, 20),
-            "minInfoGain": draw.uniform(0.0, 0.05),
-        }
-        for _ in range(params.trials)
-    ]
-
-
-def _in_threads(table: DataFrame, params: ClvParams, work, items: list) -> list:
-    with ThreadPool(max(1, min(params.parallelism, len(items)))) as pool:
-        return pool.map(inheritable_thread_target(table.sparkSession)(work), items)
-
 
-def search(table: DataFrame, params: ClvParams) -> list[tuple[dict, float]]:
-    """Cross-validated mean absolute error per drawn setting; fits run concurrently (M3)."""
-    data, settings = assemble(table), draw_settings(params)
+    def log_uniform(low: float, high: float) -> float:
+        return exp(draw.uniform(log(low), log(high)))
 
-    def error(item: tuple[int, int]) -> float:
-        trial, fold = item
-        model = fit_boosted(
-            data.filter(F.col("fold") != fold), settings[trial], params, params.max_trees, F.col("early")
+    return [
+        Settings(
+            learning_rate=log_uniform(0.01, 0.2), max_depth=draw.randint(3, 8),
+            subsample=draw.uniform(0.5, 1.0), colsample=draw.uniform(0.5, 1.0),
+            min_child=draw.randint(1, 20), l2=log_uniform(0.1, 10.0), l1=log_uniform(1e-3, 5.0),
+            min_gain=draw.uniform(0.0, 5.0),
         )
-        return _predictions(model.transform(data.filter(F.col("fold") == fold))).agg(
-            F.avg("abs_error")
-        ).first()[0]
-
-    items = [(t, f) for t in range(len(settings)) for f in range(params.folds)]
-    errors = _in_threads(table, params, error, items)
-    means = [
-        sum(errors[t * params.folds:(t + 1) * params.folds]) / params.folds
-        for t in range(len(settings))
+        for _ in range(params.trials)
     ]
-    return list(zip(settings, map(float, means)))
 
 
-def search_table(table: DataFrame, results: list[tuple[dict, float]]) -> DataFrame:
+def input_digest(table: DataFrame, params: ClvParams) -> str:
+    """Names a search: its rows, whatever their order, and what its fits depend on."""
+    columns = sorted(table.columns)
+    sums = table.agg(F.count(F.lit(1)), *(
+        F.sum(F.xxhash64(F.lit(k), *columns).cast("decimal(38,0)")) for k in range(2)
+    )).first()
+    settings = replace(params, trials=0, wave=0, use_tuned_params=False)
+    return hashlib.sha256(repr((columns, tuple(sums), asdict(settings))).encode()).hexdigest()
+
+
+class TrialTable:
+    """(trial, fold, mae, grown, kept) rows in the shared folder; a finished wave stays."""
+
+    SCHEMA = "trial int, fold int, mae double, grown int, kept int"
+
+    def __init__(self, table: DataFrame, params: ClvParams):
+        self.spark = table.sparkSession
+        folder = shared_folder(self.spark).rstrip("/")
+        self.path = f"{folder}/clv-trials/{input_digest(table, params)}"
+
+    def rows(self) -> dict[tuple[int, int], tuple]:
+        """What is there: at most one row per trial and fold."""
+        try:
+            found = self.spark.read.schema(self.SCHEMA).parquet(self.path).collect()
+        except AnalysisException:
+            return {}
+        return {(r["trial"], r["fold"]): r for r in found}
+
+    def add(self, results: DataFrame) -> None:
+        results.selectExpr(
+            "number AS trial", "fold", "mae", "grown", "size(roots) AS kept"
+        ).coalesce(1).write.mode("append").parquet(self.path)
+
+
+def search(
+    table: DataFrame, data: Binned, params: ClvParams
+) -> list[tuple[Settings, float, int]]:
+    """Cross-validated mean absolute error and mean number of kept trees per drawn setting (M3)."""
+    settings, trials = draw_settings(params), TrialTable(table, params)
+    done = trials.rows()
+    missing = [
+        Fit(t, fold, s, "", "early", params.max_trees, params.patience, params.seed)
+        for t, s in enumerate(settings) for fold in range(params.folds) if (t, fold) not in done
+    ]
+    step = max(1, params.wave * params.folds)
+    for at in range(0, len(missing), step):
+        trials.add(run_fits(table.sparkSession, data, missing[at:at + step], keep_trees=False))
+    done = trials.rows() if missing else done
+    results = []
+    for t, s in enumerate(settings):
+        rows = [done[t, fold] for fold in range(params.folds)]
+        errors = [r["mae"] for r in rows if r["mae"] is not None]
+        mae = sum(errors) / len(errors) if errors else float("inf")
+        results.append((s, mae, sum(r["kept"] for r in rows) // len(rows)))
+    return results
+
+
+def search_table(table: DataFrame, results: list[tuple[Settings, float, int]]) -> DataFrame:
     rows = [
-        (i, *[s[k] for k in ("stepSize", "maxDepth", "subsamplingRate")],
-         float(s["featureSubsetStrategy"]), s["minInstancesPerNode"], s["minInfoGain"], error)
-        for i, (s, error) in enumerate(results)
+        (i, s.learning_rate, s.max_depth, s.subsample, s.colsample, s.min_child, s.l2, s.l1,
+         s.min_gain, trees, error)
+        for i, (s, error, trees) in enumerate(results)
     ]
     return table.sparkSession.createDataFrame(
         rows,
-        "trial int, learning_rate double, max_depth int, subsample double, "
-        "colsample double, min_child_weight int, gamma double, mae double",
+        "trial int, learning_rate double, max_depth int, subsample double, colsample double, "
+        "min_child_weight int, reg_lambda double, reg_alpha double, gamma double, "
+        "kept_trees int, mae double",
     ).orderBy("mae", "trial")
 
 
 def out_of_fold(
-    table: DataFrame, settings: dict, params: ClvParams
+    table: DataFrame, data: Binned, settings: Settings, params: ClvParams
 ) -> tuple[DataFrame, list[int]]:
     """Every household predicted by the model that did not see its fold; trees kept per fold (M5)."""
-    data = assemble(table)
-
-    def fit(fold: int) -> ClvModel:
-        return fit_boosted(
-            data.filter(F.col("fold") != fold), settings, params, params.max_trees, F.col("early")
-        )
-
-    models = _in_threads(table, params, fit, list(range(params.folds)))
-    parts = [
-        model.transform(data.filter(F.col("fold") == fold)) for fold, model in enumerate(models)
+    fits = [
+        Fit(k, k, settings, "", "early", params.max_trees, params.patience, params.seed)
+        for k in range(params.folds)
     ]
-    return (
-        _predictions(reduce(DataFrame.unionByName, parts)), [m.n_trees for m in models]
-    )
+    # One row per fold: its size follows from the cap on trees and their depth.
+    models = {r["fold"]: trees_of(r) for r in run_fits(table.sparkSession, data, fits, True).collect()}
+    scored = score(table, CLV_FEATURES, models, "fold", "predicted_clv")
+    return _predictions(scored), [models[k].n_trees for k in range(params.folds)]
 
 
 def _predictions(scored: DataFrame) -> DataFrame:
@@ -213,16 +189,21 @@ def top_predicted(predictions: DataFrame, n: int = 20) -> DataFrame:
     return predictions.orderBy(F.col("predicted_clv").desc(), "household_key").limit(n)
 
 
+def _one_fit(table: DataFrame, data: Binned, fit: Fit) -> Trees:
+    return trees_of(run_fits(table.sparkSession, data, [fit], True).first())
+
+
 def final_model(
-    table: DataFrame, tuned: dict, trees: int, params: ClvParams
-) -> ClvModel:
-    """Fit on every household with the mean number of trees kept in cross-validation (M8)."""
+    table: DataFrame, data: Binned, tuned: Settings, trees: int, params: ClvParams
+) -> Trees:
+    """Fit on every fold with the mean number of trees kept in cross-validation (M8)."""
     settings = tuned if params.use_tuned_params else FINAL_SETTINGS
-    return fit_boosted(assemble(table), settings, params, trees)
+    return _one_fit(table, data, Fit(0, -1, settings, max_trees=max(trees, 1), seed=params.seed))
 
 
-def predict(model: ClvModel, table: DataFrame) -> DataFrame:
-    return model.transform(assemble(table)).select("household_key", "predicted_clv")
+def predict(model: Trees, table: DataFrame) -> DataFrame:
+    scored = score(table, CLV_FEATURES, {0: model}, None, "predicted_clv")
+    return scored.select("household_key", "predicted_clv")
 
 
 def attach_predictions(customers: DataFrame, predictions: DataFrame) -> DataFrame:
@@ -233,9 +214,9 @@ def attach_predictions(customers: DataFrame, predictions: DataFrame) -> DataFram
     )
 
 
-def feature_importance(model: ClvModel, session) -> DataFrame:
-    """Normalised gain per feature, largest first."""
-    gains = model.boosted.featureImportances.toArray()
+def feature_importance(model: Trees, session) -> DataFrame:
+    """Mean gain of each feature's splits as a share, largest first."""
+    gains = model.importance(len(CLV_FEATURES))
     return session.createDataFrame(
         [(name, float(g)) for name, g in zip(CLV_FEATURES, gains)],
         "feature string, importance double",
@@ -329,11 +310,37 @@ def clv_metrics(
     )
 
 
-def holdout(table: DataFrame, params: ClvParams) -> DataFrame:
+def holdout(table: DataFrame, data: Binned, params: ClvParams) -> DataFrame:
     """Predictions of one model fitted outside the hold-out rows, which are flagged."""
-    data = assemble(table)
-    inner = hash_mod("household_key", 100, params.seed + 3) < params.holdout_percent
-    model = fit_boosted(
-        data.filter(F.col("in_test_set") == 0), FINAL_SETTINGS, params, params.max_trees, inner
+    model = _one_fit(table, data, Fit(
+        0, -1, FINAL_SETTINGS, "in_test_set", "inner", params.max_trees, params.patience, params.seed
+    ))
+    return _predictions(score(table, CLV_FEATURES, {0: model}, None, "predicted_clv"))
+
+
+def holdout_metrics(predictions: DataFrame) -> DataFrame:
+    """Errors on the hold-out rows beside those of repeating the first year's spend."""
+    test = predictions.filter("in_test_set = 1")
+    error = F.col("predicted_clv") - F.col("actual_y2_spend")
+    naive = test.withColumn(
+        "naive_error", F.abs(F.col("y1_total_spend") - F.col("actual_y2_spend"))
+    )
+    figures = naive.agg(
+        F.count(F.lit(1)).alias("n"), F.avg("abs_error").alias("mae"),
+        F.sum(error * error).alias("sse"), F.var_pop("actual_y2_spend").alias("variance"),
+        F.avg("naive_error").alias("naive_mae"),
+    ).first()
+    n, spread = figures["n"], (figures["variance"] or 0.0) * figures["n"]
+    top_n, both = top_overlap(test, "actual_y2_spend", "predicted_clv", "household_key").get("", (1, 0))
+    row = (
+        predictions.filter("in_test_set = 0").count(), n, figures["mae"],
+        quantiles(naive, "abs_error", [0.5])[""][0], sqrt(figures["sse"] / n) if n else None,
+        1 - figures["sse"] / spread if spread > 0 else 0.0, both / top_n, figures["naive_mae"],
+        quantiles(naive, "naive_error", [0.5])[""][0],
+        (1 - figures["mae"] / figures["naive_mae"]) * 100 if figures["naive_mae"] else 0.0,
+    )
+    return predictions.sparkSession.createDataFrame(
+        [row],
+        "n_train long, n_test long, mae double, median_ae double, rmse double, r2 double, "
+        "top20 double, naive_mae double, naive_median_ae double, improvement_pct double",
     )
-    return _predictions(model.transform(data))

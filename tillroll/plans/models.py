@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from ..ml import churn as churn_ml, clv as clv_ml
+from ..ml.boosting import Binned, Settings
 from ..operators.household import clv_features
 from ..operators.rfm import add_rfm
 from .analysis import Analysis
@@ -25,16 +26,20 @@ class Models:
         ))
 
     @cached_property
-    def search(self) -> list[tuple[dict, float]]:
-        return clv_ml.search(self.table, self.params)
+    def data(self) -> Binned:
+        return clv_ml.fit_data(self.table, self.params)
 
     @cached_property
-    def tuned(self) -> dict:
-        return min(self.search, key=lambda pair: pair[1])[0]
+    def search(self) -> list[tuple[Settings, float, int]]:
+        return clv_ml.search(self.table, self.data, self.params)
+
+    @cached_property
+    def tuned(self) -> Settings:
+        return min(self.search, key=lambda row: row[1])[0]
 
     @cached_property
     def _out_of_fold(self) -> tuple[DataFrame, list[int]]:
-        frame, trees = clv_ml.out_of_fold(self.table, self.tuned, self.params)
+        frame, trees = clv_ml.out_of_fold(self.table, self.data, self.tuned, self.params)
         return self.stage.table("clv_oof", lambda: frame), trees
 
     @property
@@ -48,7 +53,13 @@ class Models:
     @cached_property
     def final(self):
         mean_trees = sum(self.trees) // len(self.trees)
-        return clv_ml.final_model(self.table, self.tuned, mean_trees, self.params)
+        return clv_ml.final_model(self.table, self.data, self.tuned, mean_trees, self.params)
+
+    @cached_property
+    def holdout(self) -> DataFrame:
+        return self.stage.table(
+            "clv_holdout", lambda: clv_ml.holdout(self.table, self.data, self.params)
+        )
 
     @cached_property
     def final_predictions(self) -> DataFrame:
