@@ -44,4 +44,29 @@ def test_stages(spark):
 
 def test_every_query_is_registered():
     names = {n.split("_")[0] for n in entry.LLM_QUERIES}
-    assert names == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
+    assert names == {f"op{k}" for k in range(1, 14)} | {"pipeline"}
+
+
+def folder_with(spark, docs, folder):
+    """A table folder of these documents with the small benchmark and labels."""
+    docs.write.parquet(f"{folder}/documents.parquet")
+    for name in ("benchmark", "labels"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_chain_on_edge_rows(spark, edge_docs, tmp_path):
+    """Null ids and texts, repeated rows and clashing columns pass every stage."""
+    folder = folder_with(spark, edge_docs, tmp_path)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        assert docs.columns == edge_docs.columns, name
+        docs = spark.createDataFrame(docs.collect(), edge_docs.schema)
+    packed = corpus_pipeline.run(spark, folder).collect()
+    assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in docs.collect()}
+
+
+def test_chain_on_an_empty_table(spark, empty_docs, tmp_path):
+    folder = folder_with(spark, empty_docs, tmp_path)
+    assert corpus_pipeline.run(spark, folder).collect() == []

@@ -102,11 +102,34 @@ def test_empty(empty_docs):
     assert simhash.keep_one(empty_docs).collect() == []
 
 
+def long_text(draw, n=300):
+    return " ".join(draw.choice("abcdefghij") * 3 + str(draw.randrange(999)) for _ in range(n))
+
+
 def test_near_copies_and_clean_documents(spark):
-    random.seed(2)
-    words = [" ".join(random.choice("abcdefghij") * 3 + str(random.randrange(999)) for _ in range(300)) for _ in range(6)]
-    copy = words[0].split()
-    copy[150] = "changed"
-    rows = [(k, w) for k, w in enumerate(words)] + [(6, " ".join(copy)), (7, words[1].upper())]
+    draw = random.Random(2)
+    words = [long_text(draw) for _ in range(6)]
+    rows = [(k, w) for k, w in enumerate(words)] + [(6, words[0] + " x"), (7, words[1].upper())]
     kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 4, 5]
+
+
+def test_keep_one_equals_brute_force(spark, small_docs):
+    """Kept are the smallest ids of the components that the query reports."""
+    found = simhash.op1_simhash(spark, SMALL).collect()
+    kept = simhash.keep_one(small_docs).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted({r["component_id"] for r in found})
+    assert {r["doc_id"]: r for r in kept}.items() <= {r["doc_id"]: r for r in small_docs.collect()}.items()
+
+
+def test_rows_that_share_an_id(spark):
+    draw = random.Random(3)
+    a, b, c = (long_text(draw) for _ in range(3))
+    rows = [(1, a, "x"), (1, b, "y"), (2, b, "z"), (3, c, "p"), (3, c, "q"), (3, c, "q"), (None, c, "r"),
+            (None, "only here", "s"), (None, "only here", "s")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = sorted(tuple(r) for r in simhash.keep_one(frame).collect() if r["doc_id"])
+    assert kept[:2] == sorted([(1, a, "x"), (1, b, "y")])  # other texts under one id all stay
+    assert len(kept) == 3 and kept[2][:2] == (3, c)
+    unnamed = [tuple(r) for r in simhash.keep_one(frame).collect() if r["doc_id"] is None]
+    assert unnamed == [(None, "only here", "s")]

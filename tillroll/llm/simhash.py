@@ -15,8 +15,10 @@ choose ``pieces`` so that ``64 * (pieces - radius) / pieces`` bits spread the fi
 
 Defined results: a null text counts as empty; no words give fingerprint zero, which links like any
 other; fewer words than a shingle give one shingle of all of them. A null id gets a fingerprint and
-the component of its text (null if no other id is in it). Repeated rows get equal results; rows
-that share an id are one document to ``keep_one``. Extra columns are left alone.
+the component of its text (null if no other id is in it). Repeated rows get equal results. Extra
+columns are left alone. ``keep_one`` keeps one row of each component: the smallest id, null ids last,
+then the least hash of the text; rows that share an id but not a component all stay, and of rows equal
+in id and text the one with the least hash of the whole row.
 """
 
 from __future__ import annotations
@@ -59,18 +61,18 @@ def fingerprint(text: str, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int, id_column="doc_id", text_column="text") -> DataFrame:
-    """(doc_id, fp) with the fingerprint as a signed 64-bit number."""
-    texts = id_and_text(docs, id_column, text_column)
+    """(doc_id, h, fp) with a hash of the text and the fingerprint as signed 64-bit numbers."""
+    texts = id_and_text(docs, id_column, text_column).select("doc_id", F.xxhash64("text").alias("h"), "text")
 
     def run(batches):
         for batch in batches:
-            marks = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], "<u8")
+            marks = np.array([fingerprint(t, shingle) for t in batch.column(2).to_pylist()], "<u8")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(marks.view("<i8"))], ["doc_id", "fp"]
+                [batch.column(0), batch.column(1), pa.array(marks.view("<i8"))], ["doc_id", "h", "fp"]
             )
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"doc_id {kind}, fp long")
+    return texts.mapInArrow(run, f"doc_id {kind}, h long, fp long")
 
 
 def _planes(marks: np.ndarray) -> np.ndarray:
@@ -246,29 +248,60 @@ def links(marks: DataFrame, radius: int, pieces: int, tile: int = 2048) -> DataF
     return by_bucket.mapInArrow(partial(_linked, radius=radius), "a long, b long")
 
 
+def _components(marked: DataFrame, radius: int, pieces: int) -> DataFrame:
+    """(class, component, first): each fingerprint, the one that names its component, and the first
+    row in it by id, null ids last, then by hash of the text. A written table."""
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "h")
+    classes = written(marked.groupBy("fp").agg(F.min(row).alias("own")), "classes")
+    named = components(links(classes.select("fp"), radius, pieces)).withColumnRenamed("node", "fp")
+    inside = classes.join(named, "fp", "left").select(
+        "fp", "own", F.coalesce("component", "fp").alias("component")
+    )
+    inside = written(inside, "inside")
+    first = inside.groupBy("component").agg(F.min("own").alias("first"))
+    # Written, so that both sides of the next join are plain exchanges and a hot class can be split.
+    return written(
+        inside.join(first, "component").select(F.col("fp").alias("class"), "component", "first"), "components"
+    )
+
+
 def near_duplicates(
-    docs: DataFrame, shingle: int = 5, radius: int = 7, pieces: int = 9,
+    docs: DataFrame, shingle: int = 4, radius: int = 4, pieces: int = 6,
     id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
     """(doc_id, fp, component_id) for every row; component_id is the smallest id reachable by links."""
     marked = written(fingerprints(docs, shingle, id_column, text_column), "fingerprints")
-    classes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("smallest")), "classes")
-    named = components(links(classes.select("fp"), radius, pieces)).withColumnRenamed("node", "fp")
-    inside = classes.join(named, "fp")
-    roots = inside.groupBy("component").agg(F.min("smallest").alias("component_id"))
-    linked = named.join(roots, "component").select("fp", "component_id")
-    # Written, so that both sides of the last join are plain exchanges and a hot class can be split.
-    every = written(classes.join(linked, "fp", "left").select(
-        F.col("fp").alias("class"), F.coalesce("component_id", "smallest").alias("component_id")
-    ), "components")
-    return marked.join(every, F.col("fp") == F.col("class")).select("doc_id", "fp", "component_id")
-
+    every = _components(marked, radius, pieces)
+    return marked.join(every, F.col("fp") == F.col("class")).select(
+        "doc_id", "fp", F.col("first.doc_id").alias("component_id")
+    )
 
-def keep_one(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` that are the first of their group of similar texts; see ``similar``."""
-    from tillroll.llm import similar  # it imports this module
 
-    return similar.keep_one(docs, **settings)
+def keep_one(
+    docs: DataFrame, shingle: int = 4, radius: int = 4, pieces: int = 6,
+    id_column: str = "doc_id", text_column: str = "text",
+) -> DataFrame:
+    """One row of ``docs`` of each component, with all its columns."""
+    marked = written(fingerprints(docs, shingle, id_column, text_column), "fingerprints")
+    firsts = _components(marked, radius, pieces).select("first").distinct()
+    times = marked.groupBy("doc_id", "h").agg(F.count("*").alias("n"))
+    keepers = written(firsts.select(F.col("first.doc_id").alias("keeper"), F.col("first.h").alias("of")).join(
+        times, F.col("keeper").eqNullSafe(F.col("doc_id")) & (F.col("of") == F.col("h"))
+    ).select("keeper", "of", "n"), "keepers")
+    rows = docs.select(
+        F.col(id_column).alias("id"),
+        F.xxhash64(F.coalesce(F.col(text_column).cast("string"), F.lit(""))).alias("h"),
+        F.struct("*").alias("row"),
+    )
+    same = F.col("id").eqNullSafe(F.col("keeper")) & (F.col("h") == F.col("of"))
+    once = rows.join(keepers.where("n = 1"), same, "left_semi").select("row.*")
+    # Rows equal in id and text are few or combine before the shuffle; a written table is small
+    # enough to be told from its files.
+    several = written(keepers.where("n > 1"), "several")
+    again = rows.join(several, same, "left_semi").groupBy("id", "h").agg(
+        F.min_by("row", F.xxhash64("row")).alias("row")
+    ).select("row.*")
+    return once.union(again)
 
 
 def op1_simhash(spark, sf_dir):
