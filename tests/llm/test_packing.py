@@ -7,18 +7,18 @@ import numpy as np
 from tokenizers import Tokenizer
 
 from llm_cases import *  # noqa: F403
-from tillroll.llm import packing
+from tillroll.llm import packing, tokens
 from tillroll.llm.tokens import CHUNK, Encoder, default_vocabulary
 
 ODD = [
-    "a  b\n\nc \n d\t\te 'll I'm  x's", "", " ", "\n\n", "  a", "a  ", "<|endoftext|> hi", "a  b c\x1cd\x1f e",
+    "a  b\n\nc \n d\t\te 'll I'm  x's", "", " ", "\n\n", "  a", "a  ", "<|endoftext|> hi", "a<|endoftext|>b",
+    "x   <|endoftext|>   y <|endoftext|>", "<|endoftext|><|endoftext|>", "no <|endoftext| here", "a  b c\x1cd\x1f e",
     "x" * 100 + " " + "é" * 50 + "  " + "1234567890" * 10, "日本語 テスト　。", "   x", "it's 'S 's's",
 ]
 
 
 def reference():
     t = Tokenizer.from_file(default_vocabulary())
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
@@ -32,6 +32,24 @@ def test_ids_match_the_tokenizer(small_texts):
     assert all("".join(CHUNK.findall(t)) == t for t in texts)
 
 
+def test_special_strings_can_be_plain_text():
+    encoder = Encoder(default_vocabulary(), plain=True)
+    t = Tokenizer.from_file(default_vocabulary())
+    t.encode_special_tokens = True
+    for text in ODD:
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+def test_memory_of_chunks_starts_anew(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 60)
+    ids, encoder = reference(), Encoder(default_vocabulary())
+    for k in range(60):
+        texts = [f"word{k} again w{k % 7} other{j}" for j in range(5)]
+        for text, chunks in zip(texts, encoder.encode_all(texts)):
+            assert np.frombuffer(b"".join(chunks), "<u4").tolist() == ids(text)
+        assert len(encoder.seen) <= 60
+
+
 def test_window_is_filled_as_well_as_possible():
     random.seed(3)
     for _ in range(200):
@@ -84,3 +102,21 @@ def test_edges(edge_docs, edge_texts, empty_docs):
     rows = packing.pack_documents(edge_docs, capacity=256).collect()
     check(rows, edge_texts, 256)
     assert packing.pack_documents(empty_docs).collect() == []
+
+
+def test_a_third_of_the_rows_share_one_id(spark, small_texts):
+    """No bin gets more than its share of them, and null ids spread as well."""
+    texts = [(5, small_texts[0])] * 60 + [(None, "no id here")] * 60
+    texts += [(1000 + k, "one two three") for k in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    rows = packing.pack(packing.pieces(docs), 1024, bins=6).collect()
+    check(rows, texts, 1024)
+    for shared in (5, None):
+        bins = [r["sequence_id"] >> 32 for r in rows if r["doc_id"] == shared]
+        assert max(bins.count(b) for b in range(6)) < len(bins) / 2 and len(set(bins)) == 6
+
+
+def test_string_ids(spark):
+    docs = spark.createDataFrame([("b", "x y"), (None, "z"), ("a", "x y")], "doc_id string, text string")
+    rows = packing.pack_documents(docs).collect()
+    check(rows, [("b", "x y"), (None, "z"), ("a", "x y")], 1024)

@@ -21,7 +21,7 @@ def full():
 @pytest.mark.parametrize("leaf", [1, 2, 8])
 def test_random_edits_equal_a_full_count(monkeypatch, full, leaf):
     monkeypatch.setattr(token_counts, "LEAF", leaf)
-    encoder = Encoder(default_vocabulary())
+    encoder = Encoder(default_vocabulary(), plain=True)
 
     def count(chunks):
         return [len(x) // 4 for x in encoder.encode_chunks(chunks)]
@@ -41,7 +41,7 @@ def test_random_edits_equal_a_full_count(monkeypatch, full, leaf):
 
 
 def test_only_touched_regions_are_encoded_again():
-    encoder = Encoder(default_vocabulary())
+    encoder = Encoder(default_vocabulary(), plain=True)
 
     def count(chunks):
         return [len(x) // 4 for x in encoder.encode_chunks(chunks)]

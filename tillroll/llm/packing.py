@@ -6,12 +6,14 @@ window, and a subset-sum table over the counts of the remaining lengths, one bit
 fill, picks the multiset that fills it closest to its capacity; walking the table back gives how
 many of each length. The same multiset is used again as long as the counts last.
 
-Documents are dealt into bins of about ``bin_docs`` by the hash of their id; every bin packs itself,
-so no task sees more than one bin at a time and the padding of a bin's last windows is shared by
-thousands of documents. Ids need no shuffle unless the caller carries them along.
-
-Defined results: a null text counts as empty and gives the one id 0. Repeated rows are documents of
-their own. Ties between pieces of one length go by id, then start. Extra columns are left alone.
+Pieces are dealt into bins of about ``bin_docs`` documents by the hash of their id, their start and
+their number in the task that made them, so rows that share an id, or have none, spread like any
+others; every bin packs itself, so no task sees more than one bin at a time and the padding of a
+bin's last windows is shared by thousands of documents. Ids need no shuffle unless the caller carries
+them along.
+
+Defined results: a null text counts as empty and gives the one id 0. The tokenizer's special strings
+in a text give their ids, as the library has it by default. Repeated rows are documents of their own. Ties between pieces of one length go by id, then start. Extra columns are left alone.
 """
 
 from __future__ import annotations
@@ -74,12 +76,15 @@ def pieces(
     docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None,
     id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
-    """(doc_id, start, length, ids, doc_tokens): ids as little-endian unsigned 32-bit numbers."""
+    """(doc_id, start, length, ids, doc_tokens, number): ids as little-endian unsigned 32-bit numbers.
+
+    ``number`` counts the pieces of a task.
+    """
     texts = id_and_text(docs, id_column, text_column)
     path = vocabulary or default_vocabulary()
 
     def run(batches):
-        encode_all = encoder(path).encode_all
+        encode_all, number = encoder(path).encode_all, 0
         for batch in batches:
             ids_column, text_column = batch.column(0), batch.column(1)
             at = 0
@@ -96,25 +101,25 @@ def pieces(
                     n = len(ids) // 4
                     for start in range(0, n, capacity):
                         part = ids[4 * start:4 * (start + capacity)]
-                        rows.append((doc_id, start, len(part) // 4, part, n))
+                        rows.append((doc_id, start, len(part) // 4, part, n, number))
+                        number += 1
                 yield _batch(rows, ids_column.type)
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     return texts.mapInArrow(
-        run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long"
+        run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, number long"
     )
 
 
 def _batch(rows: list, id_type: pa.DataType) -> pa.RecordBatch:
-    types = [id_type, pa.int64(), pa.int64(), pa.binary(), pa.int64()]
-    names = ["doc_id", "start", "length", "ids", "doc_tokens"]
-    columns = zip(*rows) if rows else [[]] * 5
+    types = [id_type, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+    names = ["doc_id", "start", "length", "ids", "doc_tokens", "number"]
+    columns = zip(*rows) if rows else [[]] * 6
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names)
 
 
 def _pack_bin(key, frame: pd.DataFrame, capacity: int) -> pd.DataFrame:
-    order = np.lexsort((frame["start"].to_numpy(), frame["doc_id"].to_numpy(), frame["length"].to_numpy()))
-    frame = frame.iloc[order].reset_index(drop=True)
+    frame = frame.sort_values(["length", "doc_id", "start", "number"], kind="stable", ignore_index=True)
     length = frame["length"].to_numpy()
     sequence, offset = np.zeros(len(frame), dtype=np.int64), np.zeros(len(frame), dtype=np.int64)
     lengths, first, count = np.unique(length, return_index=True, return_counts=True)
@@ -132,13 +137,16 @@ def _pack_bin(key, frame: pd.DataFrame, capacity: int) -> pd.DataFrame:
         number += times
     frame["sequence_id"] = (int(key[0]) << 32) + sequence
     frame["offset"] = offset
-    return frame.drop(columns=["bin"])
+    return frame.drop(columns=["bin", "number"])
 
 
 def pack(parts: DataFrame, capacity: int = CAPACITY, bins: int = 1) -> DataFrame:
-    """``parts(doc_id, start, length, ...)`` with ``sequence_id`` and ``offset``; other columns stay."""
-    binned = parts.withColumn("bin", F.pmod(F.xxhash64("doc_id"), F.lit(bins)).cast("long"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema)
+    """``parts(doc_id, start, length, number, ...)`` with ``sequence_id`` and ``offset`` for ``number``."""
+    dealt = F.pmod(F.xxhash64("doc_id", "start", "number"), F.lit(bins)).cast("long")
+    binned = parts.withColumn("bin", dealt)
+    kinds = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema if f.name != "number"
+    )
     return binned.groupBy("bin").applyInPandas(
         partial(_pack_bin, capacity=capacity), f"{kinds}, sequence_id long, offset long"
     )
@@ -156,7 +164,8 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str |
 def digest(docs: DataFrame) -> DataFrame:
     """The packed pieces with a checksum in place of the ids, which then stay out of the shuffle."""
     parts = pieces(docs).select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "number",
     )
     return pack(parts, CAPACITY, bins_for(docs))
 

@@ -137,7 +137,7 @@ def count(docs: DataFrame, make_edits=None, vocabulary: str | None = None) -> Da
     names = ["n_chunks", "n_tokens", "n_edits", "n_tokens_after", "n_reencoded"]
 
     def run(batches):
-        found = encoder(path)
+        found = encoder(path, plain=True)
 
         def count_chunks(chunks):
             return [len(ids) // 4 for ids in found.encode_chunks(chunks)]

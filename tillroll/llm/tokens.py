@@ -21,14 +21,21 @@ TOGETHER = 4096  # new chunks that are encoded in one call
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit numbers. One per Python worker."""
+    """Ids of texts as little-endian unsigned 32-bit numbers. One per Python worker.
 
-    def __init__(self, path: str):
+    The tokenizer's special strings give their own ids where they stand in a text, as the library has
+    it by default; with ``plain`` they are ordinary text.
+    """
+
+    def __init__(self, path: str, plain: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = plain
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # A special string parts the text for the tokenizer, so such a text is encoded whole.
+        self.parting = re.compile("|".join(map(re.escape, added))) if added and not plain else None
         self.seen: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.token_bytes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
@@ -40,32 +47,42 @@ class Encoder:
 
     def _encode_chunks(self, chunks: list[str]) -> dict[str, bytes]:
         """Ids of new chunks. Those that begin with a space stay apart when laid end to end."""
-        spaced = [c for c in chunks if c[0] == " " and len(c) > 1 and c[-1] != " "]
-        found = {c: self._ids(c).tobytes() for c in set(chunks).difference(spaced)}
+        found, spaced = {}, []
+        for c in chunks:
+            if c[0] == " " and c[-1] != " ":
+                spaced.append(c)
+            else:
+                found[c] = self._ids(c).tobytes()
         for at in range(0, len(spaced), TOGETHER):
             some = spaced[at:at + TOGETHER]
-            ids = self._ids("".join(some))
-            ends = np.cumsum([len(c.encode()) for c in some])
-            cuts = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends) + 1
-            flat = ids.tobytes()
-            found.update(zip(some, (
-                flat[4 * a:4 * b] for a, b in zip([0, *cuts.tolist()], cuts.tolist())
-            )))
+            joined = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0]
+            ids = np.array(joined.ids, dtype="<u4")
+            ends = np.cumsum([len(c) if c.isascii() else len(c.encode()) for c in some])
+            cuts = (np.searchsorted(np.cumsum(self.token_bytes[ids]), ends) + 1) * 4
+            flat, begin = ids.tobytes(), 0
+            for c, end in zip(some, cuts.tolist()):
+                found[c] = flat[begin:end]
+                begin = end
         return found
 
     def encode_all(self, texts: list[str]) -> list[list[bytes]]:
         """Per text, the ids of its chunks."""
-        cut = [CHUNK.findall(t) for t in texts]
+        parting = self.parting
+        whole = {k for k, t in enumerate(texts) if parting.search(t)} if parting else ()
+        cut = [() if k in whole else CHUNK.findall(t) for k, t in enumerate(texts)]
         seen = self.seen
-        new = set().union(*cut).difference(seen)
-        fresh = self._encode_chunks(sorted(new))
-        seen.update(fresh)
-        out = [list(map(seen.__getitem__, chunks)) for chunks in cut]
-        for c in fresh:
-            if len(c) > LONGEST:
-                del seen[c]
-        if len(seen) > REMEMBERED:
-            seen.clear()
+        out = [list(map(seen.get, chunks)) for chunks in cut]
+        open_texts = [k for k, found in enumerate(out) if None in found]
+        if open_texts:
+            new = {c for k in open_texts for c, ids in zip(cut[k], out[k]) if ids is None}
+            fresh = self._encode_chunks(sorted(new))
+            for k in open_texts:
+                out[k] = [fresh[c] if ids is None else ids for c, ids in zip(cut[k], out[k])]
+            if len(seen) + len(fresh) > REMEMBERED:
+                seen.clear()
+            seen.update((c, ids) for c, ids in fresh.items() if len(c) <= LONGEST)
+        for k in whole:
+            out[k] = [self._ids(texts[k]).tobytes()]
         return out
 
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:
@@ -81,16 +98,16 @@ class Encoder:
         return b"".join(self.encode_all([text])[0])
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """The worker's encoder of that vocabulary file."""
     from tillroll.llm import tokens as home  # one table per worker, not one per shipped copy
 
-    found = home._ENCODERS.get(path)
+    found = home._ENCODERS.get((path, plain))
     if found is None:
-        found = home._ENCODERS[path] = Encoder(path)
+        found = home._ENCODERS[path, plain] = Encoder(path, plain)
     return found
 
 
