@@ -8,10 +8,22 @@ from tillroll.operators import ranking
 
 
 @pytest.fixture
-def sketch_early(monkeypatch):
-    """Let sketches bracket values and tied keys in groups beyond 50 rows."""
-    monkeypatch.setattr(ranking, "MARGIN", 0.1)
-    monkeypatch.setattr(ranking, "WHOLE_GROUP", 50)
+def narrow_first(monkeypatch):
+    """Start every rank in the narrowest bracket, whatever the size of its group."""
+    monkeypatch.setattr(ranking, "SPAN", 0)
+
+
+@pytest.fixture
+def picks(monkeypatch):
+    """The brackets of every round."""
+    rounds, pick = [], ranking._pick
+
+    def recorded(frame, brackets):
+        rounds.append(dict(brackets))
+        return pick(frame, brackets)
+
+    monkeypatch.setattr(ranking, "_pick", recorded)
+    return rounds
 
 
 def brute_quintiles(values):
@@ -46,12 +58,12 @@ def test_quintile_sizes_with_remainder(spark, n):
 
 
 @pytest.mark.parametrize("top", [1, 3, 40, 10**6])
-def test_large_groups_are_bracketed_exactly(spark, sketch_early, top):
+def test_large_groups_are_bracketed_exactly(spark, narrow_first, top):
     draw = random.Random(top)
     check(spark, {k * 7 + 1: draw.randint(0, top) for k in range(3000)})
 
 
-def test_one_value_holds_most_rows(spark, sketch_early):
+def test_one_value_holds_most_rows(spark, narrow_first):
     draw = random.Random(1)
     check(spark, {k: 5 if k % 3 else draw.randint(0, 100) for k in range(2500)})
 
@@ -74,7 +86,7 @@ def test_empty_frame(spark):
 @pytest.mark.parametrize("early", [False, True])
 def test_quantiles_interpolate_like_numpy(spark, request, early):
     if early:
-        request.getfixturevalue("sketch_early")
+        request.getfixturevalue("narrow_first")
     draw = random.Random(5)
     data = [(g, draw.choice([draw.gauss(0, 9), 4.0])) for g in "abc" for _ in range(301)]
     data += [("d", 2.0), ("e", 1.0), ("e", 2.0)]
@@ -93,7 +105,7 @@ def test_quantiles_of_nothing(spark):
 @pytest.mark.parametrize("early", [False, True])
 def test_top_overlap_takes_ties_in_key_order(spark, request, early):
     if early:
-        request.getfixturevalue("sketch_early")
+        request.getfixturevalue("narrow_first")
     draw = random.Random(8)
     data = [(k, k % 3, float(draw.randint(0, 6)), float(draw.randint(0, 6))) for k in range(400)]
     frame = spark.createDataFrame(data, "household_key long, fold int, a double, p double")
@@ -105,17 +117,42 @@ def test_top_overlap_takes_ties_in_key_order(spark, request, early):
         assert found[str(fold)] == (n, len(tops[0] & tops[1]))
 
 
-def test_default_margins_on_a_group_beyond_the_whole_group_limit(spark):
-    draw = random.Random(11)
-    check(spark, {k: draw.choice([7, draw.randint(0, 10**7)]) for k in range(25_000)})
+@pytest.mark.parametrize("n", [1, 2, 6, 30, 700])
+def test_narrow_brackets_of_small_groups_widen_until_they_hold_the_rank(spark, narrow_first, n):
+    draw = random.Random(n)
+    check(spark, {k: draw.randint(0, 10**6) for k in range(n)})
 
 
-def test_a_wrong_bracket_is_an_error_not_a_wrong_result(spark):
-    frame = spark.createDataFrame([("a", float(i)) for i in range(10)], "g string, v double")
-    with pytest.raises(ArithmeticError):
-        ranking._pick(frame, {("a", 2): (5.0, 8.0)})
+@pytest.mark.parametrize("n, ties", [(25_000, False), (25_000, True), (300, True)])
+def test_default_brackets(spark, n, ties):
+    draw = random.Random(11)
+    check(spark, {
+        k: draw.choice([7, draw.randint(0, 10**7)]) if ties else draw.randint(0, 10**7) for k in range(n)
+    })
+
+
+def test_a_wrong_bracket_is_looked_at_again(spark, monkeypatch, picks):
+    """Sketches that lie cost rounds, not results."""
+    def lying(frame, shares):
+        wide = [(90.0, 95.0), (0.0, 0.5), (40.0, None)]
+        return {"a": (100, {p: wide for p in shares})}
+
+    monkeypatch.setattr(ranking, "_sketch", lying)
+    monkeypatch.setattr(ranking, "SPAN", 0)
+    frame = spark.createDataFrame([("a", float(i)) for i in range(100)], "g string, v double")
+    wanted = {("a", 1): (100, 0.01), ("a", 20): (100, 0.2), ("a", 50): (100, 0.5), ("a", 93): (100, 0.93)}
+    found = ranking._select(frame, wanted)
+    assert found == {t: (float(t[1] - 1), t[1] - 1, 1) for t in wanted}
+    assert [sorted(r for _, r in p) for p in picks] == [[1, 20, 50, 93], [1, 20, 50], [20, 50], [20]]
     with pytest.raises(ArithmeticError):
-        ranking._pick(frame, {("a", 9): (0.0, 3.0)})
+        ranking._select(frame, {("a", 101): (100, 1.0)})
+
+
+def test_too_many_groups_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "MOST_GROUPS", 3)
+    frame = spark.createDataFrame([(k, 1.0) for k in range(5)], "g int, x double")
+    with pytest.raises(ValueError):
+        ranking.quantiles(frame, "x", [0.5], "g")
 
 
 def test_scores_stay_a_map_over_the_input(spark):

@@ -2,9 +2,11 @@
 
 A rank window without partitions would put every row into one task. Here a quantile sketch brackets
 each wanted rank, one aggregation counts what lies below and inside the brackets, and only the few
-distinct values inside are put in order. The sketch decides how little is sorted, never the result.
-Ties on the value are resolved by the key in the same way, so a value that a third of all rows share
-is one counter, not one task. What reaches the driver is one row per wanted rank.
+distinct values inside are put in order. A rank that turns out to lie outside its bracket is looked
+for again in a wider one, the last of which encloses everything, so the sketch decides how little is
+sorted, never the result. Groups of all sizes take the same way. Ties on the value are resolved by
+the key in the same way, so a value that a third of all rows share is one counter, not one task.
+What reaches the driver is one row per group and wanted rank, of at most ``MOST_GROUPS`` groups.
 """
 
 from __future__ import annotations
@@ -17,10 +19,11 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 ACCURACY = 10_000
-MARGIN = 5 / ACCURACY
-# Groups up to this size are put in order whole; in larger ones the margin spans at least five
-# ranks, more than a rank formula strays from its share or the sketch from the truth.
-WHOLE_GROUP = int(5 / MARGIN)
+# Half widths of the brackets that are tried one after the other, as shares of a group; after them
+# comes one that encloses everything. A rank starts at the first that spans ``SPAN`` ranks.
+WIDTHS = (5 / ACCURACY, 0.02, 0.2)
+SPAN = 4
+MOST_GROUPS = 10_000
 
 
 @dataclass(frozen=True)
@@ -61,29 +64,32 @@ def literal(value, dtype: str) -> str:
 
 
 def _sketch(frame: DataFrame, shares: list[float]) -> dict[str, tuple[int, dict]]:
-    """Rows per group, and for each share two values that enclose it (None: enclose everything)."""
-    grid = sorted({min(max(p + side, 0.0), 1.0) for p in shares for side in (-MARGIN, MARGIN)})
+    """Rows per group, and for each share the brackets of ``WIDTHS`` (None: no end)."""
+    grid = sorted({
+        min(max(p + side, 0.0), 1.0) for p in shares for w in WIDTHS for side in (-w, w)
+    })
     rows = frame.groupBy("g").agg(
         F.count("v").alias("n"), F.percentile_approx("v", grid, ACCURACY).alias("marks")
-    ).collect()
-    result = {}
-    for row in rows:
-        enclosing = {}
-        for p in shares:
-            low, high = p - MARGIN, p + MARGIN
-            whole = row["n"] <= WHOLE_GROUP
-            enclosing[p] = (
-                None if whole or low <= 0 else row["marks"][grid.index(low)],
-                None if whole or high >= 1 else row["marks"][grid.index(high)],
-            )
-        result[row["g"]] = (row["n"], enclosing)
-    return result
+    ).limit(MOST_GROUPS + 1).collect()
+    if len(rows) > MOST_GROUPS:
+        raise ValueError(f"order statistics of more than {MOST_GROUPS} groups")
+
+    def mark(marks, at: float):
+        return marks[grid.index(at)] if 0 < at < 1 else None
+
+    return {
+        r["g"]: (r["n"], {
+            p: [(mark(r["marks"], p - w), mark(r["marks"], p + w)) for w in WIDTHS] for p in shares
+        })
+        for r in rows
+    }
 
 
 def _pick(frame: DataFrame, brackets: dict[tuple[str, int], tuple]) -> dict:
     """For each (group, rank) the value at that rank, the rows below it and the rows equal to it.
 
-    ``frame`` has columns ``g`` (string) and ``v`` (any ordered numeric), without NULLs.
+    ``frame`` has columns ``g`` (string) and ``v`` (any ordered numeric), without NULLs. Ranks that
+    lie outside their bracket are left out.
     """
     if not brackets:
         return {}
@@ -103,14 +109,37 @@ def _pick(frame: DataFrame, brackets: dict[tuple[str, int], tuple]) -> dict:
         counts.selectExpr("*", running).filter("upto >= rank")
         .groupBy("g", "rank").agg(F.expr("min(struct(upto, v, n)) AS hit"))
     )
-    result = {}
-    for row in found.collect():
-        hit = row["hit"]
-        if hit["v"] is None:
-            raise ArithmeticError(f"rank {row['rank']} of {row['g']} lies below its bracket")
-        result[row["g"], row["rank"]] = (hit["v"], hit["upto"] - hit["n"], hit["n"])
-    if len(result) != len(brackets):
-        raise ArithmeticError("a wanted rank lies above its bracket")
+    return {
+        (row["g"], row["rank"]): (row["hit"]["v"], row["hit"]["upto"] - row["hit"]["n"], row["hit"]["n"])
+        for row in found.collect() if row["hit"]["v"] is not None
+    }
+
+
+def _select(frame: DataFrame, wanted: dict[tuple[str, int], tuple[int, float]], sketch=None) -> dict:
+    """``_pick`` for ranks of any place; ``wanted`` has the group's size and about the share of each.
+
+    Brackets widen until every rank is found. The sketch is made only if a bracket needs it.
+    """
+    width = {
+        t: next((k for k, w in enumerate(WIDTHS) if w * n >= SPAN), len(WIDTHS))
+        for t, (n, _) in wanted.items()
+    }
+    result: dict = {}
+    while len(result) < len(wanted):
+        left = [t for t in wanted if t not in result]
+        if sketch is None and any(width[t] < len(WIDTHS) for t in left):
+            sketch = _sketch(frame, sorted({share for _, share in wanted.values()}))
+        brackets = {
+            t: sketch[t[0]][1][wanted[t][1]][width[t]] if width[t] < len(WIDTHS) else (None, None)
+            for t in left
+        }
+        found = _pick(frame, brackets)
+        for t in left:
+            if t in found:
+                result[t] = found[t]
+            elif brackets[t] == (None, None):
+                raise ArithmeticError(f"no rank {t[1]} in {t[0]}: it has fewer rows")
+            width[t] += 1
     return result
 
 
@@ -118,10 +147,8 @@ def _at_points(frame: DataFrame, points: list[Point]) -> tuple[dict[str, int], d
     """Group sizes and the picked values at every point of every group."""
     sketch = _sketch(frame, sorted({p.share for p in points}))
     sizes = {g: n for g, (n, _) in sketch.items() if n}
-    brackets = {
-        (g, p.rank(n)): sketch[g][1][p.share] for g, n in sizes.items() for p in points
-    }
-    return sizes, _pick(frame, brackets)
+    wanted = {(g, p.rank(n)): (n, p.share) for g, n in sizes.items() for p in points}
+    return sizes, _select(frame, wanted, sketch)
 
 
 def rank_cuts(
@@ -162,15 +189,11 @@ def _tied_keys(long: DataFrame, tied: dict) -> dict:
         [(g, f"{g}#{rank}", hit[0]) for (g, rank), hit in tied.items()],
     )
     keys = long.join(ties, F.expr("g = tg AND v = tv")).selectExpr("name AS g", "k AS v")
-    within = {name: (names[name][1] - tied[t][1], tied[t][2]) for name, t in names.items()}
-    brackets = {(name, rank): (None, None) for name, (rank, _) in within.items()}
-    if max(n for _, n in within.values()) > WHOLE_GROUP:
-        share = {name: rank / n for name, (rank, n) in within.items()}
-        sketch = _sketch(keys, sorted(set(share.values())))
-        brackets = {
-            (name, rank): sketch[name][1][share[name]] for name, (rank, _) in within.items()
-        }
-    return {names[name]: hit[0] for (name, _), hit in _pick(keys, brackets).items()}
+    wanted = {}
+    for name, t in names.items():
+        rank, n = t[1] - tied[t][1], tied[t][2]
+        wanted[name, rank] = (n, rank / n)
+    return {names[name]: hit[0] for (name, _), hit in _select(keys, wanted).items()}
 
 
 def beyond(value: str, key: str, dtype: str, cut: Cut) -> str:
