@@ -15,7 +15,7 @@ import numpy as np
 # White space as the tokenizer knows it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
-REMEMBERED = 700_000  # chunks, then the memory starts anew
+REMEMBERED = 1_500_000  # chunks (about 200 MB), then the memory starts anew
 LONGEST = 40  # longer chunks are encoded, not remembered
 TOGETHER = 4096  # new chunks that are encoded in one call
 
