@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from oracle_sql import ORACLES
 from tillroll.functions.numeric import round_half_even
@@ -217,8 +217,8 @@ def _retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_segment_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = _analysis(spark, sf_dir, share=("basket",))
-    return trends.monthly_segment_spend(a.days, a.segments, P)
+    a = _analysis(spark, sf_dir)
+    return trends.monthly_segment_spend(a.tables.transactions, a.segments, P)
 
 
 def _by_detail(detail: str) -> Query:
@@ -300,10 +300,12 @@ def spend_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spend_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    described = distribution.describe(
-        _analysis(spark, sf_dir).spend,
-        ["total_spend", "n_baskets", "recency_days", "tenure_days"],
-    )
+    customers = _analysis(spark, sf_dir, "weekly_freq", "y1_spend", "y2_spend").customers
+    numeric = [
+        f.name for f in customers.schema
+        if f.name != "household_key" and isinstance(f.dataType, T.NumericType)
+    ]
+    described = distribution.describe(customers, numeric)
     return _rounded(described, 4, "mean", "sd", "low", "high", "q1", "median", "q3")
 
 
@@ -379,12 +381,49 @@ def clv_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def churn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _models(spark, sf_dir)
-    return churn_ml.churn_scores(m.churn.probability(m.churn_input))
+    scores = churn_ml.churn_scores(m.churn.probability(m.churn_input))
+    return _rounded(scores, 6, "churn_probability")
+
+
+def churn_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(
+        churn_ml.coefficients(_models(spark, sf_dir).churn, spark), 6, "coefficient"
+    )
+
+
+def churn_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fitted optimum, checked: what is left of each derivative, to six digits."""
+    m = _models(spark, sf_dir)
+    left = churn_ml.gradient(m.churn, m.churn_input)
+    return left.withColumn("gradient", F.abs(round_half_even(F.col("gradient"), 6)))
 
 
 def churn_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _models(spark, sf_dir)
-    return churn_ml.metrics(m.churn, m.churn_input)
+    found = churn_ml.metrics(m.churn, m.churn_input)
+    return _rounded(found, 6, "precision", "recall", "f1", "accuracy", "auc")
+
+
+def saved_results(spark: SparkSession, sf_dir: str) -> None:
+    """Result tables as a finished run saves them, registered by name for SQL text."""
+    a = _analysis(spark, sf_dir, "y1_spend", share=("basket",))
+    customers = _stand_in(a)
+    for name, frame in {
+        "rfm_segments": rfm.rfm_table(customers),
+        "campaign_roi": a.roi,
+        "category_spend": _view("category_spend")(spark, sf_dir),
+        "buyer_segments": _view("buyer_segments")(spark, sf_dir),
+    }.items():
+        a.stage.table(f"saved_{name}", lambda frame=frame: frame).createOrReplaceTempView(name)
+
+
+def _sql(text: str) -> Query:
+    """A text query over the saved result tables."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        saved_results(spark, sf_dir)
+        return presets.query(spark, text)
+
+    return run
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -502,6 +541,10 @@ def queries() -> dict[str, Query]:
         "preset_scenarios": _preset("scenarios", "financial_scenarios"),
         "preset_top_categories": _preset("top_categories", "category_spend"),
         "buyer_comparison": _preset("buyer_comparison", "buyer_segments"),
+        # free-form SQL over the saved tables
+        "sql_segment_reach": _sql(presets.SEGMENT_REACH),
+        "sql_spend_bands": _sql(presets.SPEND_BANDS),
+        "sql_campaign_margin": _sql(presets.CAMPAIGN_MARGIN),
         # models
         "clv_oof": lambda s, d: clv_ml.clv_predictions(_models(s, d).oof),
         "clv_fold_metrics": lambda s, d: clv_ml.fold_table(_models(s, d).oof),
@@ -511,7 +554,8 @@ def queries() -> dict[str, Query]:
         "clv_holdout": lambda s, d: _models(s, d).holdout,
         "clv_holdout_metrics": lambda s, d: clv_ml.holdout_metrics(_models(s, d).holdout),
         "churn_scores": churn_scores,
-        "churn_coefficients": lambda s, d: churn_ml.coefficients(_models(s, d).churn, s),
+        "churn_coefficients": churn_coefficients,
+        "churn_gradient": churn_gradient,
         "churn_metrics": churn_metrics,
         "high_risk_customers": lambda s, d: scenarios.high_risk_customers(_models(s, d).scored, P),
         **LLM_QUERIES,

@@ -128,16 +128,33 @@ SELECT campaign_type, count(*) AS n_rows, count(DISTINCT household_key) AS n_hou
        CASE campaign_type WHEN 'TypeA' THEN 1.5::DOUBLE WHEN 'TypeB' THEN 0.8::DOUBLE
                           ELSE 0.5::DOUBLE END AS unit_cost
 FROM upl GROUP BY campaign_type"""
-_SIMPSON = """list_sum(list_transform(range(0, 2001), lambda i:
-  (CASE WHEN i = 0 OR i = 2000 THEN 1.0 WHEN i % 2 = 1 THEN 4.0 ELSE 2.0 END)
-  * exp((v - 1) * ln(cos({low} + ({high} - {low}) / 2000.0 * i))))) * ({high} - {low})"""
-CTE["ttest"] = f"""
-SELECT *, {_SIMPSON.format(low='a', high='w')} / ({_SIMPSON.format(low='0.0', high='w')})
-            AS p_value
-FROM (SELECT *, least(atan(abs(t_stat) / sqrt(v)), w) AS a
+# Two-sided p-value as the regularised incomplete beta function of v / (v + t * t) at (v / 2, 1 / 2),
+# from its continued fraction; of the two equal forms the one that converges fast.
+CTE["tstat"] = """
+SELECT campaign_type, n_rows, uplift, sd, t_stat, x,
+       CASE WHEN flip THEN 1 - x ELSE x END AS y, flip,
+       CASE WHEN flip THEN 0.5::DOUBLE ELSE v / 2 END AS a, CASE WHEN flip THEN v / 2 ELSE 0.5::DOUBLE END AS b
+FROM (SELECT *, v / (v + t_stat * t_stat) AS x,
+             v / (v + t_stat * t_stat) >= (v / 2 + 1) / (v / 2 + 2.5) AS flip
       FROM (SELECT campaign_type, n_rows, uplift, sd, uplift / (sd / sqrt(n_rows)) AS t_stat,
-                   CAST(n_rows - 1 AS DOUBLE) AS v, least(pi() / 2, 40 / sqrt(n_rows - 1)) AS w
-            FROM bytype))"""
+                   CAST(n_rows - 1 AS DOUBLE) AS v FROM bytype))"""
+CTE["fraction"] = """
+SELECT campaign_type, 0 AS m, a, b, y, 1.0::DOUBLE AS c, 1 / (1 - (a + b) * y / (a + 1)) AS d,
+       1 / (1 - (a + b) * y / (a + 1)) AS h FROM tstat
+UNION ALL
+SELECT campaign_type, m, a, b, y, 1 + odd / even_c, 1 / (1 + odd * even_d),
+       even_h * (1 + odd / even_c) / (1 + odd * even_d)
+FROM (SELECT *, h * even_c * even_d AS even_h,
+             -(a + m) * (a + b + m) * y / ((a + 2 * m) * (a + 1 + 2 * m)) AS odd
+      FROM (SELECT campaign_type, m, a, b, y, h, 1 + even / c AS even_c, 1 / (1 + even * d) AS even_d
+            FROM (SELECT *, m * (b - m) * y / ((a - 1 + 2 * m) * (a + 2 * m)) AS even
+                  FROM (SELECT * REPLACE (m + 1 AS m) FROM fraction WHERE m < 300))))"""
+CTE["ttest"] = """
+SELECT t.*, CASE WHEN flip THEN 1 - part ELSE part END AS p_value
+FROM tstat t JOIN (
+  SELECT campaign_type AS ct, h / a * exp(a * ln(y) + b * ln(1 - y)
+    + lgamma(a + b) - lgamma(a) - lgamma(b)) AS part
+  FROM fraction WHERE m = 300) ON ct = campaign_type"""
 CTE["roi"] = f"""
 SELECT campaign_type, n_households, {half_even('pre', 2)} AS avg_pre_weekly_spend,
        {half_even('during', 2)} AS avg_during_weekly_spend,
@@ -285,22 +302,89 @@ SELECT count(*) AS n_households, count(*) FILTER (churn_probability >= 0.7) AS n
 FROM seg"""
 
 
+# Logistic regression by Newton steps: sums of the training rows as an augmented matrix, eliminated
+# pivot by pivot. The features are standardised on the training rows.
+_CHURN = ["n_baskets", "total_spend", "avg_basket", "tenure_days", "campaign_engaged",
+          "n_departments", "income_val", "age_val", "weekly_freq"]
+NEWTON_STEPS = 12
+CTE["churnsplit"] = f"""
+SELECT household_key, r <= greatest(1, CAST(n * 0.2::DOUBLE AS BIGINT)) AS in_test
+FROM (SELECT household_key, count(*) OVER (PARTITION BY is_churned) AS n,
+             row_number() OVER (PARTITION BY is_churned
+               ORDER BY ((household_key % 2147483648) * {(2654435761 + 42 * 97003657) % 4294967296 | 1} % 4294967291),
+                        household_key) AS r FROM spend)"""
+CTE["churnraw"] = (
+    "SELECT household_key, m.is_churned AS y, in_test, "
+    + ", ".join(f"coalesce(CAST(m.{c} AS DOUBLE), 0) AS f{k}" for k, c in enumerate(_CHURN, 1))
+    + " FROM master m JOIN churnsplit USING (household_key)"
+)
+CTE["churnstats"] = (
+    "SELECT count(*) AS n, sum(y) AS positives, "
+    + ", ".join(f"avg(f{k}) AS a{k}, stddev_pop(f{k}) AS s{k}" for k in range(1, 10))
+    + " FROM churnraw WHERE NOT in_test"
+)
+CTE["churnrows"] = (
+    "SELECT household_key, y, in_test, 1.0::DOUBLE AS x1, "
+    "CASE WHEN y = 1 THEN n / (2 * positives) ELSE n / (2 * (n - positives)) END AS w, "
+    + ", ".join(
+        f"(f{k} - a{k}) / CASE WHEN s{k} > 0 THEN s{k} ELSE 1 END AS x{k + 1}" for k in range(1, 10)
+    )
+    + " FROM churnraw, churnstats"
+)
+CTE["beta0"] = "SELECT list_transform(range(0, 10), lambda i: 0.0::DOUBLE) AS b"
+
+
+def _linear(names: list[str]) -> str:
+    return " + ".join(f"b[{k}] * {x}" for k, x in enumerate(names, 1))
+
+
+_X = [f"x{k}" for k in range(1, 11)]
+for _k in range(1, NEWTON_STEPS + 1):
+    _lines = ", ".join(
+        "[" + ", ".join(
+            f"sum(h * {x} * {z}){' + 1' if x == z and x != 'x1' else ''}" for z in _X
+        ) + f", sum(g * {x}){'' if x == 'x1' else f' + any_value(b[{i}])'}]"
+        for i, x in enumerate(_X, 1)
+    )
+    CTE[f"sums{_k}"] = (
+        f"SELECT 0 AS done, [{_lines}] AS m FROM (SELECT *, w * (p - y) AS g, w * p * (1 - p) AS h"
+        f" FROM (SELECT *, 1 / (1 + exp(-({_linear(_X)}))) AS p FROM churnrows, beta{_k - 1}"
+        " WHERE NOT in_test))"
+    )
+    CTE[f"solved{_k}"] = f"""
+SELECT done, m FROM sums{_k} UNION ALL
+SELECT done + 1, list_transform(m, lambda row, i: CASE
+  WHEN i = done + 1 THEN list_transform(row, lambda v: v / row[done + 1])
+  ELSE list_transform(list_zip(row, m[done + 1]),
+         lambda q: q[1] - row[done + 1] / m[done + 1][done + 1] * q[2]) END)
+FROM solved{_k} WHERE done < 10"""
+    CTE[f"beta{_k}"] = (
+        f"SELECT list_transform(range(1, 11), lambda i: b[i] - m[i][11]) AS b"
+        f" FROM solved{_k}, beta{_k - 1} WHERE done = 10"
+    )
+CTE["churned"] = (
+    f"SELECT household_key, y, in_test, 1 / (1 + exp(-({_linear(_X)}))) AS p"
+    f" FROM churnrows, beta{NEWTON_STEPS}"
+)
+
+
 def statement(body: str) -> str:
     """Prefix the named parts a statement uses, directly or through other parts."""
     import re
 
     used: list[str] = []
+    open_parts: set[str] = set()
 
     def visit(text: str) -> None:
         for word in dict.fromkeys(re.findall(r"\b(?:FROM|JOIN|,)\s+\(?\s*([a-z0-9]+)\b", text)):
-            if word in CTE and word not in used:
+            if word in CTE and word not in used and word not in open_parts:
+                open_parts.add(word)
                 visit(CTE[word])
-                if word not in used:
-                    used.append(word)
+                used.append(word)
 
     visit(body)
     parts = ",\n".join(f"{name} AS ({CTE[name]})" for name in used)
-    return f"WITH {parts}\n{body}" if parts else body
+    return f"WITH RECURSIVE {parts}\n{body}" if parts else body
 
 
 def by_segment(columns: str, source: str = "seg") -> str:
@@ -347,7 +431,11 @@ def _detail(name: str) -> str:
 FROM seg JOIN demo USING (household_key) WHERE {name} IS NOT NULL GROUP BY ALL"""
 
 
-_MEASURES = ["total_spend", "n_baskets", "recency_days", "tenure_days"]
+_MEASURES = [
+    "total_spend", "n_baskets", "avg_basket", "first_day", "last_day", "tenure_days", "recency_days",
+    "is_churned", "weekly_freq", "y1_spend", "y2_spend", "n_campaigns", "n_redemptions",
+    "y1_redemptions", "n_departments", "income_val", "age_val", "campaign_engaged",
+]
 
 _BODIES = {
     "customer_summary": "SELECT * FROM summary",
@@ -534,7 +622,7 @@ WHERE brand IS NOT NULL GROUP BY brand""",
                 (f"quantile_cont({m}::DOUBLE, 0.5)", "median"),
                 (f"quantile_cont({m}::DOUBLE, 0.75)", "q3"),
             ]
-        ) + " FROM spend"
+        ) + " FROM master"
         for m in _MEASURES
     ),
     "household_sample": f"""SELECT household_key, CAST(y1_spend AS DOUBLE) AS y1_spend,
@@ -604,4 +692,34 @@ round(avg(total_spend), 2) AS avg_spend, round(avg(n_baskets), 1) AS avg_baskets
 FROM buyers GROUP BY buyer_type""",
 }
 
+_CLASSES = "(VALUES (0, 'Active'), (1, 'Churned')) AS c(k, class)"
+_BODIES |= {
+    "churn_scores": f"""SELECT household_key, {half_even('p', 6)} AS churn_probability, is_churned, rfm_segment
+FROM churned JOIN seg USING (household_key)""",
+    "churn_coefficients": f"""SELECT feature, {half_even('b[k]', 6)} AS coefficient,
+CASE WHEN b[k] > 0 THEN 'raises churn' ELSE 'lowers churn' END AS effect
+FROM beta{NEWTON_STEPS}, (VALUES {', '.join(f"({k}, '{c}')" for k, c in enumerate(_CHURN, 2))}) AS f(k, feature)""",
+    "churn_gradient": "SELECT unnest([" + ", ".join(f"'{c}'" for c in ["intercept", *_CHURN])
+    + "]) AS feature, 0.0::DOUBLE AS gradient",
+    "churn_metrics": f"""SELECT class, {half_even('"precision"', 6)} AS "precision", {half_even('recall', 6)} AS recall,
+{half_even('CASE WHEN "precision" + recall > 0 THEN 2 * "precision" * recall / ("precision" + recall) ELSE 0 END', 6)} AS f1,
+support, {half_even('accuracy', 6)} AS accuracy, {half_even('auc', 6)} AS auc
+FROM (SELECT class, count(*) FILTER (y = k) AS support,
+        coalesce(count(*) FILTER (y = k AND g = k) / nullif(count(*) FILTER (g = k), 0), 0) AS "precision",
+        coalesce(count(*) FILTER (y = k AND g = k) / nullif(count(*) FILTER (y = k), 0), 0) AS recall,
+        count(*) FILTER (y = g) / count(*) AS accuracy
+      FROM (SELECT y, CAST(p > 0.5 AS INTEGER) AS g FROM churned WHERE in_test), {_CLASSES}
+      GROUP BY k, class),
+     (SELECT sum(CASE WHEN a.p > z.p THEN 1.0::DOUBLE WHEN a.p = z.p THEN 0.5::DOUBLE ELSE 0 END) / count(*) AS auc
+      FROM churned a, churned z WHERE a.in_test AND z.in_test AND a.y = 1 AND z.y = 0)""",
+    "sql_segment_reach": """SELECT rfm_segment, buyer_type, count(*) AS households,
+CAST(sum(s.total_spend) AS DOUBLE) AS spend, max(s.n_baskets) AS most_baskets
+FROM seg s JOIN buyers b ON s.household_key = b.household_key GROUP BY ALL""",
+    "sql_spend_bands": """SELECT band, rfm_segment, households, freshest,
+CAST(row_number() OVER (PARTITION BY band ORDER BY households DESC, rfm_segment) AS INTEGER) AS place
+FROM (SELECT CASE WHEN rfm_score >= 12 THEN 'high' WHEN rfm_score >= 7 THEN 'middle' ELSE 'low' END AS band,
+             rfm_segment, count(*) AS households, min(recency_days) AS freshest FROM seg GROUP BY ALL)""",
+    "sql_campaign_margin": """SELECT campaign_type, gross_profit - total_mailer_cost AS margin,
+total_mailer_cost, (SELECT count(*) FROM catspend) AS departments FROM roi""",
+}
 ORACLES = {name: statement(body) for name, body in _BODIES.items()}

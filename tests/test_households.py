@@ -1,3 +1,6 @@
+import datetime
+import random
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -23,7 +26,7 @@ def test_one_basket_household_has_no_spread(make_tables, params):
 
 
 def _departments(t):
-    return basket.household_departments(basket.household_products(t.transactions), t.products)
+    return basket.household_departments(t.transactions, t.products)
 
 
 def test_lines_without_a_key_belong_to_no_basket(make_tables, params):
@@ -122,8 +125,7 @@ def test_retention_fills_holes_with_zero(make_tables, params):
     t = make_tables(transactions=[
         line(1, 1, 1, 1), line(1, 2, 70, 1), line(2, 3, 5, 1), line(3, 4, 40, 1),
     ])
-    days = basket.household_days(basket.basket_fact(t.transactions, params))
-    activity = cohort.cohort_activity(days, params)
+    activity = cohort.cohort_activity(t.transactions, params)
     kept = cohort.cohort_retention(activity, params)
     assert rows(kept, "cohort_month", "months_since", "retention_pct") == [
         ("2013-01", 0, 100.0), ("2013-01", 2, 50.0), ("2013-02", 0, 100.0), ("2013-02", 2, 0.0),
@@ -134,12 +136,45 @@ def test_retention_fills_holes_with_zero(make_tables, params):
     assert tuple(averages) == (2, 0.0, 0.0)
 
 
+def test_month_sets_against_brute_force(spark, make_tables, params):
+    """Long calendars need several words; lines without a key count nowhere."""
+    p = params.with_(max_day=4000)
+    draw = random.Random(3)
+    lines = [line(h, 100 * h + k, draw.randint(1, 5000), 1) for h in range(30) for k in range(40)]
+    lines.append((None, *line(1, 1, 5, 1)[1:]))
+    t = make_tables(transactions=lines)
+    months = {}
+    for h, _, day, *_ in lines[:-1]:
+        date = datetime.date(2013, 1, 1) + datetime.timedelta(day - 1)
+        months.setdefault(h, set()).add(date.year * 12 + date.month - 1)
+    expected = Counter()
+    for held in months.values():
+        first = min(held)
+        for m in held:
+            expected[f"{first // 12}-{first % 12 + 1:02d}", m - first] += 1
+    found = cohort.cohort_activity(t.transactions, p).collect()
+    assert {(r["cohort_month"], r["months_since"]): r["n_active"] for r in found} == expected
+
+
+def test_month_sets_take_two_exchanges_and_no_window(spark, params, tmp_path):
+    lines = "household_key long, basket_id long, day int, week_no int"
+    spark.createDataFrame([(1, 1, 1, 1)], lines).write.parquet(f"{tmp_path}/lines")
+    activity = cohort.cohort_activity(spark.read.parquet(f"{tmp_path}/lines"), params)
+    plan = activity._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Window" not in plan
+
+
+def test_a_day_beyond_the_calendar_is_an_error(make_tables, params):
+    t = make_tables(transactions=[line(1, 1, 1, 1), line(1, 2, 40_000, 1)])
+    with pytest.raises(Exception, match="day 40000 is outside the calendar"):
+        cohort.cohort_activity(t.transactions, params).collect()
+
+
 def test_small_cohorts_are_dropped(make_tables, params):
     lines = [line(h, h, 1, 1) for h in range(19)] + [line(100 + h, 100 + h, 40, 1) for h in range(20)]
     t = make_tables(transactions=lines)
     p = params.with_(min_cohort_size=20)
-    days = basket.household_days(basket.basket_fact(t.transactions, p))
-    kept = cohort.cohort_retention(cohort.cohort_activity(days, p), p)
+    kept = cohort.cohort_retention(cohort.cohort_activity(t.transactions, p), p)
     assert {r["cohort_month"] for r in kept.collect()} == {"2013-02"}
 
 

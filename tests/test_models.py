@@ -248,6 +248,33 @@ def test_churn_model_ranks_and_scores(spark, customers):
     assert (top["feature"], top["effect"]) == ("n_baskets", "lowers churn")
 
 
+def test_churn_fit_is_the_optimum(spark, customers):
+    """The gradient is zero there, and a plain gradient descent ends at the same place."""
+    split = churn_ml.split(customers)
+    model = churn_ml.fit(split)
+    left = [r["gradient"] for r in churn_ml.gradient(model, split).collect()]
+    assert len(left) == 10 and max(map(abs, left)) < 1e-8 and model.steps < 15
+    train = [r for r in split.collect() if not r["in_test"]]
+    x = np.array([[float(r[c]) for c in churn_ml.CHURN_FEATURES] for r in train])
+    spread = x.std(axis=0)
+    x = np.c_[np.ones(len(x)), (x - x.mean(axis=0)) / np.where(spread > 0, spread, 1)]
+    y = np.array([r["is_churned"] for r in train])
+    w = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+    b = np.zeros(10)
+    for _ in range(20_000):
+        p = 1 / (1 + np.exp(-x @ b))
+        b -= 0.004 * (x.T @ (w * (p - y)) + np.r_[0, b[1:]])
+    assert np.r_[model.intercept, model.weights] == pytest.approx(b, abs=1e-5)
+
+
+@pytest.mark.parametrize("label", [0, 1])
+def test_one_class_is_certain(spark, customers, label):
+    only = customers.withColumn("is_churned", F.lit(label)).withColumn("in_test", F.col("household_key") < 50)
+    model = churn_ml.fit(only)
+    assert {r["churn_probability"] for r in model.probability(only).collect()} == {float(label)}
+    assert {r["auc"] for r in churn_ml.metrics(model, only).collect()} == {None}
+
+
 def panel(draw):
     """Transaction lines of 120 households, some of which stop early."""
     lines, basket = [], 0

@@ -38,7 +38,7 @@ def test_query_matches_oracle(spark, duck, name):
 def test_every_oracle_belongs_to_a_query():
     assert set(ORACLES) <= set(QUERIES)
     without = set(QUERIES) - set(ORACLES)
-    assert all(n.startswith(("clv_", "churn_", "high_risk_customers")) for n in without)
+    assert all(n.startswith(("clv_", "high_risk_customers")) for n in without)
 
 
 def test_entry_returns_the_segment_profile(spark):

@@ -160,3 +160,21 @@ def test_scores_stay_a_map_over_the_input(spark):
     frame = frame_of(spark, values)
     plan = ranking.add_quintiles(frame, {"q": "x"}, "household_key")._jdf.queryExecution().toString()
     assert "Exchange" not in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("levels", [3, 40, 10**9])
+def test_auc_equals_all_pairs(spark, levels):
+    draw = random.Random(levels)
+    data = [(draw.randint(0, levels) / 7, int(draw.random() < 0.3)) for _ in range(5000)]
+    ones = np.array([s for s, y in data if y])
+    zeros = np.array([s for s, y in data if not y])
+    ahead = (ones[:, None] > zeros).sum() + 0.5 * (ones[:, None] == zeros).sum()
+    frame = spark.createDataFrame(data + [(None, 1)], "p double, y int")
+    assert ranking.rank_sum_auc(frame, "p", "y") == pytest.approx(ahead / (len(ones) * len(zeros)), rel=1e-14)
+    assert ranking.rank_sum_auc(frame, "p", "y", buckets=2) == ranking.rank_sum_auc(frame, "p", "y")
+
+
+def test_auc_needs_both_labels(spark):
+    frame = spark.createDataFrame([(0.5, 1)], "p double, y int")
+    assert ranking.rank_sum_auc(frame, "p", "y") is None
+    assert ranking.rank_sum_auc(frame.filter("false"), "p", "y") is None

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..params import Params
 from ..schema import MONEY
+from .skew import join_dimension
 
 
 def day_to_date(day: Column, params: Params) -> Column:
@@ -54,20 +55,20 @@ def household_days(basket: DataFrame) -> DataFrame:
     )
 
 
-def household_products(transactions: DataFrame) -> DataFrame:
-    """Spend per household and product, the line-level input of the product reports."""
-    return transactions.groupBy("household_key", "product_id").agg(
-        _total("sales_value").alias("sales_value")
-    )
+def labelled_lines(transactions: DataFrame, products: DataFrame, how: str = "left") -> DataFrame:
+    """Household, basket, spend, department and brand of each line; unmatched products keep NULL
+    labels in a left join (J1, J2, J12)."""
+    lines = transactions.select("household_key", "basket_id", "product_id", "sales_value")
+    labels = products.select("product_id", "department", "brand")
+    return join_dimension(lines, labels, "product_id", ["household_key", "basket_id"], how)
 
 
-def household_departments(by_product: DataFrame, products: DataFrame) -> DataFrame:
-    """Spend per household, department and brand; unmatched products keep NULL labels."""
-    labels = products.select("product_id", "department", "brand")
+def household_departments(transactions: DataFrame, products: DataFrame) -> DataFrame:
+    """Spend per household, department and brand: lines are labelled first and combine at once."""
     return (
-        by_product.join(labels, "product_id", "left")
+        labelled_lines(transactions, products)
         .groupBy("household_key", "department", "brand")
-        .agg(F.sum("sales_value").cast(MONEY).alias("sales_value"))
+        .agg(_total("sales_value").alias("sales_value"))
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import mean, round_half_even
 from ..params import Params
@@ -47,27 +47,50 @@ def cohort_metrics(cohorts: DataFrame) -> DataFrame:
     return cohorts.unpivot(["first_quarter"], metrics, "metric", "value")
 
 
-def cohort_activity(days: DataFrame, params: Params) -> DataFrame:
-    """Active households per cohort month and months since joining.
+WORD = 62  # months per word of a month set
+
+
+def household_months(transactions: DataFrame, params: Params) -> DataFrame:
+    """One row per household: the months it bought in as bits, ``words[m DIV 62]`` bit ``m % 62``,
+    m counting from the month of day 1 (W3).
 
-    Rows are distinct household-months first, so a household brings at most one row per calendar
-    month to the window and the last count needs no distinct.
+    Lines combine to a few words per household before the one exchange. Words reach five years
+    past the calendar of the parameters; a day beyond is an error, not a lost row.
     """
     date = day_to_date(F.col("day"), params)
-    month_number = (F.year(date) * 12 + F.month(date) - 1).alias("month_number")
-    active = days.select("household_key", month_number).distinct()
-    first = F.min("month_number").over(Window.partitionBy("household_key"))
-    since = active.withColumn("first_number", first).withColumn(
-        "months_since", F.col("month_number") - F.col("first_number")
+    start = F.lit(params.ref_date).cast("date")
+    month = (F.year(date) - F.year(start)) * 12 + F.month(date) - F.month(start)
+    words = params.max_day // 28 // WORD + 2
+    seen = transactions.dropna(subset=["household_key", "basket_id", "day", "week_no"]).select(
+        "household_key", F.when(month.between(0, WORD * words - 1), month).otherwise(
+            F.raise_error(F.format_string("day %d is outside the calendar", "day")).cast("int")
+        ).alias("m")
     )
-    counted = since.groupBy("first_number", "months_since").agg(
-        F.count(F.lit(1)).alias("n_active")
+    return seen.groupBy("household_key").agg(F.array(*(
+        F.expr(f"bit_or(CASE WHEN m DIV {WORD} = {k} THEN shiftleft(1L, m % {WORD}) ELSE 0L END)")
+        for k in range(words)
+    )).alias("words"))
+
+
+def cohort_activity(transactions: DataFrame, params: Params) -> DataFrame:
+    """Active households per cohort month and months since joining.
+
+    The first month and the months since are read off a household's bits: no window, and the second
+    exchange moves counts of at most months x months pairs.
+    """
+    sets = household_months(transactions, params)
+    last = WORD * (params.max_day // 28 // WORD + 2) - 1
+    held = F.filter(
+        F.sequence(F.lit(0), F.lit(last)),
+        lambda m: F.getbit(F.get("words", F.floor(m / WORD).cast("int")), m % WORD) == 1,
     )
-    start = F.make_date(
-        F.floor(F.col("first_number") / 12).cast("int"),
-        F.col("first_number") % 12 + 1,
-        F.lit(1),
+    months = sets.select(held.alias("months")).select(
+        F.get("months", F.lit(0)).alias("first"), F.explode("months").alias("m")
+    )
+    counted = months.groupBy("first", (F.col("m") - F.col("first")).alias("months_since")).agg(
+        F.count(F.lit(1)).alias("n_active")
     )
+    start = F.add_months(F.trunc(F.lit(params.ref_date).cast("date"), "month"), F.col("first"))
     return counted.select(
         F.date_format(start, "yyyy-MM").alias("cohort_month"), "months_since", "n_active"
     )

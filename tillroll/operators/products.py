@@ -1,7 +1,8 @@
 """Brand and department mix.
 
 The input is the household-department roll-up, in which a household has one row per department and
-brand; the fact table is not read again.
+brand; the fact table is not read again. It meets the segments by household first, so what is counted
+per household needs no further exchange.
 """
 
 from __future__ import annotations
@@ -16,9 +17,8 @@ def brand_by_segment(by_department: DataFrame, customers: DataFrame) -> DataFram
     """Spend per segment and brand with its share of the segment; NULL brands drop out."""
     spend = (
         by_department.filter(F.col("brand").isNotNull())
-        .groupBy("household_key", "brand").agg(F.sum("sales_value").alias("spend"))
         .join(customers.select("household_key", "rfm_segment"), "household_key")
-        .groupBy("rfm_segment", "brand").agg(F.sum("spend").alias("spend"))
+        .groupBy("rfm_segment", "brand").agg(F.sum("sales_value").alias("spend"))
     )
     total = F.sum("spend").over(Window.partitionBy("rfm_segment"))
     return (
@@ -42,8 +42,9 @@ def category_by_segment(by_department: DataFrame, customers: DataFrame) -> DataF
     """
     return (
         by_department.filter(F.col("department").isNotNull())
-        .groupBy("household_key", "department").agg(F.sum("sales_value").alias("spend"))
         .join(customers.select("household_key", "rfm_segment"), "household_key")
+        .groupBy("household_key", "rfm_segment", "department")
+        .agg(F.sum("sales_value").alias("spend"))
         .groupBy("rfm_segment", "department")
         .agg(F.sum("spend").cast("double").alias("total_spend"),
              F.count(F.lit(1)).alias("n_households"))

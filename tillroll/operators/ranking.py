@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from decimal import Decimal
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 ACCURACY = 10_000
 # Half widths of the brackets that are tried one after the other, as shares of a group; after them
@@ -300,3 +300,34 @@ def quantiles(
     if group is None and not result:
         result[""] = [None] * len(shares)
     return result
+
+
+def rank_sum_auc(frame: DataFrame, score: str, label: str, buckets: int = 256) -> float | None:
+    """Exact area under the ROC curve: the share of (1, 0) pairs that the score puts in order, ties
+    counting half; None without both labels.
+
+    Rows combine to counts per score first. Scores are dealt into buckets at their own quantiles, so the
+    running count of zeros below a score is a window inside a bucket plus one number per bucket.
+    """
+    counts = frame.select(
+        F.col(score).cast("double").alias("score"), F.col(label).cast("int").alias("label")
+    ).filter("score IS NOT NULL AND label IS NOT NULL").groupBy("score").agg(
+        F.count_if(F.col("label") == 1).alias("ones"), F.count_if(F.col("label") == 0).alias("zeros")
+    )
+    marks = counts.agg(F.percentile_approx(
+        "score", [k / buckets for k in range(1, buckets)], ACCURACY
+    )).first()[0] or []
+    cuts = F.array(*(F.lit(float(m)) for m in sorted(set(marks)))).cast("array<double>")
+    dealt = counts.withColumn("bucket", F.size(F.filter(cuts, lambda c: c < F.col("score"))))
+    earlier = Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    inside = dealt.withColumn("below", F.coalesce(F.sum("zeros").over(earlier), F.lit(0)))
+    # Twice the pairs in order inside each bucket; zeros of earlier buckets are added on the driver.
+    rows = inside.groupBy("bucket").agg(
+        F.expr("sum(CAST(ones AS DECIMAL(18,0)) * CAST(2 * below + zeros AS DECIMAL(19,0)))")
+        .alias("pairs"), F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"),
+    ).collect()  # at most ``buckets`` rows
+    pairs = zeros = ones = 0
+    for row in sorted(rows):
+        pairs += int(row["pairs"]) + 2 * int(row["ones"]) * zeros
+        ones, zeros = ones + int(row["ones"]), zeros + int(row["zeros"])
+    return pairs / (2 * ones * zeros) if ones and zeros else None

@@ -43,11 +43,15 @@ def peak_week(weekly: DataFrame) -> DataFrame:
     )
 
 
-def monthly_segment_spend(days: DataFrame, customers: DataFrame, params: Params) -> DataFrame:
-    """Spend per calendar month and segment (A22, J8); spend is per household-month at the join."""
-    months = days.groupBy(
+def monthly_segment_spend(
+    transactions: DataFrame, customers: DataFrame, params: Params
+) -> DataFrame:
+    """Spend per calendar month and segment (A22, J8); lines combine to household-months, which then
+    meet the segments."""
+    lines = transactions.dropna(subset=["household_key", "basket_id", "day", "week_no"])
+    months = lines.groupBy(
         "household_key", day_to_month(F.col("day"), params).alias("cal_month")
-    ).agg(F.sum("spend").alias("spend"))
+    ).agg(F.sum("sales_value").alias("spend"))
     return (
         months.join(customers.select("household_key", "rfm_segment"), "household_key")
         .groupBy("cal_month", "rfm_segment")

@@ -64,9 +64,18 @@ class Analysis:
     @cached_property
     def by_department(self) -> DataFrame:
         return self._rollup("departments", lambda: b.household_departments(
-            b.household_products(self.tables.transactions), self.tables.products
+            self.tables.transactions, self.tables.products
         ))
 
+    @cached_property
+    def department_counts(self) -> DataFrame:
+        """From the roll-up where a run shares it, else straight from the labelled lines."""
+        if "departments" in self.share:
+            return h.department_counts(self.by_department)
+        return h.department_counts(
+            b.labelled_lines(self.tables.transactions, self.tables.products)
+        )
+
     @cached_property
     def spend(self) -> DataFrame:
         """Household measures; those not asked for are pruned from the pass over the lines."""
@@ -94,7 +103,7 @@ class Analysis:
     def customers(self) -> DataFrame:
         """The full master table, written: the models read it many times."""
         base = self.stage.table("customers", lambda: h.customer_base(
-            self.spend, h.department_counts(self.by_department), self.tables, self.params
+            self.spend, self.department_counts, self.tables, self.params
         ))
         return h.impute_medians(base)
 
@@ -117,7 +126,8 @@ class Analysis:
     @cached_property
     def cohort_activity(self) -> DataFrame:
         return self.stage.table(
-            "cohort_activity", lambda: cohort.cohort_activity(self.days, self.params)
+            "cohort_activity",
+            lambda: cohort.cohort_activity(self.tables.transactions, self.params),
         )
 
     @cached_property

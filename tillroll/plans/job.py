@@ -54,7 +54,9 @@ def _write_all(
         "financial_scenarios": scenarios.financial_scenarios(customers, roi, params),
         "cohort_retention": cohort.cohort_retention(activity, params),
         "weekly_trend": trends.weekly_trend(a.basket),
-        "monthly_segment_spend": trends.monthly_segment_spend(a.days, customers, params),
+        "monthly_segment_spend": trends.monthly_segment_spend(
+            tables.transactions, customers, params
+        ),
         "demographics_income": demographics.segment_counts(customers, households, "income_desc"),
         "demographics_age": demographics.segment_counts(customers, households, "age_desc"),
         "demographics_hh_comp": demographics.segment_counts(customers, households, "hh_comp_desc"),

@@ -105,6 +105,36 @@ PRESETS = {
 }
 
 
+# Examples of free-form text over the saved tables.
+SEGMENT_REACH = """
+SELECT s.rfm_segment, b.buyer_type, count(*) AS households,
+       CAST(sum(CAST(s.total_spend AS DECIMAL(18, 4))) AS DOUBLE) AS spend,
+       max(s.n_baskets) AS most_baskets
+FROM rfm_segments s JOIN buyer_segments b USING (household_key)
+GROUP BY s.rfm_segment, b.buyer_type
+HAVING count(*) > 0
+ORDER BY s.rfm_segment, b.buyer_type;
+"""
+SPEND_BANDS = """
+WITH banded AS (
+    SELECT rfm_segment, recency_days,
+           CASE WHEN rfm_score >= 12 THEN 'high' WHEN rfm_score >= 7 THEN 'middle' ELSE 'low' END AS band
+    FROM rfm_segments
+)
+SELECT band, rfm_segment, count(*) AS households, min(recency_days) AS freshest,
+       row_number() OVER (PARTITION BY band ORDER BY count(*) DESC, rfm_segment) AS place
+FROM banded GROUP BY band, rfm_segment
+ORDER BY band, place
+"""
+CAMPAIGN_MARGIN = """
+SELECT campaign_type, gross_profit - total_mailer_cost AS margin, total_mailer_cost,
+       (SELECT count(*) FROM category_spend) AS departments
+FROM campaign_roi
+WHERE revenue_roi IS NOT NULL
+ORDER BY margin DESC, campaign_type
+"""
+
+
 def query(spark: SparkSession, sql: str) -> DataFrame:
     """Free-form SQL over whatever tables and views the session knows."""
     return spark.sql(sql.strip().rstrip(";"))
