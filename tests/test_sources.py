@@ -3,8 +3,10 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import line, rows
+from tillroll.schema import RetailTables
 from tillroll.plans.presets import export_csv, query
 from tillroll.plans.views import register_views
 from tillroll.session import folder_bytes, size_shuffles
@@ -50,10 +52,10 @@ def test_a_missing_required_column_is_an_error(spark, tmp_path):
 
 
 @pytest.fixture
-def store(spark, request):
-    name = f"db_{request.node.name.lower()[:40]}"
+def store(spark, request, tmp_path):
+    name = "db_" + "".join(c if c.isalnum() else "_" for c in request.node.name.lower())
     spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
-    yield Store(spark, name)
+    yield Store(spark, name, f"{tmp_path}/tables")
     spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
 
 
@@ -69,6 +71,78 @@ def test_raw_tables_load_once(spark, store, make_tables):
     assert "Exchange" not in plan.executedPlan().toString()
 
 
+def broken(frame):
+    """The frame with a row that fails while it is written."""
+    bad = frame.limit(1).select(*(
+        F.when(F.col(frame.columns[0]).isNotNull(), F.raise_error(F.lit("power cut"))).cast(frame.schema[0].dataType)
+        .alias(frame.columns[0]), *frame.columns[1:],
+    ))
+    return frame.union(bad)
+
+
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_a_failed_write_leaves_the_table_as_it_was(spark, store, make_tables, buckets):
+    store.load_raw(make_tables(transactions=[line(1, 1, 1, 5)]), buckets=buckets)
+    before = store.raw().transactions
+    many = make_tables(transactions=[line(k, k, 1, 5) for k in range(1, 40)])
+    with pytest.raises(Exception, match="power cut"):
+        store.load_raw(
+            RetailTables(**{**dict(many.items()), "transactions": broken(many.transactions)}),
+            force_rebuild=True, buckets=buckets,
+        )
+    assert store.raw().transactions.count() == 1
+    other = Store(spark, f"{store.database}_other", store.root)  # as another process sees it
+    assert other.raw().transactions.count() == 1
+    store.load_raw(many, force_rebuild=True, buckets=buckets)
+    assert store.raw().transactions.count() == other.raw().transactions.count() == 39
+    assert before.count() == 1  # a reader stays with its snapshot
+    spark.sql(f"DROP DATABASE {other.database} CASCADE")
+
+
+def test_old_snapshots_go(spark, store):
+    for k in range(5):
+        store.write("weekly_trend", spark.range(k + 1).withColumnRenamed("id", "week_no"))
+    assert len(store.snapshots("weekly_trend")) == 2
+    assert store.read("weekly_trend").count() == 5
+
+
+def test_a_range_of_days_reaches_the_scan(spark, store, make_tables):
+    store.load_raw(make_tables(transactions=[line(1, k, k, 5) for k in range(1, 50)]))
+    some = store.raw().transactions.filter("day BETWEEN 3 AND 5")
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(day,3)" in plan and some.count() == 3
+
+
+LAYOUT_RUNS = """
+import sys
+from decimal import Decimal
+from pyspark.sql import SparkSession
+from tillroll.schema import RAW_COLUMNS, RetailTables
+from tillroll.sources.store import Store
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config(
+    "spark.sql.warehouse.dir", sys.argv[1] + "/" + sys.argv[2]).getOrCreate()
+store = Store(spark, "laid_out", sys.argv[1] + "/tables")
+if sys.argv[2] == "first":
+    tables = {t: spark.createDataFrame([], ", ".join(f"{c} {k.simpleString()}" for c, k in cs.items()))
+              for t, cs in RAW_COLUMNS.items()}
+    tables["transactions"] = spark.createDataFrame(
+        [(k % 9, k, k, 1, 1, 1, *[Decimal(1)] * 4, 1) for k in range(1, 200)], tables["transactions"].schema)
+    store.load_raw(RetailTables(**tables), buckets=4)
+found = store.raw().transactions.groupBy("household_key").count()
+print("PLAN", "Exchange" in found._jdf.queryExecution().executedPlan().toString(), found.count())
+"""
+
+
+def test_another_process_reads_the_recorded_layout(tmp_path):
+    repo = Path(__file__).resolve().parent.parent
+    for run in ("first", "second"):
+        said = subprocess.run(
+            [sys.executable, "-c", LAYOUT_RUNS, str(tmp_path), run], cwd=repo, capture_output=True, text=True,
+            timeout=180,
+        ).stdout.split()
+        assert said == ["PLAN", "False", "9"], run
+
+
 TWO_RUNS = """
 import sys
 from pyspark.sql import SparkSession
