@@ -125,3 +125,37 @@ def test_texts_without_the_old_signs(spark, tmp_path):
         "https://mongodb.com/licensing/server-side-public",
     ])
     assert found == ["proprietary", "cc0-1.0", "mpl-2.0", "gpl-3.0", "busl-1.1", "wtfpl", "eupl", "sspl-1.0"]
+
+
+def test_settled_detections_against_all_pairs(spark):
+    """One sweep leaves the same detections as comparing every hit with every other."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    draw, rows = random.Random(4), []
+    for k in range(40):
+        hits = []
+        for rank in draw.sample(range(250), draw.randint(0, 25)):
+            start = draw.randint(0, 30)
+            hits.append((start, start + draw.randint(1, 12), draw.choice([100, 90, 80, 60, 50]), rank))
+        rows.append((k, hits))
+    frame = spark.createDataFrame(
+        [(k, [(s, e, f"l{r}", p, 0.5, r) for s, e, p, r in hits]) for k, hits in rows],
+        f"k long, hits array<{license_rules.HIT}>",
+    )
+    ordered = frame.select("k", F.array_sort(F.transform("hits", lambda x: F.struct(
+        x["start"].alias("start"), (-x["end"]).alias("back"), (-x["priority"]).alias("below"),
+        x["rank"].alias("rank"), x.alias("hit"),
+    ))).alias("ordered"))
+    settled = ordered.select("k", license_rules._settled(F.col("ordered")).alias("s")).collect()
+    found = {r["k"]: {x["hit"]["rank"] for x in r["s"] if not x["inside"]} for r in settled}
+    for k, hits in rows:
+        def beaten(x):
+            return any(
+                y[0] <= x[0] and y[1] >= x[1] and y[3] != x[3] and (
+                    y[2] > x[2] or y[2] == x[2] and (y[1] - y[0] > x[1] - x[0] or y[3] < x[3])
+                ) for y in hits
+            )
+
+        assert found[k] == {x[3] for x in hits if not beaten(x)}, k

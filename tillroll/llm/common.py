@@ -83,12 +83,48 @@ def bound_to(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def scanned(items: Column, zero: Column, step, out_type: str) -> Column:
+    """One output per item from a running state: ``step(state, item)`` gives (new state, output).
+
+    Works in blocks of about the square root of the length, because appending to an array copies it.
+    ``state`` keeps the type of ``zero``; ``items`` should be a column that is there, as it is named
+    several times.
+    """
+    size = F.size(items)
+    width = F.greatest(F.ceil(F.sqrt(size)).cast("int"), F.lit(1))
+    none = F.array().cast(f"array<{out_type}>")
+
+    def one(acc: Column, x: Column) -> Column:
+        state, out = step(acc["state"], x)
+        return F.struct(state.alias("state"), F.array_append(acc["out"], out).alias("out"))
+
+    def block(acc: Column, b: Column) -> Column:
+        return F.aggregate(
+            F.slice(items, b * width + 1, width),
+            F.struct(acc["state"].alias("state"), none.alias("out")), one,
+            lambda d: F.struct(
+                d["state"].alias("state"), F.array_append(acc["out"], d["out"]).alias("out")
+            ),
+        )
+
+    start = F.struct(zero.alias("state"), F.array().cast(f"array<array<{out_type}>>").alias("out"))
+    blocks = F.sequence(F.lit(0), F.floor((size - 1) / width).cast("int"))
+    return F.when(size > 0, F.aggregate(blocks, start, block, lambda acc: F.flatten(acc["out"]))).otherwise(none)
+
+
 SPANS = "array<struct<start:int,end:int,found:string>>"
 
 
-def spans_of(text: Column, pattern: Column) -> Column:
+NEARBY = 24  # code points before a match
+AROUND = "array<struct<start:int,end:int,found:string,before:string,after:string>>"
+
+
+def spans_of(text: Column, pattern: Column, around: bool = False) -> Column:
     """Leftmost non-overlapping matches of ``pattern`` as (start, end, found), in code points.
 
+    With ``around`` also what stands ``before`` (up to ``NEARBY`` code points of the gap, the match and
+    the gap before it) and the one code point ``after``, from the parts and not from the whole text.
+
     The gaps that ``split`` leaves and the matches themselves alternate, so their lengths give the
     places. The pattern must not match the empty string.
     """
@@ -102,13 +138,28 @@ def spans_of(text: Column, pattern: Column) -> Column:
             start = acc["at"] + F.char_length(F.get(p["gaps"], k))
             found = F.get(p["found"], k)
             end = start + F.char_length(found)
-            span = F.struct(start.alias("start"), end.alias("end"), found.alias("found"))
+            fields = [start.alias("start"), end.alias("end"), found.alias("found")]
+            if around:
+                none = F.lit("")
+                earlier = F.concat(*(
+                    F.coalesce(part, none) for part in (
+                        F.right(F.get(p["gaps"], k - 1), F.lit(NEARBY)), F.get(p["found"], k - 1),
+                        F.right(F.get(p["gaps"], k), F.lit(NEARBY)),
+                    )
+                ))
+                later = F.concat(
+                    F.substring(F.get(p["gaps"], k + 1), 1, 1),
+                    F.substring(F.coalesce(F.get(p["found"], k + 1), none), 1, 1),
+                )
+                fields += [F.right(earlier, F.lit(NEARBY)).alias("before"), F.substring(later, 1, 1).alias("after")]
+            span = F.struct(*fields)
             return F.struct(end.alias("at"), F.array_append(acc["out"], span).alias("out"))
 
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
+        kind = AROUND if around else SPANS
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
         last = F.size(p["found"]) - 1
         return F.when(
             last >= 0, F.aggregate(F.sequence(F.lit(0), last), zero, step, lambda acc: acc["out"])
-        ).otherwise(F.array().cast(SPANS))
+        ).otherwise(F.array().cast(kind))
 
     return bound_to(parts, walk)

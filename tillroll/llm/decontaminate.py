@@ -3,8 +3,9 @@
 An item of n words is looked for in windows of n words. A window reaches the least similarity only
 if most of its shingles are the item's, so windows are formed where a document shares shingles with
 an item, at every start from which enough of them are inside; this loses none. Each window gets a
-64-bit SimHash of its shingles and probes the index of the items of its size: 64 bits in
-``radius + 1`` blocks, of which one must agree within ``radius`` differing bits. Candidates within
+64-bit SimHash of its shingles and probes the index of that item's blocks: 64 bits in
+``radius + 1`` blocks, of which one must agree within ``radius`` differing bits. The item is part of
+the key, because blocks of three bits alone would bring every window to every item of its size. Candidates within
 the radius are verified by weighted Jaccard similarity, a shingle weighing as often as it occurs.
 
 Everything is a DataFrame or SQL function. The item tables are written first, so Spark knows their
@@ -110,30 +111,35 @@ def contaminated(
     pairs = hits.groupBy("doc_id", "item_id", "m", "size").agg(
         F.count("*").alias("shared"), F.collect_set("p").alias("places")
     ).where(enough)
+    # The k-th next place of a sorted list tells all starts whose window holds k places: those up to
+    # the j-th place from which the window reaches the one k - 1 further on. Linear in the places.
     starts = F.expr(
-        "filter(array_distinct(flatten(transform(places, p ->"
-        f" transform(sequence(0, (m * {10 - least}) div {10 + least} + 1), d -> p - d)))),"
-        f" a -> a >= 0 AND a <= greatest(0, size - m) AND {10 + least} * size(filter(places,"
-        f" p -> p >= a AND p < a + m)) >= {least} * (m + least(m, size)))"
+        "array_distinct(flatten(transform(sequence(0, size(places) - k), j ->"
+        " CASE WHEN greatest(0, places[j + k - 1] - m + 1) <= least(places[j], greatest(0, size - m))"
+        " THEN sequence(greatest(0, places[j + k - 1] - m + 1), least(places[j], greatest(0, size - m)))"
+        " ELSE array() END)))"
+    )
+    needed = F.ceil(F.lit(least) * (F.col("m") + F.least("m", "size")) / F.lit(10 + least)).cast("int")
+    wanted = pairs.withColumn("places", F.array_sort("places")).withColumn("k", needed).where(
+        "size(places) >= k"
+    ).select("doc_id", "item_id", "m", "size", F.explode(starts).alias("a")).groupBy("doc_id", "size").agg(
+        F.collect_set(F.struct("item_id", "m", "a")).alias("windows")
     )
-    wanted = pairs.select("doc_id", "m", "size", F.explode(starts).alias("a")).groupBy(
-        "doc_id", "size"
-    ).agg(F.collect_set(F.struct("m", "a")).alias("windows"))
     # Only documents that may hold an item are shingled again.
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text"))
     again = _shingles(texts.join(wanted, F.col("id") == F.col("doc_id")), "doc_id", "text", "size", "windows")
     found = again.select("doc_id", "size", "shingles", F.explode_outer("windows").alias("w")).where(
         F.size("shingles") == F.col("size")
     ).select(
-        "doc_id", F.col("w.m").alias("m"), F.col("w.a").alias("a"),
+        "doc_id", F.col("w.item_id").alias("item_id"), F.col("w.m").alias("m"), F.col("w.a").alias("a"),
         F.slice("shingles", F.col("w.a") + 1, F.col("w.m")).alias("window"),
     )
     marked = found.select("*", _fingerprint(F.col("window")).alias("mark"))
     probed = marked.select("*", F.explode(_blocks(F.col("mark"), radius)).alias("b")).select(
-        "doc_id", "m", "a", "window", "mark", "b.block", "b.value"
+        "doc_id", "item_id", "m", "a", "window", "mark", "b.block", "b.value"
     )
     difference = F.col("mark").bitwiseXOR(F.col("item_mark"))
-    near = probed.join(index, ["m", "block", "value"]).where(
+    near = probed.join(index, ["item_id", "m", "block", "value"]).where(
         (F.bit_count(difference) <= radius)
         & (_block_of_agreement(difference, radius) == F.col("block"))
     )

@@ -18,7 +18,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillroll.llm.common import bound_to, id_and_text, spans_of
+from tillroll.llm.common import id_and_text, scanned, spans_of
 
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -169,8 +169,11 @@ def _phrase(words: tuple[str, ...]) -> str:
     return rf"(?i)(?<!{WORD})" + rf"{BETWEEN}++".join(words) + rf"(?!{WORD})"
 
 
+HIT = "struct<start:int,end:int,label:string,priority:int,confidence:double,rank:int>"
+
+
 def _detections(low: Column) -> Column:
-    """Matches of every rule whose literals occur, contained ones suppressed."""
+    """Matches of every rule whose literals occur, in the order that ``_settled`` takes them."""
     live = F.filter(_rule_column(), lambda r: F.contains(low, r["form"]) & F.exists(
         r["family"], lambda x: F.contains(low, x)
     ))
@@ -182,20 +185,35 @@ def _detections(low: Column) -> Column:
             r["rank"].alias("rank"),
         ))
 
-    def settle(every: Column) -> Column:
-        def beaten(x: Column) -> Column:
-            return F.exists(every, lambda y: (
-                (y["start"] <= x["start"]) & (y["end"] >= x["end"])
-                & ((y["start"] < x["start"]) | (y["end"] > x["end"]) | (y["rank"] != x["rank"]))
-                & ((y["priority"] > x["priority"]) | (
-                    (y["priority"] == x["priority"])
-                    & ((y["end"] - y["start"] > x["end"] - x["start"]) | (y["rank"] < x["rank"]))
-                ))
-            ))
+    hits = F.flatten(F.transform(live, found))
+    # In order of start; of one start the longest first, then the highest.
+    return F.array_sort(F.transform(hits, lambda x: F.struct(
+        x["start"].alias("start"), (-x["end"]).alias("back"), (-x["priority"]).alias("below"),
+        x["rank"].alias("rank"), x.alias("hit"),
+    )))
 
-        return F.array_sort(F.filter(every, lambda x: ~beaten(x)))
 
-    return bound_to(F.flatten(F.transform(live, found)), settle)
+def _settled(ordered: Column) -> Column:
+    """Detections that lie inside no other of the same or higher priority.
+
+    In this order an interval is inside another one if some end so far reaches its own, so one running
+    end per priority settles all of them in one sweep.
+    """
+    levels = sorted({priority for _, _, _, priority, _ in rules()}, reverse=True)
+
+    def step(ends: Column, x: Column):
+        end, priority = x["hit"]["end"], x["hit"]["priority"]
+        inside = F.lit(False)
+        for p in levels:
+            inside = inside | ((priority <= p) & (ends[f"p{p}"] >= end))
+        further = F.struct(*(
+            F.when(priority == p, F.greatest(ends[f"p{p}"], end)).otherwise(ends[f"p{p}"]).alias(f"p{p}")
+            for p in levels
+        ))
+        return further, F.struct(inside.alias("inside"), x["hit"].alias("hit"))
+
+    zero = F.struct(*(F.lit(-1).alias(f"p{p}") for p in levels))
+    return scanned(ordered, zero, step, f"struct<inside:boolean,hit:{HIT}>")
 
 
 def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -227,10 +245,12 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
         )
         for k, (words, label, confidence) in enumerate(PHRASES)
     ))
-    return counted.select(
+    found = counted.select(
         "doc_id", "n_words", phrases.alias("phrases"),
-        F.when(F.col("low").isNotNull(), _detections(F.col("low"))).alias("detections"),
-    )
+        F.when(F.col("low").isNotNull(), _detections(F.col("low"))).alias("ordered"),
+    ).withColumn("ordered", F.when(F.size("ordered") > 0, _settled(F.col("ordered"))))
+    kept = F.array_sort(F.transform(F.filter("ordered", lambda k: ~k["inside"]), lambda k: k["hit"]))
+    return found.select("doc_id", "n_words", "phrases", kept.alias("detections"))
 
 
 def op4_license_rules(spark, sf_dir):
