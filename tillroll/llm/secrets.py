@@ -30,10 +30,50 @@ RULES = (
     ("assign", f"(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?{VALUE}+", 0),
     ("access", "AKIA[A-Z0-9]+", 20),
     ("hex", "[0-9a-f]+", 24),
+    # code hosts and package registries
     ("github", "gh[oprsu]_[A-Za-z0-9]+", 40),
-    ("slack", "xox[abprs]-[A-Za-z0-9-]+", 20),
+    ("github_pat", "github_pat_[A-Za-z0-9_]+", 60),
+    ("gitlab", "glpat-[A-Za-z0-9_-]+", 26),
+    ("npm", "npm_[A-Za-z0-9]+", 40),
+    ("pypi", "pypi-[A-Za-z0-9_-]+", 60),
+    ("docker", "dckr_pat_[A-Za-z0-9_-]+", 32),
+    ("atlassian", "ATATT3[A-Za-z0-9_=-]+", 60),
+    ("linear", "lin_api_[A-Za-z0-9]+", 40),
+    # cloud services
+    ("access_temporary", "ASIA[A-Z0-9]+", 20),
     ("google", "AIza[A-Za-z0-9_-]+", 39),
+    ("google_client", "GOCSPX-[A-Za-z0-9_-]+", 35),
+    ("google_token", r"ya29\.[A-Za-z0-9_-]+", 40),
+    ("storage_account", "AccountKey=[A-Za-z0-9+/]+==", 60),
+    ("digitalocean", "do[opr]_v1_[a-f0-9]+", 60),
+    ("vault", r"hvs\.[A-Za-z0-9_-]+", 30),
+    ("doppler", r"dp\.pt\.[A-Za-z0-9]+", 40),
+    ("grafana", "glsa_[A-Za-z0-9]+_[a-f0-9]+", 40),
+    ("newrelic", "NRAK-[A-Z0-9]+", 32),
+    ("huggingface", "hf_[A-Za-z0-9]+", 37),
+    # payment and shops
+    ("stripe", "[sr]k_(live|test)_[A-Za-z0-9]+", 32),
+    ("square", "sq0(atp|csp)-[A-Za-z0-9_-]+", 29),
+    ("braintree", r"access_token\$(production|sandbox)\$[a-z0-9]+\$[a-f0-9]+", 40),
+    ("shopify", "shp(at|ca|pa|ss)_[a-fA-F0-9]+", 38),
+    # mail and chat
+    ("slack", "xox[abprs]-[A-Za-z0-9-]+", 20),
+    ("slack_app", "xapp-[0-9]-[A-Za-z0-9-]+", 30),
+    ("slack_hook", r"hooks\.slack\.com/services/[A-Za-z0-9]+/[A-Za-z0-9]+/[A-Za-z0-9]+", 50),
+    ("discord_hook", r"discord(app)?\.com/api/webhooks/[0-9]+/[A-Za-z0-9_-]+", 60),
+    ("telegram", "[0-9]+:AA[A-Za-z0-9_-]+", 43),
+    ("twilio", "(AC|SK)[0-9a-f]+", 34),
+    ("sendgrid", r"SG\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 50),
+    ("mailgun", "key-[0-9a-z]+", 36),
+    ("mailchimp", "[0-9a-f]+-us[0-9]+", 36),
+    # keys, signed tokens, addresses with a password
     ("pem", "-----BEGIN [A-Z ]+-----", 20),
+    ("putty", "PuTTY-User-Key-File-[0-9]", 20),
+    ("age", "AGE-SECRET-KEY-1[A-Z0-9]+", 60),
+    ("signed_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 40),
+    ("bearer", r"(?i)authorization: ?bearer [A-Za-z0-9._~+/-]+", 40),
+    ("database", r"(postgres(ql)?|mysql|mongodb(\+srv)?|redis|amqps?)://[A-Za-z0-9._%-]*:[A-Za-z0-9._%!*-]+@[A-Za-z0-9.-]+", 20),
+    ("url_password", r"https?://[A-Za-z0-9._%-]+:[A-Za-z0-9._%!*-]+@[A-Za-z0-9.-]+", 20),
 )
 BASE = ("assign", "access", "hex")
 VALUE_LENGTH = 6
