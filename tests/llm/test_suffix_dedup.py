@@ -49,6 +49,23 @@ def test_passages_copies_and_overlaps(spark, block_bytes):
     assert all(bytes(found[i]["kept"]) == kept for i, (_, _, _, kept) in brute(encoded).items())
 
 
+def test_hot_passage_in_distinct_surroundings_over_many_parts(spark, monkeypatch):
+    """One passage in every document, never with the same neighbours, and copies; parts of a few bytes."""
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 500)
+    passage = "".join(chr(97 + (k * k * 11 + k // 5) % 26) for k in range(90))
+
+    def filler(seed, n):
+        return "".join(chr(65 + (seed * 7919 + k * k * (seed + 3) + k // 3) % 57) for k in range(n))
+
+    texts = {i: filler(i, 30 + i % 17) + passage + filler(i + 500, 20 + i % 11) for i in range(1, 120)}
+    texts |= {200 + i: texts[i] for i in range(1, 40)}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    found = by_id(suffix_dedup.deduplicate(frame, block_bytes=3000))
+    encoded = {i: t.encode() for i, t in texts.items()}
+    same(found, encoded)
+    assert all(bytes(found[i]["kept"]) == kept for i, (_, _, _, kept) in brute(encoded).items())
+
+
 def test_edges(edge_docs, edge_texts):
     rows = suffix_dedup.deduplicate(edge_docs, with_text=False).collect()
     assert len(rows) == len(edge_texts)

@@ -8,8 +8,9 @@ are alone in their bucket are left out of later rounds.
 Not every suffix of the corpus can be moved to be ordered. A window is named by its anchor, the least
 hash of the q-grams inside it; equal windows have equal anchors at the same place in them. So:
 
-1. Documents that are exact copies are settled by digest. The others are laid end to end in blocks,
-   one row per block, in a table bucketed by block, which later steps read without a shuffle.
+1. Documents are laid end to end in blocks, one row per block, in a table bucketed by block, which
+   later steps read without a shuffle: a text is never moved. Exact copies are found by the digests in
+   the blocks; a block leaves them out of what follows and gives them back as wholly removed.
 2. Every block tells, per part of the hash range, its distinct anchors with their smallest document;
    a part answers with one bit each: does the anchor occur in another document?
 3. Of anchors that do, every block sends the bytes around them, equal ones once with their smallest
@@ -18,8 +19,9 @@ hash of the q-grams inside it; equal windows have equal anchors at the same plac
 4. Every block marks the bytes covered by such windows.
 
 A hot anchor or passage sends at most one entry per block and distinct context, however many
-documents hold it. Parts are sized by the bytes of the table. Anchors only choose what is compared;
-the decision rests on the bytes.
+documents hold it. Parts are sized by the bytes of the table and are worked through in slices of the
+hash range, so that messages, one per block and part, stay few beside their content while a task sorts
+little at once. Anchors only choose what is compared; the decision rests on the bytes.
 
 Defined results: a null text counts as empty. Nothing is removed from documents shorter than a
 window. Rows with a null id keep everything and take nothing from others. Rows that share an id do
@@ -43,10 +45,12 @@ GRAM = 20  # bytes of an anchor
 FIRST = 8  # bytes that the first buckets are made of
 BLOCK_BYTES = 4 << 20
 SEGMENT = 4 << 20  # a longer block is searched for anchors by segments
-PART_BYTES = 4 << 20
+PART_BYTES = 16 << 20
+SLICES = 4  # of a part's hash range, each ordered by itself
 PLACE_BITS = 24
 PAIRED = np.uint64(0xBF58476D1CE4E5B9)
 MIXED = np.uint64(0x9E3779B97F4A7C15)
+NOTHING = hashlib.sha256(b"").hexdigest()
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -129,9 +133,15 @@ def _distinct(anchors: Anchors, ids: np.ndarray):
 
 
 def _block(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
-    data = row["data"]
-    return (np.frombuffer(data, np.uint8), np.array(row["lengths"], dtype=np.int64),
-            np.array(row["ids"], dtype=np.int64), data)
+    """(bytes, lengths, ids, bytes as such) of a block's documents that are no copies."""
+    data, lengths, ids = row["data"], np.array(row["lengths"], dtype=np.int64), np.array(row["ids"], dtype=np.int64)
+    if row["copies"]:
+        stays = np.ones(len(ids), dtype=bool)
+        stays[row["copies"]] = False
+        ends = np.cumsum(lengths)[stays].tolist()
+        lengths, ids = lengths[stays], ids[stays]
+        data = b"".join(data[end - n:end] for end, n in zip(ends, lengths.tolist()))
+    return np.frombuffer(data, np.uint8), lengths, ids, data
 
 
 def _rows(batches):
@@ -147,8 +157,9 @@ def _lay_out(batches, block_bytes: int):
         return pa.RecordBatch.from_arrays([
             pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
             pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
+            pa.array([[hashlib.sha256(t).digest() for t in texts]], pa.list_(pa.binary())),
             pa.array([b"".join(texts)], pa.binary()),
-        ], ["block", "ids", "lengths", "data"])
+        ], ["block", "ids", "lengths", "digests", "data"])
 
     ids, texts, held = [], [], 0
     for batch in batches:
@@ -163,27 +174,40 @@ def _lay_out(batches, block_bytes: int):
         yield block(ids, texts)
 
 
+def _messages(fine: np.ndarray):
+    """(part, first, end, entries per slice as bytes) of every part in ``fine``, the entries' slices in order."""
+    part = fine // SLICES
+    cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else np.zeros(1, dtype=np.int64)
+    for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+        p = int(part[a])
+        yield p, a, b, np.bincount(fine[a:b] - p * SLICES, minlength=SLICES).astype("<u4").tobytes()
+
+
 def _tell_anchors(batches, parts: int):
     """Per block and part: the low six bytes of its anchors' hashes, smallest ids, and several-bits."""
     for row in _rows(batches):
         data, lengths, ids, _ = _block(row)
         hashes, smallest, several, _, _ = _distinct(Anchors(data, lengths), ids)
-        cuts = np.searchsorted(_part_of(hashes, parts), np.arange(parts + 1))
         out = []
-        for p in np.flatnonzero(np.diff(cuts)):
-            a, b = cuts[p], cuts[p + 1]
+        for p, a, b, slices in _messages(_part_of(hashes, parts * SLICES)):
             low = smallest[a:b].min()
             short = np.ascontiguousarray(hashes[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
             offset = smallest[a:b] - low
             kind = "<u4" if offset.max() < 1 << 32 else "<u8"
-            out.append((row["block"], int(p), int(b - a), short.tobytes(), int(low),
+            out.append((row["block"], p, b - a, slices, short.tobytes(), int(low),
                         offset.astype(kind).tobytes(), np.packbits(several[a:b]).tobytes()))
-        columns = list(zip(*out)) if out else [[]] * 7
+        columns = list(zip(*out)) if out else [[]] * 8
         yield pa.RecordBatch.from_arrays([
             pa.array(list(c), t) for c, t in zip(columns, (
-                pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()
+                pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary()
             ))
-        ], ["block", "part", "n", "hashes", "low", "ids", "several"])
+        ], ["block", "part", "n", "slices", "hashes", "low", "ids", "several"])
+
+
+def _slice_ends(table: pa.Table) -> np.ndarray:
+    """Per message the first entry of each slice, and the end of the last."""
+    sizes = np.array([np.frombuffer(x, "<u4") for x in table.column("slices").to_pylist()], dtype=np.int64)
+    return np.hstack([np.zeros((len(sizes), 1), dtype=np.int64), np.cumsum(sizes, axis=1)])
 
 
 def _answers(table: pa.Table, counts: np.ndarray, bits: np.ndarray) -> pa.Table:
@@ -197,26 +221,34 @@ def _answers(table: pa.Table, counts: np.ndarray, bits: np.ndarray) -> pa.Table:
 
 def _find_shared(table: pa.Table) -> pa.Table:
     """One bit per anchor of each block: it occurs in more than one document of the corpus."""
-    counts = table.column("n").to_numpy()
-    hashes, ids, several = [], [], []
-    for n, h, low, own, many in zip(
-        counts.tolist(), *(table.column(c).to_pylist() for c in ("hashes", "low", "ids", "several"))
-    ):
-        wide = np.zeros((n, 8), dtype=np.uint8)
-        wide[:, :6] = np.frombuffer(h, np.uint8).reshape(-1, 6)
-        hashes.append(wide.view("<u8").ravel())
-        ids.append(np.frombuffer(own, "<u4" if len(own) == 4 * n else "<u8").astype(np.int64) + low)
-        several.append(np.unpackbits(np.frombuffer(many, np.uint8), count=n).astype(bool))
-    hashes, ids, several = map(np.concatenate, (hashes, ids, several))
-    order = np.argsort(hashes, kind="stable")
-    new = np.r_[True, hashes[order][1:] != hashes[order][:-1]]
-    cut = np.flatnonzero(new)
-    own = ids[order]
-    shared = (np.minimum.reduceat(own, cut) != np.maximum.reduceat(own, cut)) | (
-        np.maximum.reduceat(several[order], cut)
-    )
-    bits = np.empty(len(hashes), dtype=bool)
-    bits[order] = shared[np.cumsum(new) - 1]
+    counts, ends = table.column("n").to_numpy(), _slice_ends(table)
+    messages = list(zip(counts.tolist(), *(
+        table.column(c).to_pylist() for c in ("hashes", "low", "ids", "several")
+    )))
+    begin = np.r_[0, np.cumsum(counts)[:-1]]
+    bits = np.empty(int(counts.sum()), dtype=bool)
+    for s in range(SLICES):
+        hashes, ids, several, places = [], [], [], []
+        for (n, h, low, own, many), at, a, b in zip(
+            messages, begin.tolist(), ends[:, s].tolist(), ends[:, s + 1].tolist()
+        ):
+            wide = np.zeros((b - a, 8), dtype=np.uint8)
+            wide[:, :6] = np.frombuffer(h, np.uint8).reshape(-1, 6)[a:b]
+            hashes.append(wide.view("<u8").ravel())
+            ids.append(np.frombuffer(own, "<u4" if len(own) == 4 * n else "<u8")[a:b].astype(np.int64) + low)
+            several.append(np.unpackbits(np.frombuffer(many, np.uint8), count=n)[a:b].astype(bool))
+            places.append(np.arange(at + a, at + b))
+        hashes, ids, several, places = map(np.concatenate, (hashes, ids, several, places))
+        if not len(hashes):
+            continue
+        order = np.argsort(hashes, kind="stable")
+        new = np.r_[True, hashes[order][1:] != hashes[order][:-1]]
+        cut = np.flatnonzero(new)
+        own = ids[order]
+        shared = (np.minimum.reduceat(own, cut) != np.maximum.reduceat(own, cut)) | (
+            np.maximum.reduceat(several[order], cut)
+        )
+        bits[places[order]] = shared[np.cumsum(new) - 1]
     return _answers(table, counts, bits)
 
 
@@ -232,15 +264,15 @@ def _contexts(row: dict, parts: int):
     """A block's anchors that are shared, and the distinct bytes around them.
 
     Returns (anchors, chosen, context, texts, smallest, part): ``context`` numbers each chosen
-    anchor's context; contexts are ordered by part.
+    anchor's context; contexts are ordered by the slice of their part.
     """
     data, lengths, ids, raw = _block(row)
     anchors = Anchors(data, lengths)
     hashes, _, _, order, which = _distinct(anchors, ids)
     shared = _bits(row["answers"] or [], parts)
     chosen = np.sort(order[shared[which]]) if len(shared) else order[:0]
-    # By part, and inside a part in the order of the text.
-    part = _part_of(anchors.hash[chosen], parts)
+    # By slice, and inside a slice in the order of the text.
+    part = _part_of(anchors.hash[chosen], parts * SLICES)
     by_part = np.argsort(part, kind="stable")
     chosen, part = chosen[by_part], part[by_part]
     numbers: dict[bytes, int] = {}
@@ -265,19 +297,17 @@ def _contexts(row: dict, parts: int):
 def _tell_contexts(batches, parts: int):
     for row in _rows(batches):
         _, _, _, texts, owners, homes = _contexts(row, parts)
-        cuts = np.searchsorted(homes, np.arange(parts + 1))
         out = []
-        for p in np.flatnonzero(np.diff(cuts)):
-            a, b = cuts[p], cuts[p + 1]
+        for p, a, b, slices in _messages(homes):
             lengths = np.array([len(t) for t in texts[a:b]], dtype="<u2")
-            out.append((row["block"], int(p), lengths.tobytes(), owners[a:b].astype("<i8").tobytes(),
+            out.append((row["block"], p, slices, lengths.tobytes(), owners[a:b].astype("<i8").tobytes(),
                         b"".join(texts[a:b])))
-        columns = list(zip(*out)) if out else [[]] * 5
+        columns = list(zip(*out)) if out else [[]] * 6
         yield pa.RecordBatch.from_arrays([
             pa.array(list(c), t) for c, t in zip(columns, (
-                pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()
+                pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()
             ))
-        ], ["block", "part", "lengths", "ids", "data"])
+        ], ["block", "part", "slices", "lengths", "ids", "data"])
 
 
 def bucket_windows(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -311,11 +341,34 @@ def bucket_windows(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.n
 def _order_contexts(table: pa.Table) -> pa.Table:
     """One bit per window of each block's contexts: it starts in a document with a smaller id."""
     lengths = [np.frombuffer(x, "<u2").astype(np.int64) for x in table.column("lengths").to_pylist()]
-    ids = np.concatenate([np.frombuffer(x, "<i8") for x in table.column("ids").to_pylist()])
+    ids = [np.frombuffer(x, "<i8") for x in table.column("ids").to_pylist()]
+    texts, ends = table.column("data").to_pylist(), _slice_ends(table)
     counts = np.array([int((x - WINDOW + 1).sum()) for x in lengths])
-    every = np.concatenate(lengths)
+    bits, at = np.empty(int(counts.sum()), dtype=bool), np.r_[0, np.cumsum(counts)[:-1]]
+    read = np.zeros(len(texts), dtype=np.int64)  # bytes of each message that earlier slices took
+    for s in range(SLICES):
+        spans = list(zip(range(len(texts)), ends[:, s].tolist(), ends[:, s + 1].tolist()))
+        sizes = [lengths[m][a:b] for m, a, b in spans]
+        taken = [int(x.sum()) for x in sizes]
+        raw = b"".join(texts[m][r:r + n] for m, (r, n) in enumerate(zip(read.tolist(), taken)))
+        read += taken
+        every = np.concatenate(sizes)
+        if not len(every):
+            continue
+        verdict = _order_slice(raw, every, np.concatenate([ids[m][a:b] for m, a, b in spans]))
+        done = 0
+        for m, x in enumerate(sizes):
+            n = int((x - WINDOW + 1).sum())
+            bits[at[m]:at[m] + n] = verdict[done:done + n]
+            at[m] += n
+            done += n
+    return _answers(table, counts, bits)
+
+
+def _order_slice(raw: bytes, every: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """One bit per window of contexts with ``every`` bytes: it starts in a document with a smaller id."""
     # Equal contexts of several blocks are ordered once, for the smallest of their documents.
-    raw, at, numbers = b"".join(table.column("data").to_pylist()), 0, {}
+    at, numbers = 0, {}
     which = np.empty(len(every), dtype=np.int64)
     for k, n in enumerate(every.tolist()):
         which[k] = numbers.setdefault(raw[at:at + n], len(numbers))
@@ -335,8 +388,7 @@ def _order_contexts(table: pa.Table) -> pa.Table:
     window = np.repeat(begin[which], times) + (
         np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
     )
-    bits = smallest[window] < np.repeat(ids, times)
-    return _answers(table, counts, bits)
+    return smallest[window] < np.repeat(ids, times)
 
 
 def _remove(batches, parts: int, with_text: bool):
@@ -359,7 +411,11 @@ def _remove(batches, parts: int, with_text: bool):
             marks += np.bincount(start, minlength=len(marks))[:len(marks)]
             marks -= np.bincount(start + WINDOW, minlength=len(marks))[:len(marks)]
         gone = np.cumsum(marks[:-1]) > 0
-        out, at = [], 0
+        out = [
+            (row["ids"][k], row["lengths"][k], row["lengths"][k], 1, NOTHING, b"" if with_text else None)
+            for k in row["copies"] or []
+        ]
+        at = 0
         for doc_id, n in zip(ids.tolist(), lengths.tolist()):
             mask = gone[at:at + n]
             kept = data[at:at + n][~mask].tobytes() if mask.any() else raw[at:at + n]
@@ -380,20 +436,25 @@ def deduplicate(docs: DataFrame, with_text: bool = True, block_bytes: int = BLOC
     spark = docs.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    marked = rows.select("*", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("digest"))
-    long = marked.where((F.col("n_bytes") >= WINDOW) & F.col("doc_id").isNotNull())
-    seen = written(long.select("doc_id", "n_bytes", "digest"), "digests")
-    first = seen.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    copies = written(seen.join(first, "digest").where("doc_id > first").select("doc_id", "digest").distinct(), "copies")
-    total = seen.agg(F.sum("n_bytes")).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
+    long = (F.octet_length("text") >= WINDOW) & F.col("doc_id").isNotNull()
 
     name, buckets = f"llm_blocks_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sources = long.join(copies, ["doc_id", "digest"], "left_anti").select("doc_id", "text")
-    sources.mapInArrow(
-        partial(_lay_out, block_bytes=block_bytes), "block long, ids array<long>, lengths array<long>, data binary"
+    rows.where(long).mapInArrow(
+        partial(_lay_out, block_bytes=block_bytes),
+        "block long, ids array<long>, lengths array<long>, digests array<binary>, data binary",
     ).write.bucketBy(buckets, "block").option("path", scratch_path(spark, name)).saveAsTable(name)
-    blocks = spark.table(name)
+    laid = spark.table(name)
+    seen = laid.select("block", F.posexplode(F.arrays_zip("ids", "lengths", "digests")).alias("place", "doc")).select(
+        "block", "place", F.col("doc.ids").alias("doc_id"), F.col("doc.lengths").alias("n"),
+        F.col("doc.digests").alias("digest"),
+    )
+    total = seen.agg(F.sum("n")).first()[0] or 0
+    parts = max(1, -(-total // PART_BYTES))
+    first = seen.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    copies = written(seen.join(first.where("first < last"), "digest").where("doc_id > first").groupBy("block").agg(
+        F.collect_list("place").alias("copies")
+    ), "copies")
+    blocks = laid.select("block", "ids", "lengths", "data").join(copies.hint("shuffle_hash"), "block", "left")
 
     def answered(told: DataFrame, by, column: str) -> DataFrame:
         replies = told.groupBy("part").applyInArrow(by, "block long, part long, n long, bits binary")
@@ -403,28 +464,24 @@ def deduplicate(docs: DataFrame, with_text: bool = True, block_bytes: int = BLOC
 
     shared = answered(blocks.mapInArrow(
         partial(_tell_anchors, parts=parts),
-        "block long, part long, n long, hashes binary, low long, ids binary, several binary",
+        "block long, part long, n long, slices binary, hashes binary, low long, ids binary, several binary",
     ), _find_shared, "shared")
     asked = blocks.join(shared.hint("shuffle_hash"), "block")
     covered = answered(asked.withColumnRenamed("shared", "answers").mapInArrow(
-        partial(_tell_contexts, parts=parts), "block long, part long, lengths binary, ids binary, data binary"
+        partial(_tell_contexts, parts=parts), "block long, part long, slices binary, lengths binary, ids binary, data binary"
     ), _order_contexts, "covered")
     result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     cleaned = blocks.join(shared.hint("shuffle_hash"), "block", "left").join(
         covered.hint("shuffle_hash"), "block", "left"
     ).mapInArrow(partial(_remove, parts=parts, with_text=with_text), result)
 
-    zero, nothing = F.lit(0).cast("long"), F.sha2(F.lit(""), 256)
-    kept = F.encode("text", "UTF-8") if with_text else F.lit(None).cast("binary")
-    untouched = marked.where((F.col("n_bytes") < WINDOW) | F.col("doc_id").isNull()).select(
-        "doc_id", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"),
-        F.col("digest").alias("kept_sha256"), kept.alias("kept"),
-    )
-    gone = seen.join(copies, ["doc_id", "digest"], "left_semi").select(
-        "doc_id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
-        nothing.alias("kept_sha256"), (F.lit(b"") if with_text else F.lit(None).cast("binary")).alias("kept"),
+    zero = F.lit(0).cast("long")
+    untouched = rows.where(~long).select(
+        "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), zero.alias("n_removed"),
+        zero.alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"),
+        (F.encode("text", "UTF-8") if with_text else F.lit(None).cast("binary")).alias("kept"),
     )
-    return cleaned.unionByName(untouched).unionByName(gone)
+    return cleaned.unionByName(untouched)
 
 
 def op2_suffix_dedup(spark, sf_dir):
