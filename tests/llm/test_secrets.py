@@ -14,7 +14,14 @@ BASE = {
     "hex": "[0-9a-f]+",
 }
 LEAST = {k: least for k, _, least in secrets.RULES}
-PATTERNS = {k: re.compile((BASE.get(k) or p).encode()) for k, p, _ in secrets.RULES}
+
+
+def expression(pattern):
+    fold = "(?i)" if pattern.startswith("(?i)") else ""
+    return f"{fold}(?<![A-Za-z0-9_.~+/%-])(?:{pattern[len(fold):]})"
+
+
+PATTERNS = {k: re.compile((BASE.get(k) or expression(p)).encode()) for k, p, _ in secrets.RULES}
 
 
 def brute(text, kinds=PATTERNS):

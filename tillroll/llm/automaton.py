@@ -90,7 +90,7 @@ class _Parser:
             return inner
         members = self.members() if c == "[" else {self.escaped() if c == "\\" else ord(c)}
         if self.fold:
-            members |= {ord(x) for m in members for x in (chr(m).lower() + chr(m).upper()) if ord(x) < 128}
+            members |= {ord(x) for m in members if m < 128 for x in (chr(m).lower() + chr(m).upper())}
         start, end = self.state(), self.state()
         self.moves[start].append((frozenset(members), end))
         return start, end
@@ -134,14 +134,15 @@ class Automaton:
             starts.append(a)
             ends[b] = 1 << k
 
-        def closed(states) -> frozenset:
-            todo, seen = list(states), set(states)
+        def closed(state: int) -> int:
+            """The states reached by empty moves that matter, as bits."""
+            todo, seen = [state], {state}
             while todo:
                 for members, to in moves[todo.pop()]:
                     if members is None and to not in seen:
                         seen.add(to)
                         todo.append(to)
-            return frozenset(s for s in seen if s in ends or any(m is not None for m, _ in moves[s]))
+            return sum(1 << s for s in seen if s in ends or any(m is not None for m, _ in moves[s]))
 
         sets = sorted({m for row in moves for m, _ in row if m is not None}, key=sorted)
         kinds: dict[tuple, int] = {}
@@ -150,25 +151,38 @@ class Automaton:
         ], dtype=np.uint8)
         width = len(kinds)
         sample = [int(np.flatnonzero(self.classes == k)[0]) for k in range(width)]
-        begin = closed(starts)
-        numbers = {frozenset(): 0, begin: 1} if not search else {begin: 0}
-        order, rows = list(numbers), []
+        # Per state the classes that lead on, each with the closed set it leads to.
+        steps = [
+            [(c, closed(to)) for m, to in row if m is not None for c in range(width) if sample[c] in m] for row in moves
+        ]
+        begin = 0
+        for state in starts:
+            begin |= closed(state)
+        always = begin if search else 0
+        numbers = {0: 0, begin: 1} if not search else {begin: 0}
+        order, rows, accepted = list(numbers), [], []
         for current in order:
-            row = []
-            for byte in sample:
-                reached = {to for s in current for m, to in moves[s] if m is not None and byte in m}
-                target = closed(reached) | (begin if search else frozenset())
+            reached, accept, rest = [always] * width, 0, current
+            while rest:
+                state = (rest & -rest).bit_length() - 1
+                rest &= rest - 1
+                accept |= ends.get(state, 0)
+                for c, to in steps[state]:
+                    reached[c] |= to
+            for target in reached:
                 if target not in numbers:
                     numbers[target] = len(order)
                     order.append(target)
-                row.append(numbers[target])
-            rows.append(row)
-        table = np.array(rows)
-        accepts = np.array([sum(ends.get(s, 0) for s in states) for states in order])
+            rows.append([numbers[target] for target in reached])
+            accepted.append(accept)
+        table, accepts = np.array(rows), np.array(accepted, dtype=np.int64)
         # Merge states that no continuation tells apart.
         part = np.unique(accepts, return_inverse=True)[1]
         while True:
-            finer = np.unique(np.column_stack([part, part[table]]), axis=0, return_inverse=True)[1].ravel()
+            seen: dict[bytes, int] = {}
+            finer = np.array([
+                seen.setdefault(row.tobytes(), len(seen)) for row in np.column_stack([part, part[table]])
+            ])
             if finer.max() == part.max():
                 break
             part = finer

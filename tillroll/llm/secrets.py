@@ -5,6 +5,10 @@ scanned once (``automaton.py``). Where a rule's accepting run stops, a match end
 automaton of that rule, run back from there as far as the last match of its kind, finds the leftmost
 start. Length checks then drop matches that are too short, without looking for others in their place.
 
+A rule beyond the base starts only at the beginning of a text or after a byte that is none of
+``A-Za-z0-9_.~+/%-``. Without that, every rule that runs on over such bytes may be under way beside
+any other, and the subsets of rules under way, thus the states, double with each rule.
+
 Defined results: a null text counts as empty; an empty text has no spans. Matches of one kind never
 overlap; those of different kinds may. Repeated rows give repeated results. Extra columns are left
 alone. Memory is bounded by ``STRETCH`` bytes of text or the longest single text.
@@ -13,6 +17,7 @@ alone. Memory is bounded by ``STRETCH`` bytes of text or the longest single text
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +29,7 @@ from tillroll.llm.common import id_and_text
 STRETCH = 8 << 20
 GAP = b"\xff"  # never part of UTF-8
 VALUE = "[A-Za-z0-9+/_.=-]"
+BEFORE = r"[\x00-\x24\x26-\x2A\x2C\x3A-\x40\x5B-\x5E\x60\x7B-\x7D\x7F-\xFF]"
 
 # kind, pattern, least length in bytes; the first three are the base, fixed by the contract.
 RULES = (
@@ -59,8 +65,8 @@ RULES = (
     # mail and chat
     ("slack", "xox[abprs]-[A-Za-z0-9-]+", 20),
     ("slack_app", "xapp-[0-9]-[A-Za-z0-9-]+", 30),
-    ("slack_hook", r"hooks\.slack\.com/services/[A-Za-z0-9]+/[A-Za-z0-9]+/[A-Za-z0-9]+", 50),
-    ("discord_hook", r"discord(app)?\.com/api/webhooks/[0-9]+/[A-Za-z0-9_-]+", 60),
+    ("slack_hook", r"(https://)?hooks\.slack\.com/services/[A-Za-z0-9]+/[A-Za-z0-9]+/[A-Za-z0-9]+", 50),
+    ("discord_hook", r"(https://)?discord(app)?\.com/api/webhooks/[0-9]+/[A-Za-z0-9_-]+", 60),
     ("telegram", "[0-9]+:AA[A-Za-z0-9_-]+", 43),
     ("twilio", "(AC|SK)[0-9a-f]+", 34),
     ("sendgrid", r"SG\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 50),
@@ -82,13 +88,18 @@ _VALUE_AT = re.compile(rb"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x2
 _ONE_CLASS = re.compile(r"\[[^\]]+\]\+")
 
 
+@lru_cache(maxsize=4)
 def compiled(rules: tuple = RULES) -> tuple:
     """The searching automaton of all rules and the reversed one of each; a job builds them once."""
-    backwards = []
-    for _, pattern, _ in rules:
+    backwards, patterns = [], []
+    for kind, pattern, _ in rules:
+        if kind not in BASE:
+            fold = pattern[:4] if pattern.startswith("(?i)") else ""
+            pattern = f"{fold}{BEFORE}({pattern[len(fold):]})"
+        patterns.append(pattern)
         a = Automaton([pattern], search=False, backwards=True)
         backwards.append((a.table.tolist(), a.classes.tolist(), a.start, a.accepts.tolist(), a.width))
-    return Automaton([p for _, p, _ in rules], search=True), backwards
+    return Automaton(patterns, search=True), backwards
 
 
 def spans(texts: list[bytes], automata: tuple, rules: tuple = RULES) -> list[list[tuple[int, int, int]]]:
@@ -109,12 +120,13 @@ def spans(texts: list[bytes], automata: tuple, rules: tuple = RULES) -> list[lis
             ends = ends[ends + 1 - first >= least]
         table, classes, start, final, width = back[k]
         owner = np.searchsorted(begins, ends, side="right") - 1
+        lead = int(kind not in BASE)  # the byte before the match is part of what the automaton sees
         before, last = -1, 0
         for end, doc in zip(ends.tolist(), owner.tolist()):
             if doc != before:
                 before, last = doc, int(begins[doc])
             state, at, begin = start, end, -1
-            while at >= last:
+            while at >= last - lead:
                 state = table[state + classes[buffer[at]]]
                 if not state:
                     break
@@ -123,6 +135,7 @@ def spans(texts: list[bytes], automata: tuple, rules: tuple = RULES) -> list[lis
                 at -= 1
             if begin < 0:
                 continue
+            begin += lead
             last = end + 1
             if end + 1 - begin < least:
                 continue
