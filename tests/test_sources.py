@@ -249,3 +249,27 @@ def test_stage_writes_once_under_the_shared_folder(spark):
     assert any(shared_folder(spark) in str(r) for r in where)
     stage.close()
     assert not spark.catalog.databaseExists(stage.database)
+
+
+def test_shuffles_of_star_queries_grow_with_the_stored_lines(spark, tmp_path):
+    from tillroll.session import MERGED_BYTES, MOST_SMALL_PARTITIONS, bound_tasks
+    from tillroll.sources.star import star_tables
+
+    partitions, merged = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = {key: spark.conf.get(key) for key in (partitions, merged)}
+    try:
+        spark.conf.set(partitions, "4")
+        for given, kept in (("64MB", MERGED_BYTES), ("1m", 1 << 20), ("67108864b", MERGED_BYTES)):
+            spark.conf.set(merged, given)
+            star_tables(spark, str(tmp_path))
+            assert (spark.conf.get(partitions), spark.conf.get(merged)) == ("4", str(kept))
+        for table in ("lineitem", "orders", "part"):
+            (tmp_path / f"{table}.parquet").write_bytes(bytes(10 << 20))
+        star_tables(spark, f"{tmp_path}/")
+        assert spark.conf.get(partitions) == "5"
+        assert bound_tasks(spark, 1 << 30) == 256 and bound_tasks(spark, 0) == 256
+        assert bound_tasks(spark, 10**12) == MOST_SMALL_PARTITIONS
+        assert bound_tasks(spark, 10**13) == 74_506
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
