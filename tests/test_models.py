@@ -340,3 +340,62 @@ def test_registered_holdout_ends_below_the_cap(spark):
     assert row["grown"] == len(row["roots"]) + 50 < 1000
     figures = entry.queries()["clv_holdout_metrics"](spark, SMALL).first()
     assert figures["n_train"] + figures["n_test"] == 150
+
+
+def test_fits_of_a_wave_run_in_tasks_of_their_own(spark, table, data, tmp_path):
+    fits = [replace(early_fit(), number=k, max_trees=2) for k in range(9)]
+    placed = boosting.run_fits(spark, data, fits, keep_trees=False).groupBy(F.spark_partition_id()).count()
+    assert [r["count"] for r in placed.collect()] == [1] * 9
+    trials = clv_ml.TrialTable(table, SMALL_SEARCH)
+    trials.path = str(tmp_path / "trials")
+
+    def where(frames):
+        from pyspark import TaskContext
+
+        for frame in frames:
+            yield frame.assign(mae=float(TaskContext.get().partitionId()))
+
+    results = spark.range(0, 6, 1, 6).selectExpr(
+        "int(id) AS number", "int(0) AS fold", "double(0) AS mae", "int(2) AS grown", "array(0) AS roots"
+    )
+    trials.add(results.mapInPandas(where, results.schema))
+    assert sorted(r["mae"] for r in trials.rows().values()) == [0, 1, 2, 3, 4, 5]
+
+
+def test_histograms_of_larger_children_are_what_their_rows_give():
+    """Trees against a plain search over every node, column and cut."""
+    draw = np.random.default_rng(5)
+    bins = draw.integers(0, 6, (400, 3)).astype(np.uint8)
+    residual = bins[:, 0] * 2.0 - bins[:, 1] + draw.normal(size=400)
+    s = boosting.Settings(max_depth=4, min_child=4, l1=0.5, l2=1.5, min_gain=0.1)
+    rows, columns = np.flatnonzero(draw.random(400) < 0.8), np.array([0, 1, 2])
+    feature, at, left, gain, place = boosting._grow(
+        bins, [bins[rows, c] for c in columns], np.sign(residual[rows]), rows, columns, s, 6
+    )
+    sign = np.sign(residual)
+
+    def worth(members):
+        return max(abs(sign[members].sum()) - s.l1, 0) ** 2 / (len(members) + s.l2)
+
+    expected, stack, leaf = {}, [(0, np.arange(400), 0)], np.zeros(400, dtype=int)
+    while stack:
+        node, members, depth = stack.pop()
+        leaf[members] = node
+        inside = np.intersect1d(members, rows)
+        best = (s.min_gain, None, None)
+        for c in range(3 if depth < s.max_depth else 0):
+            for cut in range(6):
+                low = inside[bins[inside, c] <= cut]
+                high = inside[bins[inside, c] > cut]
+                if min(len(low), len(high)) >= s.min_child:
+                    won = worth(low) + worth(high) - worth(inside)
+                    best = max(best, (won, c, cut), key=lambda b: b[0])
+        expected[node] = best
+        if best[1] is not None:
+            assert (feature[node], at[node]) == best[1:]
+            assert gain[node] == pytest.approx(best[0])
+            goes = bins[members, best[1]] <= best[2]
+            stack += [(left[node], members[goes], depth + 1), (left[node] + 1, members[~goes], depth + 1)]
+        else:
+            assert feature[node] == -1
+    assert len(expected) == len(feature) > 9 and (leaf == place).all()
