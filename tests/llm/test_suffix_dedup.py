@@ -1,5 +1,8 @@
 import hashlib
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_cases import *  # noqa: F403
@@ -76,3 +79,39 @@ def test_edges(edge_docs, edge_texts):
 
 def test_empty(empty_docs):
     assert suffix_dedup.deduplicate(empty_docs).collect() == []
+
+
+def test_anchors_do_not_depend_on_segments(monkeypatch):
+    draw = np.random.default_rng(3)
+    lengths = np.array([700, 49, 50, 3000, 0, 51, 1200])
+    data = draw.integers(97, 99, lengths.sum()).astype(np.uint8)
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", 1 << 20)
+    whole = suffix_dedup.Anchors(data, lengths)
+    assert len(whole.place) > 100
+    for segment in (1, 7, 64, 1000):
+        monkeypatch.setattr(suffix_dedup, "SEGMENT", segment)
+        cut = suffix_dedup.Anchors(data, lengths)
+        for name in ("place", "low", "high", "doc", "hash"):
+            assert (getattr(whole, name) == getattr(cut, name)).all(), (segment, name)
+
+
+def test_memory_of_a_block_that_is_repeated_whole():
+    """A step over a block takes some tens of bytes for each of its bytes."""
+    draw = np.random.default_rng(4)
+    text = bytes(draw.integers(97, 123, 2 << 20).astype(np.uint8)).decode()
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["x" + text, "y" + text])], ["doc_id", "text"])
+    block = next(suffix_dedup._lay_out([batch], 1 << 30)).to_pylist()[0] | {"copies": None}
+
+    def ask(step, by, **more):
+        rows = pa.RecordBatch.from_pylist([block | more])
+        return by(pa.Table.from_batches(step([rows], parts=1))).to_pylist()
+
+    shared = ask(suffix_dedup._tell_anchors, suffix_dedup._find_shared)
+    covered = ask(suffix_dedup._tell_contexts, suffix_dedup._order_contexts, answers=shared)
+    rows = pa.RecordBatch.from_pylist([block | {"shared": shared, "covered": covered}])
+    tracemalloc.start()
+    found = next(suffix_dedup._remove([rows], parts=1, with_text=False)).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(r["n_removed"], r["n_spans"]) for r in found] == [(0, 0), (len(text), 1)]
+    assert peak < 40 * 2 * len(text)

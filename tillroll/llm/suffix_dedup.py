@@ -44,7 +44,8 @@ WINDOW = 50
 GRAM = 20  # bytes of an anchor
 FIRST = 8  # bytes that the first buckets are made of
 BLOCK_BYTES = 4 << 20
-SEGMENT = 4 << 20  # a longer block is searched for anchors by segments
+SEGMENT = 1 << 20  # a longer block is searched for anchors by segments
+RUNS = 1 << 14  # anchors whose windows are marked at once
 PART_BYTES = 16 << 20
 SLICES = 4  # of a part's hash range, each ordered by itself
 PLACE_BITS = 24
@@ -100,20 +101,26 @@ class Anchors:
         self.hash = np.zeros(0, dtype=np.uint64)
         if len(data) < WINDOW:
             return
-        cut = range(0, len(data) - WINDOW + 1, SEGMENT)
-        found = [_least_grams(data[a:a + SEGMENT + WINDOW - 1]) for a in cut]
-        at = np.concatenate([x + a for (x, _), a in zip(found, cut)])  # of the window that starts here
-        grams = np.concatenate([g for _, g in found])
-        start = np.arange(len(at))
-        doc = np.searchsorted(ends, start, side="right")
-        inside = start + WINDOW <= ends[doc]
-        at, start, doc, grams = at[inside], start[inside], doc[inside], grams[inside]
-        if not len(at):
-            return
-        cut = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1)])
-        self.place, self.low, self.doc = at[cut], start[cut], doc[cut]
-        self.high = start[np.r_[cut[1:] - 1, len(start) - 1]]
-        self.hash = _mix(grams[cut])
+        found = []
+        for a in range(0, len(data) - WINDOW + 1, SEGMENT):
+            at, grams = _least_grams(data[a:a + SEGMENT + WINDOW - 1])  # of the window that starts here
+            start = np.arange(a, a + len(at))
+            doc = np.searchsorted(ends, start, side="right")
+            inside = start + WINDOW <= ends[doc]
+            at, start, doc, grams = at[inside] + a, start[inside], doc[inside], grams[inside]
+            if not len(at):
+                continue
+            cut = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1)])
+            run = [at[cut], start[cut], start[np.r_[cut[1:] - 1, len(start) - 1]], doc[cut], _mix(grams[cut])]
+            if found and found[-1][0][-1] == run[0][0] and found[-1][2][-1] + 1 == run[1][0]:
+                # The windows of one anchor on both sides of the segment's end.
+                found[-1][2][-1] = run[2][0]
+                run = [x[1:] for x in run]
+                if not len(run[0]):
+                    continue
+            found.append(run)
+        if found:
+            self.place, self.low, self.high, self.doc, self.hash = map(np.concatenate, zip(*found))
 
 
 def _part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -395,22 +402,25 @@ def _remove(batches, parts: int, with_text: bool):
     """Per document of each block: the bytes to remove, as runs, and what is kept."""
     for row in _rows(batches):
         data, lengths, ids, raw = _block(row)
-        marks = np.zeros(len(data) + 1, dtype=np.int64)
+        gone = np.zeros(len(data), dtype=bool)
         anchors, chosen, context, texts, owners, _ = _contexts(row | {"answers": row["shared"]}, parts)
+        windows = np.array([len(t) - WINDOW + 1 for t in texts], dtype=np.int64)
+        del texts
         if len(chosen):
             verdict = _bits(row["covered"] or [], parts)
-            windows = np.array([len(t) - WINDOW + 1 for t in texts])
             begin = np.r_[0, np.cumsum(windows)[:-1]]
-            times = windows[context]
-            start = np.repeat(anchors.low[chosen], times) + (
-                np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            )
-            bit = np.repeat(begin[context], times) + start - np.repeat(anchors.low[chosen], times)
-            later = np.repeat(ids[anchors.doc[chosen]] > owners[context], times)
-            start = start[verdict[bit] | later]
-            marks += np.bincount(start, minlength=len(marks))[:len(marks)]
-            marks -= np.bincount(start + WINDOW, minlength=len(marks))[:len(marks)]
-        gone = np.cumsum(marks[:-1]) > 0
+            for k in range(0, len(chosen), RUNS):
+                some, its = chosen[k:k + RUNS], context[k:k + RUNS]
+                times = windows[its]
+                step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                start = np.repeat(anchors.low[some], times) + step
+                later = np.repeat(ids[anchors.doc[some]] > owners[its], times)
+                gone[start[verdict[np.repeat(begin[its], times) + step] | later]] = True
+        width = 1  # a covered window marks its first byte, then all of its bytes
+        while width < WINDOW:
+            step = min(width, WINDOW - width)
+            gone[step:] |= gone[:-step].copy()
+            width += step
         out = [
             (row["ids"][k], row["lengths"][k], row["lengths"][k], 1, NOTHING, b"" if with_text else None)
             for k in row["copies"] or []
