@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+from pyspark.sql import Window, functions as F
+
 from llm_cases import *  # noqa: F403
 from tillroll.llm import pii
 
@@ -149,3 +151,17 @@ def test_thresholds_per_kind():
     assert (found["email"], found["phone"]) == (1.0, 2.5)
     assert found["ip"] == found["card"]  # too few of their own: that of all kinds together
     assert pii.thresholds([("phone", 1.0, 50, 0.0, 50, 0.0)], params) == {}
+
+
+def test_all_documents_teach_the_model(spark):
+    """Wrong candidates are found only beyond the 2,000 smallest hashed ids, and in rows without an id."""
+    numbered = spark.range(2400).select(
+        F.col("id").alias("doc_id"), F.row_number().over(Window.orderBy(F.xxhash64("id"))).alias("n")
+    )
+    texts = F.when(F.col("n") <= 2000, "mail a@b.com now").otherwise("order 12 345 678 90 of it")
+    docs = numbered.select("doc_id", texts.alias("text"))
+    assert pii.fit(docs) is not None
+    nameless = F.when(F.col("n") <= 2000, F.col("doc_id"))
+    own = F.when(F.col("n") > 2000, F.concat("text", F.lit(" "), F.col("doc_id"))).otherwise(F.col("text"))
+    apart = docs.join(numbered, "doc_id").select(own.alias("text"), nameless.alias("doc_id"))
+    assert pii.fit(apart) is not None

@@ -5,7 +5,7 @@ may overlap; boosted trees score each from its format and its surroundings; scor
 rows that the trees did not see, and a candidate is taken where the calibrated chance of being
 personal data reaches the threshold. The trees become one conditional expression, so finding and
 redacting is one scan with Column expressions, without shuffle or Python. Fitting uses Spark ML on
-the candidates of at most ``sample`` documents.
+the candidates of all documents, equal ones counted once with their number as weight.
 
 The training label is weak and does not ask whether a base pattern matches: the last part of an address
 must be a known top-level domain once at and dot are undone, card digits must pass the Luhn check, a
@@ -16,7 +16,7 @@ held-out candidates and for those alone that may be added, as they overlap no ba
 its own threshold; one with fewer than ``enough`` held-out candidates takes that of all kinds together.
 
 Defined results: a null text counts as empty and holds nothing; without candidates of both labels in
-the sample only base spans are returned. Base spans of different kinds may overlap. Candidates that
+the corpus only base spans are returned. Base spans of different kinds may overlap. Candidates that
 overlap no base span are taken in order of start; of two that overlap, the better score stays, then the
 earlier start, then the longer one. Repeated rows give repeated results. Extra columns are left alone.
 """
@@ -78,9 +78,6 @@ PHONE_FORMS = r"^(\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|00[1-9][0-9]{0,2}([ ()./-]
 
 @dataclass(frozen=True)
 class PiiParams:
-    """``sample`` bounds the documents whose candidates teach the trees."""
-
-    sample: int = 2000
     trees: int = 8
     depth: int = 3
     min_precision: float = 0.97
@@ -232,27 +229,29 @@ def thresholds(held: list, params: PiiParams) -> dict[str, float]:
 def fit(docs: DataFrame, params: PiiParams = PiiParams()) -> tuple[str, dict[str, float]] | None:
     """(score expression over a candidate ``c``, threshold per kind), or None without anything to learn.
 
-    Takes the ``params.sample`` documents with candidates of the smallest hashed ids.
+    Learns from the candidates of all rows: two thirds grow the trees, one third sets the thresholds.
     """
-    texts = id_and_text(docs).where("doc_id IS NOT NULL")
-    chosen = texts.where(F.col("text").rlike(ANY_SIGN)).select("doc_id").distinct().orderBy(
-        F.xxhash64("doc_id"), "doc_id"
-    ).limit(params.sample)
-    signed = texts.join(chosen, "doc_id", "left_semi")
+    # Rows without an id are dealt to the folds by their text.
+    texts = id_and_text(docs).where(F.col("text").rlike(ANY_SIGN)).withColumn(
+        "fold", F.pmod(F.when(F.col("doc_id").isNull(), F.hash("text")).otherwise(F.hash("doc_id")), F.lit(3))
+    )
     base = F.concat(*(_none_if_null(k) for k in KINDS))
     confirmed = F.col("c.told") | F.exists(
         base, lambda b: (b["start"] == F.col("c.start")) & (b["end"] == F.col("c.end"))
     )
     free = ~F.exists(base, lambda b: _overlaps(b, F.col("c")))
-    rows = _located(signed, evidence=True).select("doc_id", *KINDS, F.explode_outer("candidates").alias("c")).where(
+    rows = _located(texts, evidence=True).select("fold", *KINDS, F.explode_outer("candidates").alias("c")).where(
         "c IS NOT NULL"
     ).select(
-        F.pmod(F.hash("doc_id"), F.lit(3)).alias("fold"), confirmed.cast("double").alias("label"),
-        free.cast("int").alias("free"), "c",
+        "fold", confirmed.cast("double").alias("label"), free.cast("int").alias("free"), "c.kind", "c.features.*",
+    )
+    # Equal candidates become one row with their number as weight.
+    counted = rows.groupBy("fold", "label", "free", "kind", *FEATURES).agg(
+        F.count(F.lit(1)).cast("double").alias("n")
     )
-    flat = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(
-        rows.select("fold", "label", "free", "c.features.*", "c")
-    ).select("fold", "label", "free", "x", "c").persist()
+    flat = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(counted).select(
+        "fold", "label", "free", "n", "x", F.struct("kind", F.struct(*FEATURES).alias("features")).alias("c")
+    ).persist()
     try:
         kinds = {(r["held"], r["label"]) for r in flat.groupBy(
             (F.col("fold") == 0).alias("held"), "label"
@@ -260,17 +259,18 @@ def fit(docs: DataFrame, params: PiiParams = PiiParams()) -> tuple[str, dict[str
         if len(kinds) < 4:
             return None
         model = GBTClassifier(
-            featuresCol="x", labelCol="label", maxIter=params.trees, maxDepth=params.depth, seed=7
-        ).fit(flat.where("fold > 0").select("x", "label"))
+            featuresCol="x", labelCol="label", weightCol="n", maxIter=params.trees, maxDepth=params.depth, seed=7
+        ).fit(flat.where("fold > 0").select("x", "label", "n"))
         margin = " + ".join(
             f"{w!r}D * ({_tree(tree._call_java('rootNode'))})"
             for w, tree in zip(model.treeWeights, model.trees)
         )
         held = [tuple(r) for r in flat.where("fold = 0").select(
-            F.expr(margin).alias("score"), "label", "free", "c.kind"
+            F.expr(margin).alias("score"), "label", "free", "n", "c.kind"
         ).groupBy("kind", F.round("score", 6).alias("score")).agg(
-            F.count("*").alias("n"), F.sum("label").alias("hits"),
-            F.sum("free").alias("free"), F.sum(F.col("label") * F.col("free")).alias("free_hits"),
+            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("hits"),
+            F.sum(F.col("n") * F.col("free")).alias("free"),
+            F.sum(F.col("n") * F.col("label") * F.col("free")).alias("free_hits"),
         ).collect()]
     finally:
         flat.unpersist()
