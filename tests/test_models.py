@@ -399,3 +399,73 @@ def test_histograms_of_larger_children_are_what_their_rows_give():
         else:
             assert feature[node] == -1
     assert len(expected) == len(feature) > 9 and (leaf == place).all()
+
+
+def test_fits_learn_from_all_households_of_a_large_table(spark):
+    """More households than the 200,000 that once were a sample: none is missing in memory or in a task."""
+    n = 201_000
+    values = [F.pmod(F.xxhash64("id", F.lit(k)), F.lit(97)).cast("double").alias(c)
+              for k, c in enumerate(CLV_FEATURES)]
+    frame = spark.range(n).select(
+        F.col("id").alias("household_key"), *values, F.col("id").cast("double").alias("y2_spend")
+    )
+    table = clv_ml.model_table(frame, SMALL_SEARCH)
+    assert np.array_equal(clv_ml.fit_data(table, SMALL_SEARCH).target, np.arange(n))
+    fits = [boosting.Fit(k, k, boosting.Settings(), max_trees=0) for k in range(3)]
+    rows = boosting.run_fits(spark, clv_ml.fit_rows(table, SMALL_SEARCH), fits, True).collect()
+    fold = np.array([r[0] for r in table.orderBy("household_key").select("fold").collect()])
+    for r in rows:
+        keys = np.arange(n)
+        base = np.median(keys[fold != r["fold"]])
+        assert r["base"] == base
+        assert r["mae"] == pytest.approx(np.abs(keys[fold == r["fold"]] - base).mean(), rel=1e-12)
+    assert len(rows) == 3
+
+
+def test_rows_reach_a_task_as_they_are_in_memory(spark, table, data):
+    """Whatever the order of the blocks; rows without key or fold come last and into every fit."""
+    odd = table.unionAll(table.limit(2).withColumns({
+        "household_key": F.lit(None).cast("long"), "fold": F.lit(None).cast("int"),
+        "early": F.lit(None).cast("boolean"),
+    }))
+    known = clv_ml.fit_data(odd.repartition(7), SMALL_SEARCH)
+    assert list(known.fold[-2:]) == [boosting.NO_FOLD] * 2 and not known.flags["early"][-2:].any()
+    assert len(known.target) == 402 and np.array_equal(known.target[:400], data.target)
+    fits = [replace(early_fit(), number=k, fold=k - 1, max_trees=5) for k in range(4)]
+    assert all(f.rows(known)[0][-2:].all() for f in fits)
+    stored = replace(clv_ml.fit_rows(odd, SMALL_SEARCH), cuts=known.cuts)
+    again = boosting.run_fits(spark, stored, fits, True).collect()
+    found = boosting.run_fits(spark, known, fits, True).collect()
+    assert sorted(again) == sorted(found) and len(found) == 4
+    for r in found:
+        trees, grown = boosting.boost(known, *fits[r["number"]].rows(known), fits[0].settings, 5, 20, 42)
+        assert (boosting.trees_of(r), r["grown"]) == (trees, grown)
+
+
+def test_a_table_without_rows_has_models_that_predict_zero(spark, table):
+    none = clv_ml.fit_rows(table.filter("household_key < 0"), SMALL_SEARCH)
+    row = boosting.run_fits(spark, none, [early_fit()], True).collect()
+    assert [(r["base"], r["mae"], r["roots"]) for r in row] == [(0.0, None, [])]
+
+
+def test_histograms_of_large_and_small_groups_are_plain_sums():
+    draw = np.random.default_rng(8)
+    for n_lines in (1, 4, 5):
+        lines = [draw.integers(0, 9, 3000).astype(np.uint8) for _ in range(n_lines)]
+        weights = boosting.BOTH + draw.integers(-1, 2, 3000)
+        members = draw.permutation(3000)
+        groups = [np.sort(members[:2000]), np.sort(members[2000:2700]), members[2700:2990], members[:0]]
+        found = boosting._histograms(lines, weights, 9, groups)
+        for g, own in enumerate(groups):
+            for k, line in enumerate(lines):
+                assert list(found[g, k]) == [weights[own][line[own] == b].sum() for b in range(9)]
+
+
+def test_leaf_medians_of_odd_and_even_leaves():
+    draw = np.random.default_rng(9)
+    place = draw.integers(0, 40, 500)
+    place[place == 3] = 4
+    residual = draw.normal(size=500)
+    found = boosting._leaf_medians(residual, place, 41)
+    expected = [np.median(residual[place == k]) if (place == k).any() else 0.0 for k in range(41)]
+    assert list(found) == expected
